@@ -16,6 +16,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.annotate(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import sharding
+
+    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
+
+
+def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii
+
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
