@@ -116,13 +116,13 @@ class Chunk:
         return self.data[self.off[i] : self.off[i + 1]].tobytes().decode("utf-8", "replace")
 
 
-def chunks(column: pa.Array, budget: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """The rows of a column in order, at most `budget` bytes (or one row) at a time."""
+def chunks(column: pa.Array, budget: int = CHUNK_BYTES, max_rows: int = 50_000) -> Iterator[Chunk]:
+    """The rows of a column in order, at most `budget` bytes (or one row) and `max_rows` rows at a time."""
     off, data = string_views(column)
     a, n = 0, len(off) - 1
     while a < n:
         b = max(a + 1, int(np.searchsorted(off, off[a] + budget, "right")) - 1)
-        b = min(b, n, a + 50_000)
+        b = min(b, n, a + max_rows)
         yield Chunk(a, off[a : b + 1], data)
         a = b
 
