@@ -53,6 +53,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import substring_dedup
+
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
