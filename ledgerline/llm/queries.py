@@ -59,6 +59,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_order_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import near_dedup
+
+    return near_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
