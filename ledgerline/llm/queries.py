@@ -65,6 +65,13 @@ def op5_order_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_kneser_ney_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lm
+
+    docs = table(spark, sf_dir, "documents")
+    return lm.score(docs, lm.train(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
