@@ -5,11 +5,12 @@ hash is 0 modulo ``CUT``. All these ends depend on nearby words only: the same p
 whatever surrounds it. At each sentence begins a run: the fewest consecutive sentences, ``MIN_SENTENCES`` at least,
 that hold ``MIN_WORDS`` words. Runs are equal if their words are, case aside.
 
-1. One scan gives a 64-bit hash for each run. Hashes are counted with partial sums before the exchange.
+1. One scan gives a 64-bit hash for each run. A run that repeats one of its own document goes in any case and is left
+   out here, so a hash comes at most once a document. Hashes are counted with partial sums before the exchange.
 2. Runs are joined with the hashes that occur twice or more. The hash side has each hash once; a passage that very
    many documents share only adds its rows to one partition's stream, which adaptive execution may split.
 3. The first run of a hash, by (doc_id, row identity, place), stays. Every sentence that another one covers goes.
-4. Removal lists, at most one a document, are joined to the documents, and the texts are cut.
+4. Removal lists, at most one a document, are joined to the documents, and the texts are cut, repeats within one too.
 
 Edge cases: null doc_ids come first in the order; rows with the same doc_id and text are one document and are cut
 alike (neither is the other's copy); null and empty texts have no runs and come back as they are; documents shorter
@@ -54,7 +55,7 @@ class Sentences:
         self.row0 = np.searchsorted(self.word[:-1], wrow)
 
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(row, first sentence in its row, number of sentences, hash) of every run."""
+        """(row, place << 8 | length, hash, repeats an earlier run of the row) of every run."""
         n = np.diff(self.row0)
         row = np.repeat(np.arange(len(n)), n)
         s = np.arange(len(row))
@@ -67,7 +68,15 @@ class Sentences:
         h = np.zeros(k, np.uint64)
         np.cumsum(self.wh * power[: k - 1], out=h[1:], dtype=np.uint64)
         a, b = self.word[s], self.word[stop]
-        return row, s - self.row0[row], stop - s, A.mix((h[b] - h[a]) * inverse[a] + (b - a).astype(np.uint64))
+        code = A.mix((h[b] - h[a]) * inverse[a] + (b - a).astype(np.uint64))
+        later = A.repeated(code + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[1]
+        return row, (s - self.row0[row]) << 8 | (stop - s), code, later
+
+    def own(self) -> list[np.ndarray]:
+        """For each row, the runs that repeat an earlier one of the same row."""
+        row, at, _, later = self.runs()
+        row, at = row[later], at[later]
+        return np.split(at, np.searchsorted(row, np.arange(1, self.c.rows)))
 
     def cut(self, i: int, runs: np.ndarray) -> tuple[bytes, int, int]:
         """Row i without the sentences of `runs` (place << 8 | length): its text, and how many sentences and bytes went."""
@@ -104,14 +113,14 @@ RUNS = "hash long, doc_id long, uid long, at long"
 
 
 def runs(docs: DataFrame) -> DataFrame:
-    """(hash, doc_id, uid, place << 8 | length) of every run of every text."""
+    """(hash, doc_id, uid, place << 8 | length) of the first run of each hash in every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for c in A.chunks(b.column(2)):
-                row, at, n, h = Sentences(c).runs()
-                where = pa.array(c.first + row)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(where), b.column(1).take(where), pa.array(at << 8 | n)], names=["hash", "doc_id", "uid", "at"])
+                row, at, h, later = Sentences(c).runs()
+                where = pa.array(c.first + row[~later])
+                yield pa.RecordBatch.from_arrays([pa.array(h[~later].view(np.int64)), b.column(0).take(where), b.column(1).take(where), pa.array(at[~later])], names=["hash", "doc_id", "uid", "at"])
 
     doc_id = F.col("doc_id").cast("long")
     return docs.select(doc_id.alias("doc_id"), row_uid(doc_id, F.col("text")).alias("uid"), "text").mapInArrow(run, RUNS)
@@ -140,7 +149,7 @@ def digest(docs: DataFrame) -> DataFrame:
             lists, off = _lists(b.column(2))
             for c in A.chunks(b.column(1)):
                 s = Sentences(c)
-                cut = [s.cut(i, lists[off[c.first + i] : off[c.first + i + 1]]) for i in range(c.rows)]
+                cut = [s.cut(i, np.append(own, lists[off[c.first + i] : off[c.first + i + 1]])) for i, own in enumerate(s.own())]
                 null = b.column(1).slice(c.first, c.rows).is_null().to_pylist()
                 texts = pa.array([None if z else t[0] for t, z in zip(cut, null, strict=True)], pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.rows), pa.array(np.diff(s.row0)), pa.array([t[1] for t in cut], pa.int64()), pa.array([t[2] for t in cut], pa.int64()), texts], names=["doc_id", "n_sentences", "n_removed", "removed_bytes", "text"])
@@ -159,9 +168,8 @@ def clean(docs: DataFrame) -> DataFrame:
             texts, keep = [], []
             for c in A.chunks(b.column(at)):
                 s = Sentences(c)
-                for i in range(c.rows):
-                    own = lists[off[c.first + i] : off[c.first + i + 1]]
-                    text, n, _ = s.cut(i, own)
+                for i, own in enumerate(s.own()):
+                    text, n, _ = s.cut(i, np.append(own, lists[off[c.first + i] : off[c.first + i + 1]]))
                     texts.append(text)
                     keep.append(n == 0 or n < s.row0[i + 1] - s.row0[i])
             new = pa.array(texts, pa.binary()).cast(b.column(at).type)
