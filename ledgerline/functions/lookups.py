@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
+from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
 
@@ -62,7 +62,15 @@ REGIONS = {"United States": US_REGIONS, "Canada": CANADA_REGIONS, "Australia": A
 
 
 def lookup(table: dict, key: Column) -> Column:
-    """The table's value for a key, else null. For the small fixed tables above: a literal map, no join."""
+    """The table's value for a key, else null. For the small fixed tables above: a literal map, no join.
+
+    The map is one parsed expression, which keeps building a plan cheap, and folds to a constant."""
     if not table:
         return F.lit(None)
-    return F.try_element_at(F.create_map(*map(F.lit, chain.from_iterable(table.items()))), key)
+    return F.try_element_at(F.expr(_literal(tuple(table.items()))), key)
+
+
+@lru_cache(maxsize=256)
+def _literal(items: tuple) -> str:
+    quote = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else str(v)
+    return "map(" + ", ".join(f"{quote(k)}, {quote(v)}" for k, v in items) + ")"

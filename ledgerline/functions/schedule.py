@@ -52,10 +52,10 @@ def clean_time(c: Column) -> Column:
         (r"(?i)^kl\.?\s*", ""),
         (rf"(?i)^({_H})h$", "$1:00"),
         (r"(?<=\d)\.(?=\d{2}\b)", ":"),
-        (r"(?i)(?<=\d)\s*a\b", "am"),
-        (r"(?i)(?<=\d)\s*p\b", "pm"),
+        (r"(?i)(?<=\d)\s*a\b(?!\.m)", "am"),
+        (r"(?i)(?<=\d)\s*p\b(?!\.m)", "pm"),
         (rf"(?i)\s*{_RANGE}\s*\d{{1,2}}(?:[:.]\d{{2}})?\s*(?:am|pm|a\.m\.|p\.m\.)?\s*$", ""),
-        (r"(?i)\b([ap])\.m\.?\b", "$1m"),
+        (r"(?i)(?<![A-Za-z])([ap])\.m\b\.?", "$1m"),
     ):
         r = F.regexp_replace(r, pattern, to)
     late = r"(?i)^(1[3-9]|2[0-3]):([0-5]\d)\s*(?:am|pm)$"

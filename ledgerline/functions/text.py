@@ -38,7 +38,7 @@ def key_text(c: Column) -> Column:
 
 def address_key(c: Column) -> Column:
     """Comparison form of an address: its first two comma parts, without province names; null if blank."""
-    parts = F.filter(F.transform(F.split(c, ","), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda p: p != "")
     text = F.when(F.size(parts) > 1, F.array_join(F.slice(parts, 1, 2), " ")).otherwise(c)
     tokens = key_tokens(text)
     return F.when(nonblank(c).isNotNull() & (F.size(tokens) > 0), F.array_join(F.filter(tokens, lambda t: ~t.isin(*PROVINCES)), " "))

@@ -80,8 +80,8 @@ def mark_missing(stored: DataFrame, seen: DataFrame, sources: DataFrame, limit:
     j = stored.join(marks, keys, "left").join(scanned, "source_id", "left")
     missed = F.col("__scanned").isNotNull() & F.col("__seen").isNull() & F.col("status").isin(ACTIVE, STALE)
     n = F.col("missing_run_count") + 1
-    out = j.withColumn("status", F.when(missed, F.when(n >= limit, INACTIVE).otherwise(STALE)).otherwise(F.col("status")))
-    return out.withColumn("missing_run_count", F.when(missed, n).otherwise(F.col("missing_run_count"))).select(*stored.columns)
+    new = {"status": F.when(missed, F.when(n >= limit, INACTIVE).otherwise(STALE)).otherwise(F.col("status")), "missing_run_count": F.when(missed, n).otherwise(F.col("missing_run_count"))}
+    return j.withColumns(new).select(*stored.columns)  # both from the old status
 
 
 def replace_flags(stored: DataFrame, batch: DataFrame, sources: DataFrame) -> DataFrame:

@@ -489,12 +489,12 @@ def _streaks(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT user_id AS source_record_id, CASE WHEN seen THEN 'active' WHEN misses >= 3 THEN 'inactive' ELSE 'stale' END AS status, CASE WHEN seen THEN misses - 1 ELSE misses END AS missing_run_count FROM
-(SELECT user_id, bool_or(event_type = 'error' AND ts >= TIMESTAMP '2024-01-22') AS seen, (user_id % 3 + 1)::INTEGER AS misses FROM events GROUP BY 1)""")
+(SELECT user_id, bool_or(event_type = 'error' AND ts >= TIMESTAMP '2024-01-28') AS seen, (user_id % 3 + 1)::INTEGER AS misses FROM events GROUP BY 1)""")
 def mark_missing(spark: SparkSession, d: str) -> DataFrame:
     """Users unseen in the last run become stale, or inactive on the third miss."""
     e = table(spark, d, "events")
     stored = e.select(F.lit("s").alias("source_id"), F.col("user_id").alias("source_record_id")).distinct().withColumns({"status": F.lit("active"), "missing_run_count": (F.col("source_record_id") % 3).cast("int")})
-    seen = e.filter((F.col("event_type") == "error") & (F.col("ts") >= F.lit("2024-01-22").cast("timestamp_ntz"))).select(F.lit("s").alias("source_id"), F.col("user_id").alias("source_record_id"))
+    seen = e.filter((F.col("event_type") == "error") & (F.col("ts") >= F.lit("2024-01-28").cast("timestamp_ntz"))).select(F.lit("s").alias("source_id"), F.col("user_id").alias("source_record_id"))
     return merge.mark_missing(stored, seen, spark.range(1).select(F.lit("s").alias("source_id"))).select("source_record_id", "status", "missing_run_count")
 
 
@@ -521,3 +521,171 @@ def cleanup_timezones(spark: SparkSession, d: str) -> DataFrame:
 
 
 _ = Window
+
+
+# ---- pages
+
+
+@query(r"""SELECT page_id, pos::INTEGER AS pos, href FROM (SELECT page_id, unnest(hrefs) AS href, generate_subscripts(hrefs, 1) - 1 AS pos FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hrefs FROM pages))""")
+def page_links(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import extract
+
+    return extract.links(table(spark, d, "pages")).select("page_id", "pos", "href")
+
+
+@query("""SELECT page_id, href AS url_path, count(*) OVER (PARTITION BY page_id)::BIGINT AS n FROM (SELECT page_id, unnest(list_distinct(list_filter(regexp_extract_all(html, '<a href="([^"]*)"', 1), lambda x: x <> ''))) AS href FROM pages)""")
+def source_links(spark: SparkSession, d: str) -> DataFrame:
+    """Anchors as sources: absolute, the first of each; counted for each page."""
+    from ..sources import discovery, extract
+
+    p = table(spark, d, "pages")
+    links = extract.links(p).withColumn("text", F.coalesce(F.nullif("text", F.lit("")), F.lit("x"))).join(p.select("page_id", "url"), "page_id").withColumnRenamed("url", "base")
+    out = discovery.source_links(links, F.col("base"))
+    n = out.groupBy("page_id").agg(F.count("*").alias("n"))
+    return out.join(n, "page_id").select("page_id", urls.part(F.col("url"), 3).alias("url_path"), "n")
+
+
+@query("SELECT page_id, i.v AS label FROM (SELECT page_id, unnest(list_transform(regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)</a></li>', 1), lambda x: {'v': x})) AS i FROM pages) WHERE i.v <> ''")
+def css_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of a selector with a field selector."""
+    from ..sources import extract
+
+    return extract.css_rows(table(spark, d, "pages"), "nav li", {"label": "a", "href": "a::attr(href)"}).filter("label is not null").select("page_id", "label")
+
+
+@query()
+def page_score(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import extract
+
+    p = table(spark, d, "pages")
+    parts = extract.page_parts(p).join(p.select("page_id", "url"), "page_id")
+    heading = F.concat_ws(" ", "title", "headings")
+    return parts.select("page_id", scoring.page_score(F.col("url"), heading, F.col("text"), F.col("has_form"), F.col("has_table")).alias("score"))
+
+
+@query()
+def html_text(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import extract
+
+    return extract.page_parts(table(spark, d, "pages")).select("page_id", "title", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+@query()
+def zero_source_buckets(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import extract
+
+    p = table(spark, d, "pages")
+    audited = review.zero_source(p.join(extract.page_parts(p).select("page_id", "text"), "page_id"))
+    return audited.select("page_id", "bucket", "priority", F.array_join("signals", ",").alias("signals"))
+
+
+@query()
+def extracted_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """Listings that pages hold (prose pages have next to none)."""
+    from ..sources import extract
+    from . import pipeline
+
+    return pipeline.confidence_of(extract.extract(table(spark, d, "pages"))).select("page_id", "kind", "name", "day", "time", "confidence", "is_listing")
+
+
+_HOST = "lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1))"
+
+
+@query(f"""WITH RECURSIVE l AS (SELECT DISTINCT a.page_id AS src, b.page_id AS dst FROM pages a, pages b WHERE b.page_id = (a.page_id * 7 + 3) % 250 OR b.page_id = (a.page_id * 3 + 1) % 250),
+c AS (SELECT page_id AS root, page_id AS page, 0 AS depth FROM pages WHERE page_id % 50 = 0 UNION ALL SELECT c.root, l.dst, c.depth + 1 FROM c JOIN l ON l.src = c.page WHERE c.depth < 2)
+SELECT root, page, min(depth)::INTEGER AS depth FROM c GROUP BY 1, 2""")
+def crawl_bfs(spark: SparkSession, d: str) -> DataFrame:
+    """Pages reached from some roots over two steps of a link table."""
+    from ..sources import discovery
+
+    ids = table(spark, d, "pages").select("page_id")
+    steps = F.array(F.struct((F.col("page_id") * 7 + 3) % 250), F.struct((F.col("page_id") * 3 + 1) % 250))
+    links = ids.select(F.col("page_id").alias("src"), F.explode(F.transform(steps, lambda s: s["col1"])).alias("dst")).distinct()
+    links = links.join(ids.withColumnRenamed("page_id", "dst"), "dst", "left_semi")
+    return discovery.crawl(links, ids.filter("page_id % 50 = 0").withColumnRenamed("page_id", "page"), 2)
+
+
+@query(f"SELECT page_id, {_HOST} AS host, array_to_string(list_slice(string_split({_HOST}, '.'), -2, -1), '.') AS site, NOT regexp_matches(lower(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1)), '\\.(avi|doc|docx|gif|ics|jpg|jpeg|mp3|mp4|pdf|png|ppt|pptx|webp|xls|xlsx|zip)$') AS admissible FROM pages")
+def crawl_admission(spark: SparkSession, d: str) -> DataFrame:
+    """May a crawl from the page's own site root follow its address?"""
+    u = F.col("url")
+    root = F.concat(urls.part(u, 1), F.lit("://www."), F.expr("0").cast("string").substr(1, 0), urls.site(u), F.lit("/"))
+    return table(spark, d, "pages").select("page_id", urls.host(u).alias("host"), urls.site(u).alias("site"), urls.admissible(root, u).alias("admissible"))
+
+
+# ---- feeds and places
+
+
+@query("""SELECT c_custkey, coalesce(nullif(CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_name END, ''), 'A.A. Meeting') AS name, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN 'hybrid' WHEN c_custkey % 3 = 0 THEN 'online' WHEN c_custkey % 2 = 0 THEN 'in_person' ELSE 'unknown' END AS meeting_type,
+CASE WHEN c_custkey % 9 < 7 AND c_custkey % 4 < 3 THEN (c_custkey % 9) || ' ' || ((c_custkey % 24) * 60 + 30) || ' ' || CASE WHEN c_custkey % 5 = 0 THEN 'UTC' ELSE 'Europe/Rome' END END AS occurrence FROM customer""")
+def feed_a_normalize(spark: SparkSession, d: str) -> DataFrame:
+    """Feed A objects made of customers, read back from JSON and normalized."""
+    from ..sources import feeds
+
+    k = F.col("c_custkey")
+    obj = F.to_json(F.struct(
+        k.cast("string").alias("slug"), F.when(k % 7 == 0, "").otherwise(F.col("c_name")).alias("name"), F.when(k % 9 < 7, (k % 9).cast("string")).otherwise(F.lit("x")).alias("day"),
+        F.when(k % 4 < 3, F.concat(k % 24, F.lit(":30"))).alias("time"), F.when(k % 5 == 0, "").otherwise(F.lit("Europe/Rome")).alias("timezone"), F.when(k % 3 == 0, "https://zoom.us/j/1").alias("conference_url"), F.when(k % 2 == 0, "1 Main St").alias("address"),
+    ))
+    raw = feeds.raw_records(table(spark, d, "customer").select(F.lit("s").alias("source_id"), obj.alias("payload")), ("slug", "id"), F.lit("https://x"))
+    o = F.get("occurrences", F.lit(0))
+    line = F.when(o.isNotNull(), F.concat_ws(" ", o["day_of_week"].cast("string"), o["start_minute"].cast("string"), o["timezone"]))
+    return feeds.normalize_a(raw).select(F.col("source_record_id").cast("long").alias("c_custkey"), "name", "meeting_type", line.alias("occurrence"))
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 6 = 0 THEN 'Europe/Rome' WHEN s_suppkey % 6 = 1 THEN 'Australia/Sydney' WHEN s_suppkey % 6 = 2 THEN 'Australia/Perth' WHEN s_suppkey % 6 = 3 THEN 'Europe/Dublin' WHEN s_suppkey % 6 = 4 THEN 'Australia/Brisbane' ELSE 'UTC' END AS timezone,
+CASE WHEN s_suppkey % 4 = 0 THEN 'hybrid' WHEN s_suppkey % 4 = 1 THEN 'online' ELSE 'in_person' END AS meeting_type, CASE WHEN s_suppkey % 4 = 1 THEN 'not a url' END AS phone, 'O,C' AS formats FROM supplier""")
+def feed_b_normalize(spark: SparkSession, d: str) -> DataFrame:
+    """Feed B objects made of suppliers: time zones by record, postcode, coordinates or country."""
+    from ..sources import feeds
+
+    k = F.col("s_suppkey")
+    case = lambda *vs: F.get(F.array(*(F.lit(v) for v in vs)), (k % len(vs)).cast("int"))
+    obj = F.to_json(F.struct(
+        k.cast("string").alias("id_bigint"), F.lit("3").alias("weekday_tinyint"), F.lit("19:30:00").alias("start_time"), case("Europe/Rome", "UTC", "", "UTC", "utc", None).alias("time_zone"),
+        case("", "Australia", "Australia", "Ireland", "AU", "Narnia").alias("location_nation"), case("", "2000", "", "", "4000", "").alias("location_postal_code_1"), case("", "", "-31.9", "", "", "1").alias("latitude"), case("", "", "115.8", "", "", "1").alias("longitude"),
+        case("https://zoom.us/j/2", "not a url", "", None).alias("virtual_meeting_link"), case("1 Main St", None, "2 Main St", "3 Main St").alias("formatted_address"), F.lit("O, C,").alias("formats"),
+    ))
+    raw = feeds.raw_records(table(spark, d, "supplier").select(F.lit("s").alias("source_id"), obj.alias("payload")), ("id_bigint", "id"), F.lit("https://x"))
+    zone = F.get("occurrences", F.lit(0))["timezone"]
+    return feeds.normalize_b(raw).select(F.col("source_record_id").cast("long").alias("s_suppkey"), zone.alias("timezone"), "meeting_type", F.col("phone_join_info").alias("phone"), F.array_join("formats", ",").alias("formats"))
+
+
+@query("""SELECT n_nationkey, CASE n_nationkey % 8 WHEN 0 THEN 'America/New_York' WHEN 1 THEN 'America/Chicago' WHEN 2 THEN 'America/Toronto' WHEN 3 THEN 'Australia/Perth' WHEN 4 THEN 'Europe/Dublin' WHEN 5 THEN NULL WHEN 6 THEN 'Europe/Warsaw' ELSE NULL END AS timezone,
+CASE n_nationkey % 8 WHEN 0 THEN 'NY' WHEN 1 THEN 'TX' WHEN 2 THEN 'ON' WHEN 3 THEN 'WA' ELSE NULL END AS region_code FROM nation""")
+def tz_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Time zones and region codes by country and region; an unknown region of a country with several zones has none."""
+    from ..operators import location
+
+    k = F.col("n_nationkey")
+    country = M.pick(("USA", "us", "Canada", "Australia", "Éire", "United States", "Polska", "Narnia"), k)
+    region = M.pick(("New York", "tx", "ontario", "WA", "Cork", "Narnia", "", "x"), k)
+    return table(spark, d, "nation").select("n_nationkey", location.timezone_for(country, region).alias("timezone"), location.region_code(country, region).alias("region_code"))
+
+
+def _placed(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    case = lambda *vs: F.get(F.array(*(F.lit(v) for v in vs)), (k % len(vs)).cast("int"))
+    return table(spark, d, "supplier").select(
+        F.lit("s").alias("source_id"), k.cast("string").alias("source_record_id"), F.lit("aa").alias("fellowship"), F.lit("in_person").alias("meeting_type"), F.lit(None).cast("string").alias("venue_name"),
+        case("12 Main St, Tulsa, OK 74103", "5 High St, Cork, Ireland", "7 King St, Toronto, ON M5V 2T6", "1 George St, Sydney, NSW 2000", "10 Downing St, London SW1A 2AA", "Somewhere").alias("address_line1"),
+        F.lit(None).cast("string").alias("address_line2"), case(None, "Co. Cork", "", "Sydney", None, "County Kerry").alias("city"), F.lit(None).cast("string").alias("region"), F.lit(None).cast("string").alias("postal_code"),
+        case(None, "Éire", "Poland", None, None, "Ireland").alias("country"), F.array(F.struct(F.lit(1).alias("day_of_week"), F.lit(600).alias("start_minute"), F.lit(None).cast("int").alias("end_minute"), F.lit("America/Chicago").alias("timezone"))).alias("occurrences"),
+    )
+
+
+@query("""SELECT s_suppkey, CASE s_suppkey % 6 WHEN 0 THEN 'United States/Oklahoma/Tulsa/74103/US/OK/America/Chicago' WHEN 1 THEN 'Ireland/Cork//' || '/IE//Europe/Dublin' WHEN 2 THEN 'Canada/Ontario/Toronto/M5V 2T6/CA/ON/America/Chicago'
+WHEN 3 THEN 'Australia/New South Wales/Sydney/2000/AU/NSW/Australia/Sydney' WHEN 4 THEN 'United Kingdom///SW1A 2AA/GB//Europe/London' ELSE 'Ireland/Kerry///IE//Europe/Dublin' END AS place FROM supplier""")
+def normalize_location(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators import location
+
+    out = location.normalize_location(_placed(spark, d))
+    cols = [F.coalesce(F.col(c), F.lit("")) for c in ("country", "region", "city", "postal_code", "country_code", "region_code")]
+    return out.select(F.col("source_record_id").cast("long").alias("s_suppkey"), F.concat_ws("/", *cols, F.get("occurrences", F.lit(0))["timezone"]).alias("place"))
+
+
+@query("""SELECT code, count(*)::BIGINT AS n FROM (SELECT unnest(CASE s_suppkey % 6 WHEN 1 THEN ['city_admin_area', 'timezone_country_mismatch'] WHEN 4 THEN ['high_confidence_missing_country'] WHEN 5 THEN ['city_admin_area', 'timezone_country_mismatch'] WHEN 2 THEN ['timezone_country_mismatch'] ELSE [] END) AS code FROM supplier) GROUP BY 1""")
+def location_audit(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators import location
+
+    return location.audit(_placed(spark, d)).groupBy("code").agg(F.count("*").alias("n"))
