@@ -1,6 +1,6 @@
 """Runs as a stream: each micro-batch of captured records is one run merged into the stored tables.
 
-The reference model has no streams; this is the batch merge under foreachBatch, so a restarted query repeats a batch
+The data model has no streams of its own; this is the batch merge under foreachBatch, so a restarted query repeats a batch
 with the same result (the merge is keyed, and the batch id names the run)."""
 
 from __future__ import annotations
