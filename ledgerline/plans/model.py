@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import ship
+
 ZONES = ("UTC", "Europe/London", "America/New_York", "Australia/Sydney", "Europe/Dublin")
 COUNTRIES = ("Ireland", "UK", "USA", "Deutschland", "Polska", "Japan", "nowhere")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
