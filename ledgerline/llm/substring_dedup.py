@@ -131,7 +131,8 @@ def removals(docs: DataFrame) -> DataFrame:
     all_runs = runs(docs)
     twice = all_runs.groupBy("hash").count().filter("count > 1").select("hash")
     shared = stored(all_runs.join(twice.hint("shuffle_hash"), "hash"))
-    first = shared.groupBy("hash").agg(F.min(F.struct("doc_id", "uid", "at")).alias("first"))
+    # stored, so that the join below is between two plain exchanges and a hot hash can be split
+    first = stored(shared.groupBy("hash").agg(F.min(F.struct("doc_id", "uid", "at")).alias("first")))
     later = shared.join(first, "hash").filter(~F.struct("doc_id", "uid", "at").eqNullSafe(F.col("first")))
     return later.groupBy(F.col("uid").alias("__uid")).agg(F.collect_set("at").alias("__runs"))
 
