@@ -6,7 +6,7 @@ content or boilerplate; a text is kept if the share of its words in content line
 
 The field is trained here by gradient ascent on its exact conditional likelihood, from a bounded sample of rows
 of `labels` (``per_class`` documents of each quality value, ``max_lines`` lines of each). Lines of good documents
-count as content unless they repeat an earlier line; lines of bad documents count as boilerplate.
+count as content, lines of bad ones as boilerplate; the field learns which line features and neighbours tell them apart.
 
 Edge cases: a null or empty text has no words and fails the base rule; without labelled rows of both classes the
 field abstains and the base verdict stands; rows with equal or null doc_id are judged one by one; columns other
@@ -202,10 +202,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 400, max_lines: i
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1].tobytes() for r in rows], pa.binary())], names=["doc_id", "x"])
 
     got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isin(wanted)).mapInArrow(lines, "doc_id long, x binary").limit(8 * per_class).collect()
-    seqs, dup = [], FEATURES.index("repeats_line")
+    seqs = []
     for r in sorted(got, key=lambda r: (r[0], bytes(r[1]))):
         x = np.frombuffer(r[1], np.int8).reshape(-1, len(FEATURES)).astype(float)
-        seqs.append((x, np.ones(len(x), int) if r[0] in good[0] else (x[:, dup] > 0).astype(int)))
+        seqs.append((x, np.full(len(x), int(r[0] in good[0]))))
     if len({y for _, s in seqs for y in s[:1]}) < 2:
         return None
     return LineField.fit(seqs)
