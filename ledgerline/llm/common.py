@@ -7,13 +7,17 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; one of our own only where that is unset (tests on one machine)."""
+    ship(spark)
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = "file://" + tempfile.mkdtemp(prefix="ledgerline-")
@@ -31,6 +35,15 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of ids that may be broadcast (some 50 MB); beyond it the join is shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """A broadcast of a stored table if it is small enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def unit_hash(*cols: Column) -> Column:
     """A repeatable number in [0, 1) for a row."""
     return (F.xxhash64(*cols).bitwiseAND(F.lit((1 << 52) - 1))).cast("double") / F.lit(float(1 << 52))
