@@ -3,7 +3,7 @@
 Regular expressions propose spans, checksums confirm them, and words near a span move its score.
 
 * Base kinds (email, ip, card, phone) are decided by pattern and check alone; a score never removes them.
-* Added kinds: ``iban`` (mod-97), ``ssn`` (valid number areas and a context word), ``local_phone`` (10 digits
+* Added kinds: ``iban`` (mod-97; the country code gives the length, a code without a known one the longest run), ``ssn`` (valid number areas and a context word), ``local_phone`` (10 digits
   without a plus sign and a context word). An added span is kept if its score reaches ``min_score``.
 
 The patterns are written so that a long run of one character class is scanned once (possessive repeats, and a start
@@ -21,6 +21,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
 BASE = KINDS[:4]
+#: Country codes by the length of their IBANs.
+IBAN = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_KNOWN = "|".join(IBAN.values()).replace(" ", "|")
+_FIXED = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN.items())
 _LOCAL = "[A-Za-z0-9._%+-]"
 _SEP = r"[\x20().-]"
 PATTERNS = {
@@ -28,7 +37,7 @@ PATTERNS = {
     "ip": r"[0-9](?<![0-9][0-9])[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?<![0-9][0-9])(?<![0-9][\x20-][0-9])(?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])",
     "phone": rf"\+[0-9](?:{_SEP}*+[0-9]){{9,14}}+(?!{_SEP}*+[0-9])",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+\b",
+    "iban": rf"\b(?=[A-Z]{{2}}[0-9]{{2}})(?:{_FIXED}|(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}})\b",
     "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b(?!-)",
     "local_phone": rf"(?<![0-9+])\(?[0-9]{{3}}\)?[\x20.-][0-9]{{3}}[\x20.-][0-9]{{4}}\b",
 }

@@ -78,3 +78,11 @@ def test_redaction_leaves_nothing(spark, odd_docs):
     same = pii.redact(odd_docs)
     assert same.columns == odd_docs.columns and same.count() == odd_docs.count()
     assert pii.digest(odd_docs).count() == odd_docs.count() and pii.digest(odd_docs.limit(0)).count() == 0
+
+
+def test_ibans_before_capitals_and_numbers(spark):
+    texts = ["IBAN DE89370400440532013000 Please pay", "GB82 WEST 1234 5698 7654 32 The", "DE89370400440532013000 12 items", "NO9386011117947 A 1", "DE89370400440532013000X", "MT84MALT011000012345MTLCAST001S DE89370400440532013000 FR1420041010050500013M02606 OK"]
+    d = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.spans for r in pii.digest(d).collect()}
+    assert got == {0: "iban:5:27", 1: "iban:0:27", 2: "iban:0:22", 3: "iban:0:15", 4: "", 5: "iban:0:31,iban:32:54,iban:55:82"}
+    assert pii.redact(d).filter("doc_id = 2").first().text == "[IBAN] 12 items"
