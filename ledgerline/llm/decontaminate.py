@@ -2,9 +2,10 @@
 
 Texts and items are normalised alike: letters lower-cased (ASCII and Latin-1), everything but letters, digits and
 bytes beyond ASCII is a separator, runs of separators become one blank. Items are cut into overlapping segments of
-``SEGMENT`` bytes, one every ``SEGMENT // 2`` and one at the end (a shorter item is one segment). A document is
+``SEGMENT`` bytes, one every ``STRIDE`` and one at the end (a shorter item is one segment). A document is
 contaminated by an item if one of its substrings is within ``e`` edits of a segment of L bytes, where
-``e = min(RATE * L, (L - Q) / Q)`` rounded down.
+``e = (L - Q) / Q`` rounded down, the most that the lemma below allows. So a verbatim excerpt of
+``SEGMENT + STRIDE - 1`` bytes is always found.
 
 By the q-gram lemma such a substring shares at least ``L - Q + 1 - Q * e`` q-grams with the segment, on at most e + 1
 neighbouring diagonals. So: (1) every q-gram of a text is looked up in the segments' q-grams; (2) hits are counted in
@@ -29,8 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import arrays as A
 
-Q, SEGMENT, RATE, H = 12, 96, 0.05, 16
-BLOCK_BYTES = 16 << 20
+Q, SEGMENT, STRIDE, H = 12, 52, 13, 16
+BLOCK_BYTES = 8 << 20
 FOLD = np.array([b if b >= 128 or chr(b).isalnum() else 32 for b in A.LOWER.tolist()], np.uint8)
 OUT = "doc_id long, item_id long, n_segments long, edits long, first_char long"
 
@@ -85,13 +86,13 @@ class Segments:
             if len(t) < Q:
                 continue
             last = max(0, len(t) - SEGMENT)
-            for s in sorted({*range(0, last, SEGMENT // 2), last}):
+            for s in sorted({*range(0, last, STRIDE), last}):
                 owner.append(len(self.items))
                 texts.append(t[s : s + SEGMENT])
             self.items.append(item)
         self.owner = np.array(owner, np.int64)
         self.size = np.array([len(t) for t in texts], np.int64)
-        self.edits = np.minimum((RATE * self.size).astype(int), (self.size - Q) // Q)
+        self.edits = (self.size - Q) // Q
         self.need = self.size - Q + 1 - Q * self.edits
         self.text = np.zeros((len(texts), SEGMENT), np.uint8)
         for i, t in enumerate(texts):

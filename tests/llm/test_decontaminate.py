@@ -71,3 +71,26 @@ def test_grams_tell_substrings_apart():
     g = D.grams(d)
     assert len(g) == len(d) - D.Q + 1
     assert [[a == b for b in g] for a in g] == [[d[i : i + D.Q].tobytes() == d[j : j + D.Q].tobytes() for j in range(len(g))] for i in range(len(g))]
+
+
+def test_excerpts_and_replaced_words_are_found():
+    rng = random.Random(15)
+    items = [(i, prose(rng, 40)) for i in range(40)]
+    s = D.Segments(items)
+
+    def share(change):
+        texts = [f"{prose(rng, 30)} {change(t.split())} {prose(rng, 30)}" for _, t in items]
+        (c,) = D.A.chunks(D.pa.array(texts))
+        row, seg = s.search(c)[:2]
+        return np.mean([i in s.owner[seg[row == i]] for i in range(len(items))])
+
+    def cut(w):
+        text = D.normal(" ".join(w)).decode("utf-8", "ignore")
+        return text[31 : 31 + D.SEGMENT + D.STRIDE]
+
+    def replaced(w):
+        for i in range(rng.randrange(10), len(w), 10):
+            w[i] = "replaced"
+        return " ".join(w)
+
+    assert share(cut) == 1 and share(replaced) > 0.9
