@@ -27,6 +27,17 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` doesn't have in any case of letters: `name`, or `name` with a number."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (name, *(f"{name}_{i}" for i in range(1, len(taken) + 2))) if n.lower() not in taken)
+
+
+def own_columns(df: DataFrame, *but: str) -> list[Column]:
+    """The columns of `df` as they are, whatever dots their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in but]
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Written once to the shared folder and read back: what follows doesn't recompute it, and lost executors don't lose it."""
     spark = df.sparkSession
@@ -44,6 +55,33 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+#: Rows of one key that a task may take beside the others before the key is spread.
+HOT_ROWS = 256
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, by: Column, rows: int, counts: DataFrame | None = None) -> DataFrame:
+    """Inner join of `many` with `one` (few rows a key) on `key`; a key with more rows than a task's even share is spread.
+
+    `by` spreads the rows of such a key, `rows` is the size of `many` and `counts` (key, n) its rows a key if known.
+    Hot keys have more than rows / partitions rows each, so there are fewer of them than shuffle partitions and their
+    list may be broadcast. Rows of `one` are copied once for each part of a hot key."""
+    spark = many.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = max(HOT_ROWS, rows // parts)
+    if rows <= share:
+        return many.join(one, key)
+    if counts is None:
+        counts = many.groupBy(key).agg(F.count("*").alias("n"))
+    hot = [(r[0], -(-r[1] // share)) for r in counts.filter(F.col("n") > share).select(key, "n").collect()]
+    if not hot:
+        return many.join(one, key)
+    salts, salt = unused(many, "salts"), unused(one, "salt")
+    hot = F.broadcast(spark.createDataFrame(hot, f"{key} long, {salts} int"))
+    left = many.join(hot, key, "left").withColumn(salt, F.pmod(by, F.coalesce(salts, F.lit(1))).cast("int")).drop(salts)
+    right = one.join(hot, key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1))).drop(salts)
+    return left.join(right, [key, salt]).drop(salt)
+
+
 def unit_hash(*cols: Column) -> Column:
     """A repeatable number in [0, 1) for a row."""
     return (F.xxhash64(*cols).bitwiseAND(F.lit((1 << 52) - 1))).cast("double") / F.lit(float(1 << 52))

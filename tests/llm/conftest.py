@@ -14,6 +14,8 @@ def prose(rng: random.Random, n: int) -> str:
     return " ".join(out)
 
 
+#: Names that the operators use themselves, or used to, and one with a dot.
+CLASHES = ["a.b", "__uid", "__runs", "__spans", "__cover", "uid", "node", "key", "group_uid", "lost_id", "salt", "text_", "spans", "piece", "size", "tag", "first", "n"]
 ODD = [None, "", " ", "\n", "a", "\n\n x\n", "ab\tcd\x0bef", "né zz 日本語 🙂 ok", "x" * 3000, "the end\nthe end\nthe end \nthe end", "w " * 700, "12 34 ### $$ <|>\n" * 40]
 
 
@@ -26,4 +28,4 @@ def odd_docs(spark):
     rows += [(12, texts[12], "en", "s", 1), (12, texts[12], "en", "s", 1), (None, texts[15], None, None, None), (None, None, None, None, None)]
     from pyspark.sql import functions as F
 
-    return spark.createDataFrame(rows, SCHEMA).withColumn("n_words", F.lit("clash")).withColumn("shard", F.lit(None).cast("string")).withColumn("kept", F.lit(1))
+    return spark.createDataFrame(rows, SCHEMA).withColumn("n_words", F.lit("clash")).withColumn("shard", F.lit(None).cast("string")).withColumn("kept", F.lit(1)).select("*", *(F.lit(i).alias(n) for i, n in enumerate(CLASHES)))
