@@ -17,6 +17,9 @@ CHUNK_BYTES = 2 << 20
 #: Separators of words: blank and 0x09-0x0D.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: First bytes of U+3000 to U+9FFF (Chinese and kana), which are written without blanks; Thai is E0 B8 and E0 B9.
+WIDE = np.zeros(256, bool)
+WIDE[0xE3:0xEA] = True
 #: Bytes that begin a code point.
 LEAD = (np.arange(256) & 0xC0) != 0x80
 #: ASCII lower-casing.
@@ -102,6 +105,24 @@ class Chunk:
         start = np.flatnonzero(begin)
         return start, np.flatnonzero(stop) + 1, np.searchsorted(start, self.off)
 
+    def segments(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """runs(), but each code point of a script without blanks is a run of its own."""
+        start, end, row0 = self.runs(inside)
+        d = self.data
+        wide = WIDE[d]
+        wide[:-2] |= (d[:-2] == 0xE0) & ((d[1:-1] == 0xB8) | (d[1:-1] == 0xB9))
+        at = np.flatnonzero(wide)
+        if not len(at):
+            return start, end, row0
+        begin, stop = np.zeros(len(d) + 3, bool), np.zeros(len(d) + 1, bool)
+        begin[start], stop[end] = True, True
+        begin[at], stop[np.minimum(at + 3, len(d))] = True, True
+        after = at + 3
+        begin[after[after < len(d)]] |= inside[after[after < len(d)]]
+        stop[at[at > 0]] |= inside[at[at > 0] - 1]
+        start = np.flatnonzero(begin)
+        return start, np.flatnonzero(stop), np.searchsorted(start, self.off)
+
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of the \\n-split lines (an empty text has one empty line), and each row's first line."""
         brk = np.flatnonzero(self.data == 10)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..session import ship
 
@@ -38,6 +39,13 @@ def own_columns(df: DataFrame, *but: str) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in but]
 
 
+def map_whole(df: DataFrame, run, schema: StructType) -> DataFrame:
+    """mapInArrow over all columns of df, whatever their names (dots break it there): `run` goes by position and keeps the
+    names of its batches, and the result has `schema`."""
+    plain = StructType([StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(schema)])
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns)))).mapInArrow(run, plain).toDF(*schema.names)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Written once to the shared folder and read back: what follows doesn't recompute it, and lost executors don't lose it."""
     spark = df.sparkSession

@@ -1,9 +1,12 @@
 """Substring dedup over sliding sentence spans.
 
-A sentence ends at . ! ? or a line break; run-on text has no such marks, so a sentence also ends after a word whose
-hash is 0 modulo ``CUT``. All these ends depend on nearby words only: the same passage has the same sentences inside
-whatever surrounds it. At each sentence begins a run: the fewest consecutive sentences, ``MIN_SENTENCES`` at least,
-that hold ``MIN_WORDS`` words. Runs are equal if their words are, case aside.
+A word is a run without blanks, or one code point of a script written without them. A sentence ends at . ! ? or a line
+break. Run-on text has no such marks, so in every ``WINDOW`` words without one a sentence also ends after the word with
+the least hash (the last such word): no sentence is longer, and ends depend on nearby words only, so the same passage
+has the same sentences inside whatever surrounds it. At each sentence begins a run: the fewest consecutive sentences,
+``MIN_SENTENCES`` at least, that hold ``MIN_WORDS`` words. Runs are equal if their words are, case aside. A repeated
+passage of 4 * WINDOW + MIN_WORDS - 3 = 49 words or more surely holds a whole run: WINDOW - 1 words at either end may have
+other ends, the first sure one comes at most WINDOW words on, and a run is shorter than MIN_WORDS + WINDOW words.
 
 1. One scan gives a 64-bit hash for each run. A run that repeats one of its own document goes in any case and is left
    out here, so a hash comes at most once a document. Hashes are counted with partial sums before the exchange.
@@ -14,7 +17,8 @@ that hold ``MIN_WORDS`` words. Runs are equal if their words are, case aside.
 
 Edge cases: null doc_ids come first in the order; rows with the same doc_id and text are one document and are cut
 alike (neither is the other's copy); null and empty texts have no runs and come back as they are; documents shorter
-than a run are never cut; other columns are kept by clean() and not read by digest().
+than a run are never cut; a very long text is scanned and cut whole; an empty table gives an empty one; other columns,
+whatever their names, are kept by clean() and not read by digest().
 """
 
 from __future__ import annotations
@@ -27,9 +31,9 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from . import arrays as A
-from .common import row_uid, stored
+from .common import map_whole, own_columns, row_uid, stored, unused
 
-CUT, MIN_SENTENCES, MIN_WORDS = 8, 3, 20
+WINDOW, MIN_SENTENCES, MIN_WORDS = 8, 3, 20
 _P = 0xBF58476D1CE4E5B9
 
 
@@ -38,22 +42,36 @@ class Sentences:
 
     def __init__(self, c: A.Chunk):
         self.c = c
-        self.ws, self.we, wrow = c.words()
+        self.ws, self.we, wrow = c.segments(~A.SPACE[c.data])
         n = len(self.ws)
         self.wh = A.span_hash(A.prefix_hash(A.LOWER[c.data]), self.ws, self.we)
         end = np.zeros(n, bool)
         if n:
             last = c.data[self.we - 1]
-            end = (last == 46) | (last == 33) | (last == 63) | (A.mix(self.wh, 7) % np.uint64(CUT) == 0)
+            end = (last == 46) | (last == 33) | (last == 63)
             brk = np.flatnonzero(c.data == 10)
             end[:-1] |= np.searchsorted(brk, self.ws[1:]) > np.searchsorted(brk, self.we[:-1])
             end[wrow[1:][np.diff(wrow) > 0] - 1] = True
+            end |= self._least(end)
         begin = np.zeros(n, bool)
         begin[1:] = end[:-1]
         begin[:1] = True
         self.word = np.append(np.flatnonzero(begin), n)  # first word of each sentence, and the end
         self.row0 = np.searchsorted(self.word[:-1], wrow)
 
+    def _least(self, end: np.ndarray) -> np.ndarray:
+        """The least word of each window of WINDOW words without an end (a row's last word is one, so rows don't mix)."""
+        out = np.zeros(len(end), bool)
+        ends = np.append(0, np.cumsum(end))
+        at = np.flatnonzero(ends[WINDOW:] == ends[:-WINDOW]) if len(end) >= WINDOW else np.zeros(0, int)
+        value = A.mix(self.wh, 7)
+        best, where = value[at], at.copy()
+        for k in range(1, WINDOW):
+            new = value[at + k] <= best
+            best, where = np.where(new, value[at + k], best), np.where(new, at + k, where)
+        out[where] = True
+        return out
+
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(row, place << 8 | length, hash, repeats an earlier run of the row) of every run."""
         n = np.diff(self.row0)
@@ -134,12 +152,18 @@ def removals(docs: DataFrame) -> DataFrame:
     # stored, so that the join below is between two plain exchanges and a hot hash can be split
     first = stored(shared.groupBy("hash").agg(F.min(F.struct("doc_id", "uid", "at")).alias("first")))
     later = shared.join(first, "hash").filter(~F.struct("doc_id", "uid", "at").eqNullSafe(F.col("first")))
-    return later.groupBy(F.col("uid").alias("__uid")).agg(F.collect_set("at").alias("__runs"))
+    return later.groupBy("uid", "doc_id").agg(F.collect_set("at").alias("runs"))
 
 
 def _cut(docs: DataFrame) -> DataFrame:
+    """The columns of docs, then the list of runs to remove."""
+    uid, runs_ = unused(docs, "row_uid"), unused(docs, "cut_runs")
     doc_id = F.col("doc_id").cast("long")
-    return docs.withColumn("__uid", row_uid(doc_id, F.col("text"))).join(removals(docs), "__uid", "left").drop("__uid")
+    gone = removals(docs).select(F.col("uid").alias(f"{uid}_cut"), F.col("doc_id").alias(f"{uid}_id"), F.col("runs").alias(runs_))
+    marked = docs.withColumn(uid, row_uid(doc_id, F.col("text")))
+    # ids too: 64-bit hashes may agree by chance among very many rows
+    rows = marked.join(gone, (F.col(uid) == F.col(f"{uid}_cut")) & doc_id.eqNullSafe(F.col(f"{uid}_id")), "left")
+    return rows.select(*own_columns(docs), F.col(runs_))
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -179,7 +203,7 @@ def clean(docs: DataFrame) -> DataFrame:
             cols = [new if i == at else b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1]).filter(pa.array(keep, pa.bool_()))
 
-    out = _cut(docs).select(*(F.col(f"`{c}`") for c in docs.columns), "__runs").mapInArrow(run, docs.schema)
+    out = map_whole(_cut(docs), run, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
     return out

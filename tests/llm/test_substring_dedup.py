@@ -2,26 +2,33 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
 
 from ledgerline.llm import arrays as A, substring_dedup as S
 
 from .conftest import prose
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+WORD = re.compile(r"[\u0e00-\u0e7f\u3000-\u9fff]|[^\x20\x09-\x0D\u0e00-\u0e7f\u3000-\u9fff]+")
 
 
 def sentences(text):
-    """(start, end, words) by the stated rule; word hashes for cuts come from the module."""
+    """Sentences (lists of words) by the stated rule; word hashes come from the module."""
     words = list(WORD.finditer(text))
+    ends, value = [], []
+    for i, m in enumerate(words):
+        gap = text[m.end() : words[i + 1].start()] if i + 1 < len(words) else "\n"
+        low = np.frombuffer("".join(c.lower() if c.isascii() else c for c in m[0]).encode(), "uint8")
+        value.append(int(A.mix(A.span_hash(A.prefix_hash(low), np.array([0]), np.array([len(low)])), 7)[0]))
+        ends.append(m[0][-1] in ".!?" or "\n" in gap)
+    more = set()
+    for i in range(len(words) - S.WINDOW + 1):
+        if not any(ends[i : i + S.WINDOW]):
+            more.add(min(range(i, i + S.WINDOW), key=lambda j: (value[j], -j)))
     out, cur = [], []
     for i, m in enumerate(words):
         cur.append(m)
-        gap = text[m.end() : words[i + 1].start()] if i + 1 < len(words) else "\n"
-        low = "".join(c.lower() if c.isascii() else c for c in m[0]).encode()
-        c = A.Chunk(0, __import__("numpy").array([0, len(low)]), __import__("numpy").frombuffer(low, "uint8"))
-        cut = int(A.mix(A.span_hash(A.prefix_hash(c.data), c.off[:1], c.off[1:]), 7)[0]) % S.CUT == 0
-        if m[0][-1] in ".!?" or "\n" in gap or cut:
+        if ends[i] or i in more:
             out.append(cur)
             cur = []
     return out
@@ -60,6 +67,8 @@ def test_digest_matches_brute_force(spark):
         for _ in range(rng.randint(0, 2)):
             parts += [rng.choice(shared), prose(rng, rng.randint(0, 40))]
         docs.append((i, rng.choice([" ", "\n"]).join(parts)))
+    zh = "".join(rng.choice("日本語のテキスト汉字文本没有空格ก็คือ") for _ in range(90))
+    docs += [(50, zh + " abc"), (51, "abc" + zh[5:]), (52, "plain words " + zh[:70] + "end")]
     docs += [(60, docs[3][1]), (61, docs[3][1].upper()), (62, ""), (63, " \n")]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.doc_id: (r.n_sentences, r.n_removed, r.text) for r in S.digest(d).collect()}
@@ -88,3 +97,20 @@ def test_odd_rows(odd_docs):
     assert S.clean(odd_docs).columns == odd_docs.columns
     assert S.digest(odd_docs.limit(0)).count() == 0 and S.clean(odd_docs.limit(0)).count() == 0
     assert all(len(list(A.chunks(pa.array([], pa.string())))) == 0 for _ in (0,))
+
+
+def test_every_passage_over_fifty_words_is_found(spark):
+    """Run-on passages of 51 words, without a mark or a break, in other surroundings: all but the first are cut."""
+    rng = random.Random(21)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghijklm", k=rng.randint(2, 8))) for _ in range(n))
+    passages = [words(51) for _ in range(150)]
+    docs = [(2 * i + k, f"{words(30)} {p} {words(30)}") for i, p in enumerate(passages) for k in (0, 1)]
+    got = {r.doc_id: r.n_removed for r in S.digest(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all((n > 0) == (i % 2 == 1) for i, n in got.items())
+
+
+def test_segments():
+    texts = ["ab 日本cd", "", "日", "x日", " ก็ y", "abc", "é日é 日"]
+    (c,) = A.chunks(pa.array(texts))
+    s, e, row0 = c.segments(~A.SPACE[c.data])
+    assert [[c.data[a:b].tobytes().decode() for a, b in zip(s[i:j], e[i:j], strict=True)] for i, j in zip(row0[:-1], row0[1:], strict=True)] == [WORD.findall(t) for t in texts]
