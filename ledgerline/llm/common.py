@@ -21,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     ship(spark)
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="ledgerline-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
