@@ -81,19 +81,34 @@ def confidence_code(c: Column) -> Column:
     return F.when(c < VERY_LOW, "scrape_very_low_confidence").when(c < LOW, "scrape_low_confidence")
 
 
-def link_points(url: Column, text: Column) -> Column:
-    """Hundredths of a link; may be below 0 or above 100."""
-    path, query, low = part(url, 3), part(url, 4), F.lower(F.coalesce(text, F.lit("")))
-    value = F.concat_ws(" ", F.lower(path), F.lower(query), low)
-    short = F.lower(F.regexp_replace(path, "/+$", ""))
+def _link_texts(url: Column, text: Column) -> tuple[Column, Column]:
+    """Path, query and text of a link in lower case, and its text alone."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return F.concat_ws(" ", F.lower(part(url, 3)), F.lower(part(url, 4)), low), low
+
+
+def strong_link(url: Column, text: Column) -> Column:
+    """Does a link name a public directory of meetings outright?"""
+    short, query, low = F.lower(F.regexp_replace(part(url, 3), "/+$", "")), F.lower(part(url, 4)), _link_texts(url, text)[1]
     strong = F.lit(False)
     for s in STRONG_SUFFIXES:
         strong = strong | short.endswith(s)
     for s in STRONG_QUERIES:
-        strong = strong | F.lower(query).contains(s)
+        strong = strong | query.contains(s)
     for s in STRONG_TEXTS:
         strong = strong | low.contains(s)
-    return _points(strong, 45) + _terms(value, URL_TERMS, 25) + _terms(value, TEXT_TERMS, 18) - _terms(value, NEGATIVE_TERMS, 35)
+    return strong
+
+
+def negative_link(url: Column, text: Column) -> Column:
+    value = _link_texts(url, text)[0]
+    return F.exists(F.array(*map(F.lit, NEGATIVE_TERMS)), lambda t: value.contains(t))
+
+
+def link_points(url: Column, text: Column) -> Column:
+    """Hundredths of a link; may be below 0 or above 100."""
+    value, _ = _link_texts(url, text)
+    return _points(strong_link(url, text), 45) + _terms(value, URL_TERMS, 25) + _terms(value, TEXT_TERMS, 18) - _terms(value, NEGATIVE_TERMS, 35)
 
 
 def link_score(url: Column, text: Column) -> Column:

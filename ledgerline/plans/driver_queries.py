@@ -4,34 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import lookups, schedule, scoring, text as X, urls
 from ..operators import consolidate as D, merge, ranking, relational as R, review
 from . import model as M
 from .model import table
+from .registry import QUERIES, SQL, Query, query
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    from . import page_queries, source_queries  # noqa: F401
+
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    queries()
+    return dict(SQL)
 
 
 # ---- joins
@@ -512,15 +503,14 @@ def json_config_merge(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.to_json(merge.merge_json(F.col("props"), new)).alias("merged"))
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE WHEN z = 'UTC' AND l_orderkey % 3 > 0 THEN 'Europe/Rome' ELSE z END AS timezone FROM (SELECT *, CASE WHEN l_partkey % 2 = 0 THEN 'UTC' ELSE 'Asia/Tokyo' END AS z FROM lineitem) WHERE l_suppkey % 10 = 1")
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN z = 'UTC' AND l_orderkey % 3 > 0 THEN 'Europe/Rome' ELSE z END AS timezone FROM (SELECT *, CASE WHEN l_partkey % 2 = 0 THEN 'UTC' ELSE 'Asia/Tokyo' END AS z FROM lineitem)")
 def cleanup_timezones(spark: SparkSession, d: str) -> DataFrame:
     """Fall-back zones give way to the zone of the source, where it has one."""
-    li = table(spark, d, "lineitem").filter("l_suppkey % 10 = 1").select(F.col("l_orderkey").alias("source_id"), "l_linenumber", F.when(F.col("l_partkey") % 2 == 0, "UTC").otherwise("Asia/Tokyo").alias("timezone"))
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("source_id"), "l_linenumber", F.when(F.col("l_partkey") % 2 == 0, "UTC").otherwise("Asia/Tokyo").alias("timezone"))
     zones = table(spark, d, "orders").filter("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("source_id"), F.lit("Europe/Rome").alias("timezone"))
     return merge.repair_timezones(li, zones).select(F.col("source_id").alias("l_orderkey"), "l_linenumber", "timezone")
 
 
-_ = Window
 
 
 # ---- pages
@@ -591,7 +581,7 @@ def extracted_payloads(spark: SparkSession, d: str) -> DataFrame:
 _HOST = "lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1))"
 
 
-@query(f"""WITH RECURSIVE l AS (SELECT DISTINCT a.page_id AS src, b.page_id AS dst FROM pages a, pages b WHERE b.page_id = (a.page_id * 7 + 3) % 250 OR b.page_id = (a.page_id * 3 + 1) % 250),
+@query(f"""WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), l AS (SELECT DISTINCT a.page_id AS src, b.page_id AS dst FROM pages a, n, pages b WHERE b.page_id = (a.page_id * 7 + 3) % n OR b.page_id = (a.page_id * 3 + 1) % n),
 c AS (SELECT page_id AS root, page_id AS page, 0 AS depth FROM pages WHERE page_id % 50 = 0 UNION ALL SELECT c.root, l.dst, c.depth + 1 FROM c JOIN l ON l.src = c.page WHERE c.depth < 2)
 SELECT root, page, min(depth)::INTEGER AS depth FROM c GROUP BY 1, 2""")
 def crawl_bfs(spark: SparkSession, d: str) -> DataFrame:
@@ -599,7 +589,8 @@ def crawl_bfs(spark: SparkSession, d: str) -> DataFrame:
     from ..sources import discovery
 
     ids = table(spark, d, "pages").select("page_id")
-    steps = F.array(F.struct((F.col("page_id") * 7 + 3) % 250), F.struct((F.col("page_id") * 3 + 1) % 250))
+    n = ids.count()
+    steps = F.array(F.struct((F.col("page_id") * 7 + 3) % n), F.struct((F.col("page_id") * 3 + 1) % n))
     links = ids.select(F.col("page_id").alias("src"), F.explode(F.transform(steps, lambda s: s["col1"])).alias("dst")).distinct()
     links = links.join(ids.withColumnRenamed("page_id", "dst"), "dst", "left_semi")
     return discovery.crawl(links, ids.filter("page_id % 50 = 0").withColumnRenamed("page_id", "page"), 2)
@@ -609,7 +600,7 @@ def crawl_bfs(spark: SparkSession, d: str) -> DataFrame:
 def crawl_admission(spark: SparkSession, d: str) -> DataFrame:
     """May a crawl from the page's own site root follow its address?"""
     u = F.col("url")
-    root = F.concat(urls.part(u, 1), F.lit("://www."), F.expr("0").cast("string").substr(1, 0), urls.site(u), F.lit("/"))
+    root = F.concat(urls.part(u, 1), F.lit("://www."), urls.site(u), F.lit("/"))
     return table(spark, d, "pages").select("page_id", urls.host(u).alias("host"), urls.site(u).alias("site"), urls.admissible(root, u).alias("admissible"))
 
 

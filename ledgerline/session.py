@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -23,3 +23,16 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f"{root.name}/{f.relative_to(root)}")
     sc.addPyFile(str(path))
     _shipped.add(sc.applicationId)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df computed once and checkpointed to the shared folder in spark.checkpoint.dir, for loops whose plans would grow; a
+    folder of our own only where that is unset and all is on one machine."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(path or "file://" + tempfile.mkdtemp(prefix="ledgerline-"))
+    return df.checkpoint()

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import urls
+from ..functions import urls, zones
 from ..operators.ranking import first_wins
+from ..session import cut_lineage
 from .feeds import given
 
 ORPHAN = "https://www.na.org/?ID=phoneline"
@@ -25,8 +26,9 @@ def location_index(payloads: DataFrame) -> DataFrame:
 
 def locator_rows(payloads: DataFrame, orphan: str = ORPHAN) -> DataFrame:
     """Sources of a locator's data: a website, else its phone line, else a telephone; rows with none go. One row for each
-    normalized URL, the first."""
-    rows = payloads.select(F.posexplode(F.from_json(F.get_json_object("payload", "$.data"), f"array<{_LOCATOR}>")).alias("pos", "x")).select("pos", "x.*")
+    normalized URL, the first, by the payloads' order `at` where they have one."""
+    at = F.col("at").cast("long") if "at" in payloads.columns else F.lit(0).cast("long")
+    rows = payloads.select(at.alias("at"), F.posexplode(F.from_json(F.get_json_object("payload", "$.data"), f"array<{_LOCATOR}>")).alias("i", "x")).select((F.col("at") * (1 << 20) + F.col("i")).alias("pos"), "x.*")
     blank = lambda c: given(F.trim(F.col(c)))
     site = F.when(blank("website").rlike("^https?://"), blank("website")).otherwise(F.concat(F.lit("http://"), blank("website")))
     phone = F.coalesce(blank("phone"), blank("phone2"))
@@ -63,12 +65,15 @@ def classify_link(url: Column, world_host: str) -> Column:
 def crawl(links: DataFrame, roots: DataFrame, max_depth: int = 2) -> DataFrame:
     """Pages reached from the roots over captured links (src, dst): (root, page, depth), each page at its least depth.
 
-    A frontier loop of max_depth joins; each step drops what was reached before (an anti-join)."""
+    A frontier loop of max_depth joins; each step drops what was reached before (an anti-join), and every second frontier
+    is checkpointed, so that plans don't double with depth."""
     seen = roots.select(F.col("page").alias("root"), "page", F.lit(0).alias("depth"))
     frontier = seen
     for depth in range(1, max_depth + 1):
         step = frontier.join(links, frontier["page"] == links["src"]).select("root", F.col("dst").alias("page")).distinct()
         frontier = step.join(seen.select("root", "page"), ["root", "page"], "left_anti").withColumn("depth", F.lit(depth))
+        if depth % 2 == 0 and depth < max_depth:
+            frontier = cut_lineage(frontier)
         seen = seen.unionByName(frontier)
     return seen
 
@@ -89,3 +94,14 @@ def site_kind(payload: Column, content_type: Column) -> Column:
         .when(payload.rlike(r'^\s*\[\s*\{') & payload.rlike(r'"(?:id_bigint|weekday_tinyint)"'), "bmlt").when(payload.startswith("BEGIN:VCALENDAR"), "ics")
         .when(kind.contains("pdf") | payload.startswith("%PDF"), "pdf").when(payload.rlike(r"(?is)<html\b|<!doctype html"), "html").otherwise("unknown")
     )
+
+
+def sources_of(candidates: DataFrame) -> DataFrame:
+    """Discovered sources as source rows: id and normalized URL, the region named in the label where none is given, and a zone
+    in the config by place or by words."""
+    region = F.coalesce("region", zones.region_in_label(F.col("country"), F.col("label")))
+    out = candidates.withColumn("region", region)
+    zone = zones.for_source(F.col("country"), F.col("region"), F.col("label"), F.col("url"))
+    meta = F.col("metadata") if "metadata" in candidates.columns else F.lit(None).cast("string")
+    config = F.concat(F.lit("{"), F.concat_ws(",", F.concat(F.lit('"metadata":'), meta), F.concat(F.lit('"timezone":"'), zone, F.lit('"'))), F.lit("}"))
+    return out.withColumns({"id": urls.source_id(F.col("fellowship"), F.col("url")), "normalized_url": urls.normalize_url(F.col("url")), "config": config})

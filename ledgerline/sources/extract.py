@@ -1,13 +1,14 @@
 """Extractors: table functions from captured pages and texts to listing payloads.
 
 Each takes a page (a tree, its lines, its URL) and yields payload dictionaries. They run in Arrow batches under
-mapInPandas, one page after another; within a page they are tried in a fixed order (``KINDS``), and the fall-backs
-only where nothing was found before. Scores and first-wins dedupe follow as columns."""
+mapInPandas, one page after another; within a page the steps of ``STEPS`` follow one another: their rows are joined, and
+some end the page or run only where nothing was found before. Scores and first-wins dedupe follow as columns."""
 
 from __future__ import annotations
 
 import json
 import re
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.lookups import DAILY_NAMES
 from ..functions.scoring import WEEKDAYS
 from ..functions.schedule import RANGE_WITH_MARK, TIME
+from . import extract_text as T
 from .html import Node, parse, value
 
 Payload = dict[str, str]
@@ -72,6 +74,10 @@ class Page:
         self.root = parse(html) if "<" in self.html else None
         self.lines = self.root.lines() if self.root else [s for x in self.html.split("\n") if (s := x.strip())]
 
+    def raw_lines(self) -> list[str]:
+        """Lines with their tabs, also empty cells."""
+        return "\n".join(self.root.strings()).split("\n") if self.root else self.html.split("\n")
+
 
 def selected_rows(p: Page) -> Iterator[Payload]:
     """Rows and fields by the selectors in a source's config."""
@@ -183,21 +189,6 @@ def classed_rows(p: Page) -> Iterator[Payload]:
                 yield kept(place(n.lines(), out))
 
 
-def tabbed_schedule(p: Page) -> Iterator[Payload]:
-    """Lines of tab-separated cells under day headings that carry on until the next one."""
-    day = None
-    for line in p.lines:
-        cells = [c.strip() for c in line.split("\t")]
-        if len(cells) == 1:
-            day = heading_day(line) or day
-        elif len(cells) >= 4:
-            at = next((i for i, c in enumerate(cells) if first_clock(c)), None)
-            own = next((c for c in cells if heading_day(c)), None)
-            if at is not None and (own or day):
-                rest = [c for i, c in enumerate(cells) if i != at and c != own]
-                yield kept(place(rest, {"name": rest[0] if rest else None, "day": own or day, "time": first_clock(cells[at]), "city": rest[-1] if len(rest) > 2 else None}))
-
-
 def labelled_blocks(p: Page) -> Iterator[Payload]:
     """Blocks of Label: value lines; a repeated label begins the next block."""
     out: dict = {}
@@ -227,10 +218,22 @@ def repeated_cards(p: Page) -> Iterator[Payload]:
             return
 
 
+SECTIONS = ".entry-content, article, main, .panel"
+
+
 def day_sections(p: Page) -> Iterator[Payload]:
-    """Lines under day headings: each time begins a listing, what follows fills it."""
+    """Lines under day headings, in a page's main parts: each time begins a listing, what follows fills it."""
+    for n in p.root.select(SECTIONS) if p.root else []:
+        up = n.parent
+        while up is not None and not up.matches(SECTIONS):
+            up = up.parent
+        if up is None:  # a part within a part was read with it
+            yield from _day_lines([s for s in n.lines() if "\t" not in s])
+
+
+def _day_lines(lines: list[str]) -> Iterator[Payload]:
     day, cur, pending = None, None, None
-    for line in p.lines:
+    for line in lines:
         if d := heading_day(line):
             if cur:
                 yield kept(cur)
@@ -352,23 +355,47 @@ def sequenced_text(p: Page) -> Iterator[Payload]:
                 yield kept(place(p.lines[i + 1 : i + 4], {"name": name, "day": d, "time": t}))
 
 
-MAIN: tuple[tuple[str, Callable, float], ...] = (
-    ("configured", selected_rows, 0.78), ("feed_json", feed_json, 0.86), ("calendar", calendar, 0.82), ("classed_table", classed_table, 0.82), ("header_table", header_table, 0.0), ("day_matrix", day_matrix, 0.82), ("classed_rows", classed_rows, 0.78),
-    ("japanese", japanese_blocks, 0.75), ("tabbed", tabbed_schedule, 0.82), ("labelled", labelled_blocks, 0.82), ("cards", repeated_cards, 0.0), ("day_sections", day_sections, 0.75),
+def _text(f: Callable) -> Callable:
+    """An extractor of extract_text, which takes this module's patterns."""
+    return lambda p: f(p, sys.modules[__name__])
+
+
+STOP, STOP_WITH, ADD, ELSE = "stop", "stop with what was found", "add", "only if nothing was found"
+#: (what follows, extractors with their least confidence). STOP: if any of them gives a listing, the page is done with
+#: these alone; STOP_WITH: done with these and all before; ADD: go on; ELSE: one after the other until one gives any.
+STEPS: tuple[tuple[str, tuple[tuple[str, Callable, float], ...]], ...] = (
+    (STOP, (("configured", selected_rows, 0.78),)),
+    (STOP, (("feed_json", feed_json, 0.86), ("calendar", calendar, 0.82))),
+    (ADD, (("classed_table", classed_table, 0.82), ("header_table", header_table, 0.0), ("day_matrix", day_matrix, 0.82), ("heading_table", _text(T.heading_table), 0.82), ("classed_rows", classed_rows, 0.78))),
+    (STOP_WITH, (("japanese", japanese_blocks, 0.75),)),
+    (STOP_WITH, (("coded_tabs", _text(T.coded_tabs), 0.82), ("day_tabs", _text(T.day_tabs), 0.82), ("labelled", labelled_blocks, 0.82), ("place_sections", _text(T.place_sections), 0.78))),
+    (ADD, (("cards", repeated_cards, 0.0), ("day_sections", day_sections, 0.75))),
+    (ELSE, (
+        ("printed_list", _text(T.printed_list), 0.75), ("columns", column_text, 0.78), ("paragraphs", listing_paragraphs, 0.75), ("inline", inline_schedules, 0.75), ("numbered_list", _text(T.numbered_list), 0.0),
+        ("sequenced", sequenced_text, 0.0), ("text_block", text_blocks, 0.75),
+    )),
 )
-FALL_BACKS: tuple[tuple[str, Callable, float], ...] = (("paragraphs", listing_paragraphs, 0.75), ("columns", column_text, 0.78), ("inline", inline_schedules, 0.75), ("sequenced", sequenced_text, 0.0), ("text_block", text_blocks, 0.75))
-KINDS = [k for k, _, _ in (*MAIN, *FALL_BACKS)]
+KINDS = [k for _, fs in STEPS for k, _, _ in fs]
+
+
+def is_listing(x: Payload) -> bool:
+    """A day, a time, and some place or way to join."""
+    return bool(x.get("day") and x.get("time") and any(x.get(f) for f in ("address_line1", "venue_name", "city", "online_url", "phone_join_info")))
 
 
 def payloads(html: str | None, url: str, config: dict | None = None) -> Iterator[tuple[str, float, Payload]]:
-    """(kind, least confidence, payload) of a page: the first main extractor that gives any listing, else the fall-backs
-    until one does. A listing has a day and a time."""
+    """(kind, least confidence, payload) of a page."""
     page = Page(html, url, config)
-    for kind, f, floor in (*MAIN, *FALL_BACKS):
-        found = [x for x in f(page) if x.get("day") and x.get("time")]
-        yield from ((kind, floor, x) for x in found)
-        if found:
-            return
+    found: list[tuple[str, float, Payload]] = []
+    for then, kinds in STEPS:
+        step: list[tuple[str, float, Payload]] = []
+        for kind, f, floor in kinds:
+            if then != ELSE or not (found or step):
+                step += [(kind, floor, x) for x in f(page) if kind == "configured" and x or is_listing(x)]
+        found = step if then == STOP and step else found + step
+        if step and then in (STOP, STOP_WITH):
+            break
+    yield from found
 
 
 OUT = "page_id long, pos int, kind string, floor double, " + ", ".join(f"{f} string" for f in FIELDS)

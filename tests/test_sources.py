@@ -30,17 +30,59 @@ def test_extractors():
     assert found('<div class=m><h3>A</h3><i class=d>Lundi</i><i class=t>19h</i><a href="https://zoom.us/j/1">z</a></div>', config=cfg)[0][1]["online_url"] == "https://zoom.us/j/1"
     feed = json.dumps([{"id": 5, "name": "F", "day": 0, "time": "09:00", "types": ["O", "C"], "formatted_address": "1 Main St"}])
     assert found(feed) == [("feed_json", {"source_record_id": "5", "name": "F", "day": "Sunday", "time": "09:00", "formats": "O, C", "address_line1": "1 Main St"})]
-    sections = "<h2>Wednesday</h2><p>6:30 pm Early Birds</p><p>12 Oak Street</p><p>8:00 pm</p><p>Late Owls</p>"
+    sections = "<main><h2>Wednesday</h2><p>6:30 pm Early Birds</p><p>12 Oak Street</p><p>8:00 pm</p><p>Late Owls</p><p>Town Hall</p></main>"
     assert [(p["name"], p["day"], p["time"]) for _, p in found(sections)] == [("Early Birds", "Wednesday", "6:30 pm"), ("Late Owls", "Wednesday", "8:00 pm")]
-    labelled = "Name: Alpha\nDay: Friday\nTime: 7 pm\nName: Beta\nDay: Sunday\nTime: noon\nLocation: Hall"
+    labelled = "Name: Alpha\nDay: Friday\nTime: 7 pm\nLocation: Barn\nName: Beta\nDay: Sunday\nTime: noon\nLocation: Hall"
     assert [p["name"] for _, p in found(labelled)] == ["Alpha", "Beta"]
-    tabs = "Thursday\nEast Group\t7:00 pm\t4 Elm Road\tLeeds\nWest Group\t8:00 pm\t5 Elm Road\tYork"
+    tabs = "Thursday\nEast Group\tLeeds\t4 Elm Road\t7:00 pm\nWest Group\tYork\t5 Elm Road\t8:00 pm"
     assert [(p["name"], p["city"]) for _, p in found(tabs)] == [("East Group", "Leeds"), ("West Group", "York")]
     japanese = "月曜日\n●希望グループ\n午後7:30\n東京都中野区\n●休みグループ 休止中\n10:00"
     assert found(japanese) == [("japanese", {"name": "希望グループ", "day": "Monday", "time": "19:30", "address_line1": "東京都中野区"})]
     assert found("<p>Just prose, no schedule.</p>") == []
 
 
+def test_a_page_with_a_table_and_cards_gives_both():
+    table = "<table><tr><th>Meeting<th>Day<th>Time<th>Location</tr><tr><td>Hope<td>Monday<td>7:30 pm<td>St Anne Hall</tr></table>"
+    cards = "".join(f"<article><h3>{n}</h3><p>{d} 6 pm</p><p>{i} Oak Street</p></article>" for i, (n, d) in enumerate((("Dawn", "Friday"), ("Dusk", "Sunday")), 3))
+    assert [(k, p["name"]) for k, p in found(table + cards)][:3] == [("header_table", "Hope"), ("cards", "Dawn"), ("cards", "Dusk")]
+
+
+def test_tables_under_a_title():
+    page = "<table><tr><th colspan=3>Sunrise at 9 Elm Street</tr><tr><td>Monday<td>7:00 am<td>6:30 pm</tr><tr><td>Notes<td>none</tr><tr><td>Friday<td>8 pm</tr></table>"
+    assert [(p["name"], p["day"], p["time"], p["address_line1"]) for k, p in found(page) if k == "heading_table"] == [("Sunrise", d, t, "9 Elm Street") for d, t in (("Monday", "7:00 am"), ("Monday", "6:30 pm"), ("Friday", "8 pm"))]
+
+
+def test_coded_tabs():
+    text = "\tAB12\tx\tMonday\t7:00 pm\tHope\tHall\t\t\tTX\t\tOpen\tStep\n\t\t4 Oak Street\tAustin\n1\n\tAB13\t\tFriday\t6 pm\tDawn\tBarn\nhttps://zoom.us/j/9\n"
+    (_, a), (_, b) = found(text)
+    assert a == {"source_record_id": "AB12", "day": "Monday", "time": "7:00 pm", "name": "Hope", "venue_name": "Hall", "region": "TX", "formats": "Open, Step", "address_line1": "4 Oak Street", "city": "Austin"}
+    assert b["source_record_id"] == "AB13" and b["online_url"] == "https://zoom.us/j/9"
+
+
+def test_places_with_times():
+    page = "<section><h2>Lokacija: Trg 1, Maribor</h2><p>Upanje, Monday, Thursday čas: 19:00</p><p>no time</p></section><section><h2>News</h2><p>Monday čas: 18:00</p></section>"
+    assert [(p["name"], p["day"], p["address_line1"]) for k, p in found(page) if k == "place_sections"] == [("Upanje, Monday, Thursday", d, "Trg 1, Maribor") for d in ("Monday", "Thursday")]
+
+
+def test_numbered_list():
+    text = "Number found:\n2\nHope\n(1) Monday\n7:30 pm\nIn-person\nCo. Cork\nOpen meeting\nBlue Room\n12 Main Street\nDawn\nFriday\n6 am\nOnline\nDublin\nZoom 123 456 789\nPasscode x"
+    (_, a), (_, b) = found(text)
+    assert a == {"name": "Hope", "day": "Monday", "time": "7:30 pm", "attendance_option": "In-person", "region": "Co. Cork", "formats": "Open meeting", "venue_name": "Blue Room", "address_line1": "12 Main Street"}
+    assert b["phone_join_info"] == "Zoom 123 456 789 Passcode x" and b["city"] == "Dublin"
+
+
+def test_printed_lists():
+    pdf = lambda t: f'<html><body><div data-pdf-text-fallback="true"><pre>{t}</pre></div></body></html>'
+    text = "AREA MEETING LIST\nMonday\n7:00 pm Hope\n12 Main Street\nBlue Room\nAUSTIN 8:30 pm Night Owls\nBasement (rear)\nTuesday:\nDawn; Tue 6:00 am, 4 Oak Street\nFriday\nLate Group\n9 Elm Street\n12:00 pm\nwww.x.org"
+    got = [p for k, p in found(pdf(text)) if k == "printed_list"]
+    assert [(p["name"], p["day"], p["time"]) for p in got] == [("Hope", "Monday", "7:00 pm"), ("Night Owls", "Monday", "8:30 pm"), ("Dawn", "Tue", "6:00 am"), ("Late Group", "Friday", "12:00 pm")]
+    assert got[0]["address_line1"] == "12 Main Street" and got[0]["venue_name"] == "Blue Room" and got[1]["city"] == "Austin" and got[2]["address_line1"] == "4 Oak Street" and got[3]["address_line1"] == "9 Elm Street"
+    jp = "月曜日\n中央教会\n希望グループ\n19:00\n札幌市中央区北1条\n火\n10:30 あさひ\n旭川市5丁目"
+    got = [p for k, p in found(pdf(jp)) if k == "printed_list"]
+    assert [(p["name"], p["day"], p["time"], p["address_line1"]) for p in got] == [("希望グループ", "Monday", "19:00", "札幌市中央区北1条"), ("あさひ", "Tuesday", "10:30", "旭川市5丁目")]
+    assert got[0]["venue_name"] == "中央教会"
+
+
 def test_calendar_keeps_current_weekly_events():
     ics = "BEGIN:VCALENDAR\r\nX-WR-TIMEZONE:Europe/Dublin\r\n" + "".join(
         f"BEGIN:VEVENT\r\nUID:{u}\r\nSUMMARY:Step\\, group\r\nLOCATION:1 Main\r\n  St\r\nDTSTART:20240103T193000\r\nRRULE:{r}\r\nEND:VEVENT\r\n" for u, r in (("a", "FREQ=WEEKLY;BYDAY=WE"), ("b", "FREQ=MONTHLY"), ("c", "FREQ=WEEKLY;UNTIL=20230101T000000Z"))
@@ -50,7 +92,7 @@ def test_calendar_keeps_current_weekly_events():
 
 
 def test_extract_in_spark_drops_repeats(spark):
-    page = "<h3>Friday</h3><p>7 pm Dawn</p><p>7 pm Dawn</p>"
+    page = "<main><h3>Friday</h3><p>7 pm Dawn</p><p>9 Oak Street</p><p>7 pm Dawn</p><p>9 Oak Street</p></main>"
     rows = extract.extract(spark.createDataFrame([(1, "u", page), (2, "u", None), (3, "u", "")], "page_id long, url string, html string")).collect()
     assert [(r.page_id, r.name, r.time) for r in rows] == [(1, "Dawn", "7 pm")]
 
