@@ -1 +1,274 @@
-"""Queries on pages."""
+"""Queries on pages: extractors over pages written from driver tables, and a crawl's rules over captured links."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from ..functions import schedule, urls
+from ..operators import crawl as C
+from ..operators.ranking import first_wins
+from ..sources import discovery, extract
+from .model import pick, table
+from .registry import query
+from .source_queries import _sql_pick
+
+DAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+_K = F.col("c_custkey")
+_DAY, _SQL_DAY = pick(DAYS, _K), _sql_pick(DAYS, "c_custkey")
+_HOUR, _SQL_HOUR = F.concat((_K % 11 + 1).cast("string"), F.lit(":30 pm")), "(c_custkey % 11 + 1) || ':30 pm'"
+_STREET, _SQL_STREET = F.concat((_K % 900 + 1).cast("string"), F.lit(" Oak Street")), "(c_custkey % 900 + 1) || ' Oak Street'"
+_NAME, _SQL_NAME = F.concat(F.lit("Group "), F.translate(_K.cast("string"), "0123456789", "bcdfghjklm")), "'Group ' || translate(c_custkey::VARCHAR, '0123456789', 'bcdfghjklm')"
+
+
+def _t(*parts: str | Column) -> Column:
+    return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+
+
+def _extracted(spark: SparkSession, d: str, html: Column, *cols: str, config: Column | None = None) -> DataFrame:
+    pages = table(spark, d, "customer").select(_K.alias("page_id"), F.lit("https://x.org/meetings").alias("url"), html.alias("html"), (config if config is not None else F.lit(None).cast("string")).alias("config"))
+    return extract.extract(pages).select(F.col("page_id").alias("c_custkey"), "kind", *cols)
+
+
+_ROW = f"{_SQL_NAME} AS name, {_SQL_DAY} AS day, {_SQL_HOUR} AS time"
+
+
+@query(f"""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'classed_table' WHEN 1 THEN 'header_table' WHEN 2 THEN 'day_matrix' WHEN 3 THEN 'heading_table' ELSE 'classed_rows' END AS kind, {_SQL_NAME} AS name, {_SQL_DAY} AS day,
+CASE c_custkey % 5 WHEN 0 THEN '1' || (c_custkey % 10) || ':15' ELSE {_SQL_HOUR} END AS time, CASE WHEN c_custkey % 5 = 2 THEN 'Cork' END AS city, CASE WHEN c_custkey % 5 IN (1, 3, 4) THEN {_SQL_STREET} END AS address_line1 FROM customer""")
+def extract_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Five shapes of tables and rows: cells with classes, known headings, a column a day, a spanning title, classed blocks."""
+    cell = lambda c, cls="": _t(f'<td class="{cls}">' if cls else "<td>", c, "</td>")
+    sort = _t('<td class="time" data-sort="', (F.pmod(_K, F.lit(7)) + 1).cast("string"), "-1", (_K % 10).cast("string"), ':15">x</td>')
+    classed = _t("<table><tr>", sort, cell(_NAME, "name"), cell(F.lit("Hall"), "location"), "</tr></table>")
+    headed = _t("<table><tr><th>Meeting name<th>Weekday<th>Start time<th>Address</tr><tr>", cell(_NAME), cell(_DAY), cell(_HOUR), cell(_STREET), "</tr></table>")
+    days = [_t("<td>", F.when(_K % 7 == i, _HOUR).otherwise(""), "</td>") for i in range(7)]
+    matrix = _t("<table><tr><th>Group", *(f"<th>{x}" for x in DAYS), "</tr><tr><td colspan=8>Cork</td></tr><tr><td>", _NAME, "</td>", *days, "</tr></table>")
+    titled = _t("<table><tr><th colspan=2>", _NAME, " at ", _STREET, "</th></tr><tr><td>", _DAY, "</td><td>", _HOUR, "</td></tr><tr><td>Notes</td><td>none</td></tr></table>")
+    rows = _t('<div class="meeting-row"><h3>', _NAME, "</h3><p>", _DAY, " ", _HOUR, "</p><p>", _STREET, "</p></div>")
+    html = F.when(_K % 5 == 0, classed).when(_K % 5 == 1, headed).when(_K % 5 == 2, matrix).when(_K % 5 == 3, titled).otherwise(rows)
+    return _extracted(spark, d, html, "name", "day", "time", "city", "address_line1")
+
+
+@query(f"""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'coded_tabs' WHEN 1 THEN 'day_tabs' WHEN 2 THEN 'labelled' WHEN 3 THEN 'place_sections' ELSE 'japanese' END AS kind, CASE c_custkey % 5 WHEN 4 THEN '希望' || c_custkey ELSE {_SQL_NAME} END AS name, {_SQL_DAY} AS day,
+CASE c_custkey % 5 WHEN 4 THEN (c_custkey % 11 + 13) || ':30' ELSE {_SQL_HOUR} END AS time, CASE c_custkey % 5 WHEN 4 THEN '東京都中野区' ELSE {_SQL_STREET} END AS address_line1, CASE c_custkey % 5 WHEN 0 THEN 'AB' || c_custkey END AS source_record_id FROM customer""")
+def extract_schedules(spark: SparkSession, d: str) -> DataFrame:
+    """Tabbed lines with codes, tabbed lines under days, labelled blocks, places with times, and Japanese blocks."""
+    coded = _t("\tAB", _K.cast("string"), "\tx\t", _DAY, "\t", _HOUR, "\t", _NAME, "\tHall\n\t", _STREET, "\n")
+    tabs = _t(_DAY, "\n", _NAME, "\tCork\t", _STREET, "\t", _HOUR, "\nloose\tline\n")
+    labels = _t("Name: ", _NAME, "\nDay: ", _DAY, "\nTime: ", _HOUR, "\nAddress: ", _STREET, "\n")
+    places = _t("<section><h2>Lokacija: ", _STREET, "</h2><ul><li>", _NAME, " čas: ", _HOUR, " ", _DAY, "</li><li>no label</li></ul></section>")
+    japanese = _t("<p>", pick(("月", "火", "水", "木", "金", "土", "日"), _K), "曜日</p><p>●希望", _K.cast("string"), "</p><p>午後", (_K % 11 + 1).cast("string"), ":30</p><p>東京都中野区</p><p>●休み</p><p>休止中 10:00</p>")
+    html = F.when(_K % 5 == 0, coded).when(_K % 5 == 1, tabs).when(_K % 5 == 2, labels).when(_K % 5 == 3, places).otherwise(japanese)
+    return _extracted(spark, d, html, "name", "day", "time", "address_line1", "source_record_id")
+
+
+@query(f"""SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN 'day_sections' WHEN 1 THEN 'columns' WHEN 2 THEN 'paragraphs' WHEN 3 THEN 'inline' WHEN 4 THEN 'numbered_list' WHEN 5 THEN 'sequenced' ELSE 'text_block' END AS kind, {_ROW},
+CASE c_custkey % 7 WHEN 2 THEN {_SQL_NAME} || ', ' || {_SQL_DAY} || ' ' || {_SQL_HOUR} || ' ' || {_SQL_STREET} ELSE {_SQL_STREET} END AS address_line1 FROM customer""")
+def extract_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Seven shapes of running text: sections by day, one cell a line, paragraphs, inline pairs, numbered lists, names before
+    times, and blocks."""
+    sections = _t("<main><h2>", _DAY, "</h2><p>", _HOUR, " ", _NAME, "</p><p>", _STREET, "</p></main>")
+    columns = _t("<div>", _HOUR, "</div><div>", _DAY, "</div><div>", _NAME, "</div><div>Hall</div><div>", _STREET, "</div>")
+    paragraph = _t("<p>", _NAME, ", ", _DAY, " ", _HOUR, " ", _STREET, "</p>")
+    inline = _t("<div>", _NAME, " ", _DAY, " ", _HOUR, " ", _STREET, "</div>")
+    numbered = _t("Number found:\n1\n", _NAME, "\n(1) ", _DAY, "\n", _HOUR, "\nIn-person\nCo. Cork\n", _STREET, "\n")
+    sequenced = _t("<div>", _NAME, "</div><div>", _DAY, " ", _HOUR, "</div><div>", _STREET, "</div>")
+    block = _t("<div>", _NAME, "</div><div>", _DAY, "</div><div>", _HOUR, "</div><div>", _STREET, "</div>")
+    html = F.when(_K % 7 == 0, sections).when(_K % 7 == 1, columns).when(_K % 7 == 2, paragraph).when(_K % 7 == 3, inline).when(_K % 7 == 4, numbered).when(_K % 7 == 5, sequenced).otherwise(block)
+    return _extracted(spark, d, html, "name", "day", "time", "address_line1")
+
+
+_ICS_DAY = _sql_pick(("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"), "c_custkey")
+
+
+@query(f"""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'configured' WHEN 1 THEN 'feed_json' WHEN 2 THEN 'calendar' ELSE 'printed_list' END AS kind, CASE c_custkey % 5 WHEN 4 THEN 'あさひ' || c_custkey ELSE {_SQL_NAME} END AS name, {_SQL_DAY} AS day,
+CASE c_custkey % 5 WHEN 2 THEN '1' || (c_custkey % 10) || ':30' WHEN 4 THEN '1' || (c_custkey % 10) || ':30' ELSE {_SQL_HOUR} END AS time, CASE c_custkey % 5 WHEN 4 THEN '札幌市中央区' ELSE {_SQL_STREET} END AS address_line1 FROM customer""")
+def extract_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Selectors from a source's config, listing JSON, weekly calendar events, and texts of printed lists, also Japanese ones."""
+    configured = _t('<div class="m"><b>', _NAME, '</b><i class="d">', _DAY, '</i><i class="t">', _HOUR, '</i><i class="a">', _STREET, "</i></div>")
+    item = F.struct(_NAME.alias("name"), ((_K + 1) % 7).alias("day"), _HOUR.alias("time"), _STREET.alias("formatted_address"))
+    feed = F.to_json(F.struct(F.array(item).alias("meetings")))
+    event = lambda rule: _t("BEGIN:VEVENT\r\nSUMMARY:", _NAME, "\r\nLOCATION:", _STREET, "\r\nDTSTART:20240101T1", (_K % 10).cast("string"), f"3000\r\nRRULE:{rule}", "\r\nEND:VEVENT\r\n")
+    code = pick(("MO", "TU", "WE", "TH", "FR", "SA", "SU"), _K)
+    weekly = _t("BEGIN:VEVENT\r\nSUMMARY:", _NAME, "\r\nLOCATION:", _STREET, "\r\nDTSTART:20240101T1", (_K % 10).cast("string"), "3000\r\nRRULE:FREQ=WEEKLY;BYDAY=", code, "\r\nEND:VEVENT\r\n")
+    ics = _t("BEGIN:VCALENDAR\r\n", event("FREQ=MONTHLY"), weekly, event("FREQ=WEEKLY;UNTIL=20230101T000000Z"), "END:VCALENDAR")
+    pdf = lambda *x: _t('<div data-pdf-text-fallback="true"><pre>', *x, "</pre></div>")
+    printed = pdf("AREA MEETING LIST\n", _DAY, "\n", _HOUR, " ", _NAME, "\n", _STREET, "\nwww.x.org")
+    japanese = pdf(pick(("月", "火", "水", "木", "金", "土", "日"), _K), "曜日\n1", (_K % 10).cast("string"), ":30 あさひ", _K.cast("string"), "\n札幌市中央区\n")
+    html = F.when(_K % 5 == 0, configured).when(_K % 5 == 1, feed).when(_K % 5 == 2, ics).when(_K % 5 == 3, printed).otherwise(japanese)
+    config = F.when(_K % 5 == 0, '{"selectors": {"row": ".m", "name": "b", "day": ".d", "time": ".t", "address_line1": ".a"}}').otherwise('{"as_of": "20240101"}')
+    return _extracted(spark, d, html, "name", "day", "time", "address_line1", config=config)
+
+
+@query(f"""SELECT c_custkey, count(*)::BIGINT AS n, string_agg(kind, ',' ORDER BY kind) AS kinds FROM (SELECT c_custkey, 'header_table' AS kind FROM customer UNION ALL SELECT c_custkey, 'cards' FROM customer UNION ALL SELECT c_custkey, 'cards' FROM customer) GROUP BY 1""")
+def extractor_union(spark: SparkSession, d: str) -> DataFrame:
+    """A page with a table and with cards gives the rows of both, and no fall-back's."""
+    card = lambda n: _t("<article><h3>", _NAME, f" {n}</h3><p>", _DAY, " ", _HOUR, "</p><p>", _STREET, "</p></article>")
+    html = _t("<table><tr><th>Meeting<th>Day<th>Time<th>Address</tr><tr><td>", _NAME, "</td><td>", _DAY, "</td><td>", _HOUR, "</td><td>", _STREET, "</td></tr></table>", card("one"), card("two"))
+    rows = _extracted(spark, d, html, "name")
+    return rows.groupBy("c_custkey").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("kind")), ",").alias("kinds"))
+
+
+# ---- times and days in texts
+
+CLOCKS = ("noon", "midnight", "kl. 19.30", "19h", "7p", "1930pm", "14:00 pm", "7:30 - 8:30 pm", "8")
+CLEAN = ("12:00 pm", "12:00 am", "19:30", "19:00", "7pm", "19:30pm", "14:00", "7:30", "8:00")
+
+
+@query(f"SELECT c_custkey, {_sql_pick(CLEAN, 'c_custkey')} AS cleaned FROM customer")
+def cleaned_times(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "customer").select("c_custkey", schedule.clean_time(pick(CLOCKS, _K)).alias("cleaned"))
+
+
+DAY_WORDS = ("daily", "Monday", "lundi", "7", "0", "x", "воскресенье", "Сб", "sabtu")
+
+
+@query(f"SELECT c_custkey, TRY_CAST({_sql_pick(('0', '1', '1', '0', '0', None, '0', None, '6'), 'c_custkey')} AS INTEGER) AS day FROM customer")
+def normalized_day(spark: SparkSession, d: str) -> DataFrame:
+    """The first day that a word stands for."""
+    return table(spark, d, "customer").select("c_custkey", schedule.normalize_day(pick(DAY_WORDS, _K)).cast("int").alias("day"))
+
+
+# ---- the crawl
+
+SITE = "https://www.site{k}.org/area/"
+_PATHS = ("area/meetings/", "area/donate", "groups/list", "news", "a.pdf", "area/x", "where-to-find", "Meeting-Schedule")
+_SCORES = (90, 0, 50, 0, 0, 40, 70, 120)
+
+
+def _links(spark: SparkSession, d: str) -> DataFrame:
+    """orders as links from the sites of customers."""
+    k = F.col("o_orderkey")
+    host = F.concat(F.lit("https://www.site"), "o_custkey", F.lit(".org/"))
+    return table(spark, d, "orders").select(F.concat(host, F.lit("area/")).alias("source_url"), (k % 1_000_000).cast("int").alias("pos"), F.concat(host, pick(_PATHS, k), F.when(k % 3 == 0, F.concat(F.lit("?p="), k)).otherwise("")).alias("url"), F.lit("link").alias("text"), "o_orderkey")
+
+
+@query(r"""WITH t AS (SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN 'area' WHEN 1 THEN 'area' WHEN 5 THEN 'area' ELSE '' END AS area, o_orderkey % 8 AS p FROM orders)
+SELECT o_orderkey, p IN (0, 1, 5) AS child, p IN (2, 6, 7) AND p <> 2 AS common, false AS landing, p IN (0, 2, 6, 7) AS directory FROM t""")
+def link_relevance(spark: SparkSession, d: str) -> DataFrame:
+    """What links are to their source: below it, on a path where meetings usually are, its front page, a directory of meetings."""
+    u, s = F.col("url"), F.col("source_url")
+    return _links(spark, d).select("o_orderkey", C.is_child(s, u).alias("child"), C.is_common_path(s, u).alias("common"), C.is_landing(u).alias("landing"), C.is_directory(u, F.col("text")).alias("directory"))
+
+
+@query("""SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY score DESC, o_orderkey)::INTEGER AS rank FROM (SELECT o_orderkey, o_custkey, list_extract([140, 40, 50, 0, 0, 40, 70, 100], o_orderkey % 8 + 1) AS score FROM orders) WHERE score > 0""")
+def prioritized_links(spark: SparkSession, d: str) -> DataFrame:
+    """Links to follow, best first within each source."""
+    return C.prioritized(_links(spark, d)).select("o_orderkey", "rank")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 8 = 5")
+def fall_back_links(spark: SparkSession, d: str) -> DataFrame:
+    """Links that say nothing for or against meetings, other than files."""
+    return C.fall_backs(_links(spark, d)).select("o_orderkey")
+
+
+_GUESSED = sorted({p.rstrip("/").lower() or "/" for p in C.COMMON_PATHS})
+
+
+@query(f"""SELECT c_custkey, {len(C.COMMON_PATHS)} - CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS n, 'https://h' || c_custkey || '.org/' || CASE WHEN c_custkey % 2 = 0 THEN 'meetings/' ELSE 'meeting/' END AS first_url, 'meetings/find a meeting' AS third FROM customer""")
+def common_path_guesses(spark: SparkSession, d: str) -> DataFrame:
+    """Pages to try on each site; a site that begins at one of the paths isn't tried there again."""
+    s = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("https://h"), _K, F.lit(".org"), F.when(_K % 2 == 0, "/meeting").otherwise("/home")).alias("source_url"))
+    g = C.guesses(s.select("source_url")).groupBy("source_url").agg(F.count("*").cast("int").alias("n"), F.min_by("url", "pos").alias("first_url"), F.max(F.when(F.col("pos") == 2, F.col("text"))).alias("third"))
+    return s.join(g, "source_url").select("c_custkey", "n", "first_url", "third")
+
+
+_CONFIG = ('{"scrape":{"successful_pages":[{"url":"https://w.org/a#x","records_extracted":8},{"url":"https://w.org/b","records_extracted":0}],"successful_page_urls":["https://w.org/a","https://w.org/c"],"last_successful_page_url":"https://w.org/d","last_successful_page_records":3}}', "{}", '{"scrape":{"successful_page_urls":["https://w.org/1","https://w.org/2","https://w.org/3","https://w.org/4","https://w.org/5","https://w.org/6"]}}')
+
+
+def _remembering(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "customer").select("c_custkey", F.concat(F.lit("https://w.org/?s="), _K).alias("source_url"), pick(_CONFIG, _K).alias("config"))
+
+
+@query("""SELECT c_custkey, x AS url FROM customer, LATERAL (SELECT unnest(CASE c_custkey % 3 WHEN 0 THEN ['a', 'b', 'c', 'd'] WHEN 2 THEN ['1', '2', '3', '4', '5'] ELSE [] END) AS x)""")
+def remembered_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages that gave rows before: three lists in turn, each page once, five at most."""
+    s = _remembering(spark, d)
+    return C.remembered(s).join(s.select("c_custkey", "source_url"), "source_url").select("c_custkey", F.regexp_extract("url", "([^/]+)$", 1).alias("url"))
+
+
+@query("""SELECT c_custkey, depth, n FROM (SELECT c_custkey, -1 AS depth, CASE c_custkey % 3 WHEN 0 THEN 4 WHEN 2 THEN 5 ELSE 0 END::BIGINT AS n FROM customer UNION ALL SELECT c_custkey, 0, 1 FROM customer) WHERE n > 0""")
+def crawl_frontier(spark: SparkSession, d: str) -> DataFrame:
+    """Where a crawl begins: remembered pages, then the source."""
+    s = _remembering(spark, d)
+    return C.first_frontier(s).join(s.select("c_custkey", "source_url"), "source_url").groupBy("c_custkey", "depth").agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN CASE c_custkey % 4 WHEN 0 THEN 8 WHEN 2 THEN 3 END END AS expected FROM customer")
+def expected_records(spark: SparkSession, d: str) -> DataFrame:
+    """How many rows a page gave when it was last read."""
+    page = pick(("https://w.org/a", "https://w.org/b", "https://w.org/d#top", "https://w.org/none"), _K)
+    return _remembering(spark, d).select("c_custkey", C.expected_records(F.col("config"), page).alias("expected"))
+
+
+@query("""WITH p AS (SELECT l_orderkey, l_linenumber, l_quantity::INTEGER % 12 AS n, l_discount * 10 AS s, l_orderkey % 3 = 0 AS land, l_partkey % 2 = 0 AS deeper, l_partkey % 5 = 0 AS branch, l_suppkey % 2 = 0 AS waiting, CASE WHEN l_partkey % 3 > 0 THEN l_partkey % 12 END AS e, l_returnflag = 'R' AS sig FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN n > 0 AND land THEN NOT deeper WHEN n > 0 AND branch THEN false ELSE n >= 3 AND s >= 0.5 END AS good, n > 0 AND NOT waiting AND (e IS NULL OR e <= 2 OR n >= greatest(1, floor(e * 0.75))) AS remembered, n <= 0 AND NOT land AND s >= 0.5 AND sig AS empty FROM p""")
+def stop_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Three reasons to end a crawl, over all line items as pages."""
+    c = F.col
+    pages = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", (c("l_quantity").cast("int") % 12).alias("extracted"), (c("l_discount") * 10).alias("page_score"), F.when(c("l_orderkey") % 3 == 0, "https://x.org/").otherwise("https://x.org/list").alias("url"), (c("l_partkey") % 2 == 0).alias("deeper"),
+        (c("l_partkey") % 5 == 0).alias("pending_branch"), (c("l_suppkey") % 2 == 0).alias("pending_remembered"), F.when(c("l_partkey") % 3 > 0, c("l_partkey") % 12).alias("expected"), F.when(c("l_returnflag") == "R", F.array(F.lit("meeting_table"), F.lit("x"))).otherwise(F.array(F.lit("x"))).alias("signals"),
+    )
+    return C.stops(pages).select("l_orderkey", "l_linenumber", c("stop_good").alias("good"), c("stop_remembered").alias("remembered"), c("stop_empty").alias("empty"))
+
+
+@query("""SELECT event_id, event_id % 2 = 0 AND CASE WHEN user_id % 2 = 0 THEN true WHEN event_type = 'error' THEN false ELSE event_type <> 'purchase' END AS allowed, value / 100 < 0.18 AND user_id % 3 > 0 AS vetoed FROM events""")
+def search_permission(spark: SparkSession, d: str) -> DataFrame:
+    """May a page's search form be sent, and is a page too unlike a meeting page to be read?"""
+    signals = F.when(F.col("event_type") == "error", F.array(F.lit("meeting_form"))).when(F.col("event_type") == "purchase", F.array(F.lit("body:meeting list"))).otherwise(F.array(F.lit("text:groups")))
+    return table(spark, d, "events").select("event_id", C.may_search(F.col("event_id") % 2 == 0, F.col("user_id") % 2 > 0, signals).alias("allowed"), C.below_veto(F.col("user_id") % 3 == 0, F.col("value") / 100).alias("vetoed"))
+
+
+TITLES = ("Meetings", "404 error", "Page not found", "Seite nicht gefunden", None, "Страница не найдена", "Groups")
+
+
+@query("SELECT o_orderkey, o_orderkey % 7 IN (1, 2, 3, 5) OR contains(o_orderkey::VARCHAR, '404') AS missing, o_orderkey % 8 NOT IN (6, 7) AS stays FROM orders")
+def not_found_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages that don't exist, and which waiting pages stay once a guess has failed."""
+    k = F.col("o_orderkey")
+    links = _links(spark, d)
+    left = C.without_common_paths(links).select("o_orderkey", F.lit(True).alias("stays"))
+    return links.join(left, "o_orderkey", "left").select("o_orderkey", C.not_found(pick(TITLES, k), F.concat(F.lit("https://x.org/"), k)).alias("missing"), F.coalesce("stays", F.lit(False)).alias("stays"))
+
+
+FILES = (("https://x.org/Meeting_List.pdf", "get"), ("https://x.org/f.pdf", "Area newsletter"), ("https://x.org/f.pdf", "Meeting schedule"), ("https://x.org/?current-meeting-list=1", "our meeting list"), ("https://x.org/?current-meeting-list=", "meeting list"), ("https://x.org/list", "meeting list"), ("https://x.org/%E3%83%9F.pdf", "会場案内"))
+
+
+@query("SELECT c_custkey, c_custkey % 7 IN (0, 2, 3, 6) AS meeting_list, c_custkey % 7 = 3 AS download FROM customer")
+def meeting_list_links(spark: SparkSession, d: str) -> DataFrame:
+    """Links to meeting lists to download, by names and query."""
+    u, t = pick(tuple(f[0] for f in FILES), _K), pick(tuple(f[1] for f in FILES), _K)
+    return table(spark, d, "customer").select("c_custkey", C.is_meeting_pdf(u, t).alias("meeting_list"), C.has_list_query(u).alias("download"))
+
+
+QUERIES = ("", "tsml-region=cork&tsml-region=x", "tsml-district=all", "TSML-attendance_option=in_person&x=1", "q=1")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 5 IN (1, 2, 3) THEN 'https://x.org/wp-admin/admin-ajax.php?action=meetings' || CASE c_custkey % 5 WHEN 1 THEN '&region=cork' WHEN 3 THEN '&attendance_option=in_person' ELSE '' END END AS feed, c_custkey % 5 IN (1, 2, 3) AS is_feed FROM customer""")
+def feed_urls(spark: SparkSession, d: str) -> DataFrame:
+    """The feeds behind filtered pages."""
+    feed = C.feed_url(F.concat(F.lit("https://x.org/list?"), pick(QUERIES, _K)))
+    return table(spark, d, "customer").select("c_custkey", feed.alias("feed"), F.coalesce(C.is_feed_url(feed), F.lit(False)).alias("is_feed"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'https://calendar.google.com/calendar/ical/g' || c_custkey || '@x.org/public/basic.ics' WHEN 1 THEN 'https://calendar.google.com/calendar/ical/h' || c_custkey || '@x.org/public/basic.ics' WHEN 2 THEN 'https://calendar.google.com/calendar/ical/plain/public/basic.ics' END AS ics FROM customer""")
+def calendar_feeds(spark: SparkSession, d: str) -> DataFrame:
+    """Calendar files behind frames: plain addresses, encoded ones, others as they are; other frames have none."""
+    code = F.regexp_replace(F.translate(F.base64(F.concat(F.lit("h"), _K, F.lit("@x.org")).cast("binary")), "+/", "-_"), "=+$", "")
+    src = F.when(_K % 4 == 0, F.concat(F.lit("g"), _K, F.lit("%40x.org"))).when(_K % 4 == 1, code).otherwise("plain")
+    frame = F.concat(F.when(_K % 4 == 3, "https://maps.google.com/embed?src=").otherwise("https://calendar.google.com/calendar/embed?mode=week&src="), src)
+    html = _t('<iframe src="', frame, '"></iframe><iframe src="', frame, '"></iframe><a href="/x">x</a>')
+    pages = table(spark, d, "customer").select(_K.alias("page_id"), html.alias("html"))
+    frames = first_wins(extract.frames(pages), ["page_id", "src"], ["pos"])
+    return frames.select(F.col("page_id").alias("c_custkey"), C.calendar_feed(F.col("src")).alias("ics"))
+
+
+@query("SELECT page_id, url AS normalized_url FROM (SELECT page_id, 'https://s' || page_id || '.org/' AS url FROM pages) WHERE page_id % 3 = 0")
+def admitted_links(spark: SparkSession, d: str) -> DataFrame:
+    """Anchors as sources: absolute, the first of each, mail and phone left out."""
+    k = F.col("page_id")
+    html = F.when(k % 3 == 0, _t('<a href="https://s', k.cast("string"), '.org">a</a><a href="https://S', k.cast("string"), '.org/#x">b</a><a href="mailto:x">m</a>')).otherwise('<a href="tel:1">t</a><a href="https://y.org"></a>')
+    links = extract.links(table(spark, d, "pages").select("page_id", html.alias("html")))
+    out = discovery.source_links(links, F.lit("https://base.org/")).withColumn("normalized_url", urls.normalize_url(F.col("url")))
+    return first_wins(out, ["page_id", "normalized_url"], ["pos"]).select("page_id", "normalized_url")

@@ -461,3 +461,14 @@ def page_parts(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, title string, headings string, text string, has_form boolean, has_table boolean")
 
 
+
+
+def frames(pages: DataFrame) -> DataFrame:
+    """Frames, embeds and objects of pages in document order: (page_id, pos, src)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(i, pos, src) for i, html in b.itertuples(index=False) for pos, n in enumerate(parse(html).select("iframe[src], embed[src], object[data]")) if (src := n.attrs["data" if n.tag == "object" else "src"].strip())]
+            yield pd.DataFrame(rows, columns=["page_id", "pos", "src"])
+
+    return pages.select("page_id", "html").mapInPandas(run, "page_id long, pos int, src string")
