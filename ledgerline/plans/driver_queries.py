@@ -15,7 +15,7 @@ from .registry import QUERIES, SQL, Query, query
 
 
 def queries() -> dict[str, Query]:
-    from . import page_queries, source_queries  # noqa: F401
+    from . import listing_queries, page_queries, source_queries  # noqa: F401
 
     return dict(QUERIES)
 

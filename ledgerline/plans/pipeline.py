@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import scoring
-from ..operators import consolidate as D, location, merge, relational, review
-from ..operators.ranking import first_wins
+from ..operators import consolidate as D, location, merge, relational, review, source_rules
+from ..operators.ranking import first_wins, issue_counters, top_k
 from .store import Store
 
 GOLD_DROPS = ("raw_location_text", "first_seen_at", "last_seen_at", "status", "missing_run_count", "pos")
@@ -72,17 +72,73 @@ def snapshot(candidates: DataFrame, sources: DataFrame, flags: DataFrame) -> Dat
     return out.select(*(c for c in out.columns if c not in GOLD_DROPS))
 
 
-def publish(spark: SparkSession, gold: DataFrame, path: str, as_of: datetime, minimum: int = 1, max_residual: float = 0.005, residual: float = 0.0, dry_run: bool = False) -> dict:
-    """Write a gated snapshot: JSON rows under a stamped name and under latest. Nothing is written if the gate fails."""
-    gate = review.quality_gate(spark.createDataFrame([(gold.count(), int(round(residual)))], "n long, removed long"), minimum, max_residual).first()
+SNAPSHOT_SCHEMA = "generated_at string, meeting_count long, status string"
+
+
+def residual(gold: DataFrame) -> DataFrame:
+    """(n, removed): how many listings there are, and how many another consolidation would remove."""
+    total = D.duplicate_metrics(gold).agg(F.coalesce(F.sum("original"), F.lit(0)).alias("n"), F.coalesce(F.sum("removed"), F.lit(0)).alias("removed"))
+    return total.select(F.col("n").cast("long").alias("n"), F.col("removed").cast("long").alias("removed"))
+
+
+def document(gold: DataFrame, as_of: datetime) -> DataFrame:
+    """One row: the snapshot as one JSON text with sorted keys. A snapshot is some hundred thousand listings at most: it is one
+    document by definition, and its text is written by one task."""
+    cols = sorted(gold.columns)
+    rows = gold.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("m"), F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("￿")) for c in ("fellowship", "country", "city", "name", "source_id", "source_record_id") if c in cols)).alias("o"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o", "m"))), lambda x: F.concat(F.lit("    "), x["m"])), ",\n")
+    return rows.agg(F.concat(F.lit(f'{{\n  "generated_at": "{as_of.isoformat()}",\n  "meeting_count": '), F.count("*").cast("string"), F.lit(',\n  "meetings": [\n'), body, F.lit("\n  ]\n}")).alias("value"))
+
+
+def publish(spark: SparkSession, gold: DataFrame, path: str, as_of: datetime, minimum: int = 1, max_residual: float = 0.005, dry_run: bool = False) -> dict:
+    """Write a gated snapshot: one JSON document under a stamped name and under latest. The share of listings that another
+    consolidation would remove is measured here; nothing is written if the gate fails."""
+    gate = review.quality_gate(residual(gold), minimum, max_residual).first()
     report = gate.asDict() | {"generated_at": as_of.isoformat()}
     if not gate.passed or dry_run:
         return report | {"written": False}
+    one = document(gold, as_of)
     for name in (f"snapshot-{as_of:%Y%m%dT%H%M%S}", "latest"):
-        gold.write.mode("overwrite").json(f"{path}/{name}")
+        one.coalesce(1).write.mode("overwrite").text(f"{path}/{name}")
     return report | {"written": True}
 
 
+def record_snapshot(store: Store, report: dict) -> None:
+    """A row of the snapshot audit for what publish() reported."""
+    row = store.spark.createDataFrame([(report["generated_at"], report["n"], "published" if report["written"] else "rejected")], SNAPSHOT_SCHEMA)
+    store.commit({"snapshots": store.read("snapshots").unionByName(row) if store.exists("snapshots") else row})
+
+
+def audit_snapshot(gold: DataFrame, examples: int = 5) -> tuple[DataFrame, DataFrame]:
+    """What is wrong with a snapshot: counts of issues by code, by code and fellowship, by code and source; the first few
+    listings of each issue."""
+    issues = location.audit(gold)
+    return issue_counters(issues), top_k(issues, ["code"], [F.col("source_id"), F.col("source_record_id")], examples)
+
+
+def zero_source_report(audited: DataFrame, path: str, fellowship: str, concurrency: int = 4, pages: int = 6) -> None:
+    """The audit of sources that gave nothing (id, name, country, bucket, priority, signals), for people and programs: rows by
+    priority, bucket, country and name as JSON lines; a page with counts and a table; the ids to try again and the command."""
+    order = ["priority", "bucket", F.coalesce("country", F.lit("")), "name"]
+    audited.orderBy(*order).write.mode("overwrite").json(f"{path}/audit")
+    retry = review.retry_ids(audited).withColumn("pos", F.struct("priority", "bucket", F.coalesce("country", F.lit("")), "name"))
+    retry.orderBy("pos").select("id").coalesce(1).write.mode("overwrite").text(f"{path}/retry_ids")
+    source_rules.retry_command(retry, fellowship, concurrency, pages).write.mode("overwrite").text(f"{path}/retry_command")
+    zero_source_page(audited).coalesce(1).write.mode("overwrite").text(f"{path}/report")
+
+
+def zero_source_page(audited: DataFrame) -> DataFrame:
+    """Lines of a report: counts by bucket (most first), then each source in the audit's order."""
+    spark = audited.sparkSession
+    at = lambda part, n, a, b: F.struct(F.lit(part).alias("part"), n.cast("long").alias("n"), a.alias("a"), b.alias("b")).alias("o")
+    counts = audited.groupBy("bucket").count().select(at(1, -F.col("count"), F.lit(""), F.col("bucket")), F.concat_ws("", F.lit("- "), "bucket", F.lit(": "), F.col("count").cast("string")).alias("value"))
+    line = F.concat_ws(" | ", F.col("priority").cast("string"), "bucket", F.coalesce("country", F.lit("")), "name", F.array_join("signals", ", "))
+    rows = audited.select(at(3, F.col("priority"), F.concat_ws("\t", "bucket", F.coalesce("country", F.lit(""))), F.col("name")), F.concat(F.lit("| "), line, F.lit(" |")).alias("value"))
+    head = spark.range(1).select(at(0, F.lit(0), F.lit(""), F.lit("")), F.lit("# Zero-source audit").alias("value"))
+    table = spark.range(1).select(at(2, F.lit(0), F.lit(""), F.lit("")), F.lit("| priority | bucket | country | name | signals |").alias("value"))
+    return head.unionByName(counts).unionByName(table).unionByName(rows).orderBy("o").select("value")
+
+
 def report(store: Store) -> str:
     """Counts of sources, active listings and open flags."""
     count = lambda t, cond: store.read(t).filter(cond).count() if store.exists(t) else 0

@@ -1,6 +1,7 @@
-"""Versioned tables in a folder: a version is written whole, then a pointer file is switched; readers follow the pointer.
+"""Versioned tables in a folder: a version is written whole, then a numbered pointer file is added; readers follow the greatest.
 
-One writer at a time. A failed run leaves the pointer, and so the table, as it was."""
+A pointer is written under another name and renamed, and no pointer is ever removed or changed, so a crash at any time leaves
+the store as it was before or after the commit. One writer at a time: a rename onto an existing number fails."""
 
 from __future__ import annotations
 
@@ -16,11 +17,17 @@ class Store:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def _pointers(self) -> list[int]:
+        if not self._fs.exists(self._path(self.base)):
+            return []
+        names = [f.getPath().getName() for f in self._fs.listStatus(self._path(self.base))]
+        return sorted(int(n.removeprefix("CURRENT-").removesuffix(".json")) for n in names if n.startswith("CURRENT-") and n.endswith(".json"))
+
     def _pointer(self) -> dict[str, int]:
-        path = self._path(f"{self.base}/CURRENT.json")
-        if not self._fs.exists(path):
+        found = self._pointers()
+        if not found:
             return {}
-        return json.loads("".join(r.value for r in self.spark.read.text(f"{self.base}/CURRENT.json").collect()))
+        return json.loads("".join(r.value for r in self.spark.read.text(f"{self.base}/CURRENT-{found[-1]:09d}.json").collect()))
 
     def exists(self, table: str) -> bool:
         return table in self._pointer()
@@ -37,11 +44,11 @@ class Store:
             if partition and t in partition:
                 w = w.partitionBy(partition[t])
             w.parquet(f"{self.base}/{t}/v{new[t]}")
-        temp, final = self._path(f"{self.base}/NEXT.json"), self._path(f"{self.base}/CURRENT.json")
+        n = (self._pointers() or [0])[-1] + 1
+        temp, final = self._path(f"{self.base}/NEXT.json"), self._path(f"{self.base}/CURRENT-{n:09d}.json")
         out = self._fs.create(temp, True)
         out.write(bytearray(json.dumps(now | new).encode()))
         out.close()
-        if self._fs.exists(final):
-            self._fs.delete(final, False)
-        self._fs.rename(temp, final)
+        if not self._fs.rename(temp, final):
+            raise RuntimeError(f"another writer has committed {final}")
         return new

@@ -97,6 +97,49 @@ def test_snapshot_consolidates_and_gates(spark, tmp_path):
     assert pipeline.publish(spark, gold, f"file://{tmp_path}/out", when)["written"] and (tmp_path / "out" / "latest").is_dir()
 
 
+def test_a_snapshot_with_duplicates_is_not_published(spark, tmp_path):
+    import datetime
+    import json
+
+    gold, when = rows(spark, range(40)), datetime.datetime(2024, 1, 1)
+    report = pipeline.publish(spark, gold, f"file://{tmp_path}/out", when)
+    assert report["removed"] == 20 and not report["passed"] and not report["written"] and not (tmp_path / "out").exists()
+    merged = consolidate.consolidate(gold)
+    store = Store(spark, f"file://{tmp_path}/db")
+    report = pipeline.publish(spark, merged, f"file://{tmp_path}/out", when)
+    pipeline.record_snapshot(store, report)
+    assert report["written"] and [(r.meeting_count, r.status) for r in store.read("snapshots").collect()] == [(20, "published")]
+    (part,) = (tmp_path / "out" / "latest").glob("part-*")
+    doc = json.loads(part.read_text())
+    assert doc["meeting_count"] == 20 == len(doc["meetings"]) and list(doc["meetings"][0]) == sorted(doc["meetings"][0]) and [m["name"] for m in doc["meetings"]] == sorted(m["name"] for m in doc["meetings"])
+
+
+def test_a_crash_before_the_pointer_leaves_the_store(spark, tmp_path, monkeypatch):
+    store = Store(spark, f"file://{tmp_path}/db")
+    store.commit({"t": spark.range(3)})
+    (tmp_path / "db" / "t" / "v2").mkdir()  # a version written by a run that ended before its pointer
+    (tmp_path / "db" / "NEXT.json").write_text("{half")
+    again = Store(spark, f"file://{tmp_path}/db")
+    assert again.read("t").count() == 3
+    again.commit({"t": spark.range(5), "u": spark.range(1)})
+    assert again.read("t").count() == 5 and Store(spark, f"file://{tmp_path}/db").read("u").count() == 1
+
+
+def test_zero_source_report(spark, tmp_path):
+    from ledgerline.plans import listing_queries
+
+    audited = listing_queries._audited(spark, "/root/testdata/sf0.001").drop("html", "text", "error")
+    pipeline.zero_source_report(audited, f"file://{tmp_path}/a", "na")
+    ids = spark.read.text(f"file://{tmp_path}/a/retry_ids").count()
+    (command,) = (r.value for r in spark.read.text(f"file://{tmp_path}/a/retry_command").collect())
+    assert ids == command.count("--source-id ") > 0 and spark.read.json(f"file://{tmp_path}/a/audit").count() == audited.count()
+    (part,) = (tmp_path / "a" / "report").glob("part-*")
+    lines = part.read_text().split("\n")
+    assert lines[0] == "# Zero-source audit" and lines[1].startswith("- ") and lines[-2].startswith("| 5 |")
+    counts, few = pipeline.audit_snapshot(rows(spark, range(8)).withColumn("country", F.lit("Poland")))
+    assert {r.code: r.n for r in counts.filter("level = 'code'").collect()} == {"timezone_country_mismatch": 8} and few.count() == 5
+
+
 def test_invalid_and_unsure_rows_become_flags(spark):
     c = rows(spark, range(3)).withColumns({"confidence": F.col("pos") * 0.3 + 0.2, "name": F.when(F.col("pos") == 1, " ").otherwise(F.col("name"))})
     kept, flags = pipeline.ingest(c)
