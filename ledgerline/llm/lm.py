@@ -14,7 +14,8 @@ packed arrays that were summed in the task before:
 Everything covers all training rows; nothing is pruned. Files go to the shared folder under names that only depend
 on the part, by write-and-rename, so a task that runs again leaves the same file. Workers map the files where the
 folder is local (or mounted); otherwise a worker copies a part to a nameless temporary file once and maps that. So
-the model's size isn't bound by memory, and nothing is broadcast but the list of parts.
+the model's size isn't bound by memory, and nothing is broadcast but the list of parts. A worker keeps ``MAX_OPEN`` files
+mapped, those used last.
 
 Scores are log10. p(w|u) = max(c(uw)-D, 0)/c(u) + g(u) q(w), q(w) = max(m(w)-D', 0)/M + g' /(V+1), with m the number
 of different words before w, and an unseen word taking q = g'/(V+1). Discounts are the usual ones from counts of
@@ -22,7 +23,8 @@ counts; where those are zero, D_k = k/2.
 
 Edge cases: null and empty texts are one end mark; a null doc_id counts as the empty text for the held-out rule;
 repeated rows count and are scored as often as they occur; without training rows every probability is 1/(V+1) with
-V = 0; more than 2**32 - 4 different words is an error. Other columns are not read.
+V = 0; an empty table to score gives no row; a very long text is one chunk and is scored whole; ties of doc_id are rows like
+others; more than 2**32 - 4 different words is an error. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -45,6 +47,8 @@ from .common import shared_dir, stored
 BEGIN, END, UNSEEN, FIRST = 0, 1, 2, 3
 PART_BYTES = 32 << 20
 FLUSH = 4_000_000
+#: Files that a worker keeps mapped; each holds a descriptor, of which a process has some 1,000.
+MAX_OPEN = 512
 
 
 def held_out(doc_id: Column, modulus: int = 7, rest: int = 2) -> Column:
@@ -214,9 +218,13 @@ class Files:
 
     def arrays(self, kind: str, part: int) -> list[np.ndarray]:
         name = f"{self.base}/{kind}-{part}"
-        if name not in self._open:
-            self._open[name] = mapped(name)
-        return self._open[name]
+        got = self._open.pop(name, None)
+        if got is None:
+            while len(self._open) >= MAX_OPEN:
+                del self._open[next(iter(self._open))]
+            got = mapped(name)
+        self._open[name] = got  # the last one used stands last
+        return got
 
     def find(self, h: np.ndarray, stats: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of sorted different hashes (UNSEEN if absent), and a row (count, before, once, twice, more) for each."""
@@ -407,7 +415,7 @@ def train(docs: DataFrame) -> Model:
     return Model(files, int(texts), int(sum(r.tokens for r in got)), pairs, before, tuple(marks[1:]), marks[0])
 
 
-OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -417,7 +425,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             for c in A.chunks(b.column(2)):
                 n, known, base, logs, rows = model.score(c)
-                cols = [*(b.column(i).slice(c.first, rows) for i in (0, 1)), pa.array(n.astype(np.int64)), pa.array(known), pa.array(np.full(rows, model.tokens, np.int64)), pa.array(base), pa.array(logs)]
+                cols = [*(b.column(i).slice(c.first, rows) for i in (0, 1)), pa.array(n.astype(np.int64)), pa.array(known), pa.array(np.full(rows, model.tokens, np.int64)), pa.array(base), pa.array(logs), pa.array(10.0 ** np.minimum(-logs / n, 300))]
                 yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in OUT.split(", ")])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(run, OUT)

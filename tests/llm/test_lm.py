@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import re
 import zlib
@@ -62,7 +63,8 @@ def same(got, want):
     key = lambda r: (r[0] is None, r[0] or 0, r[2], round(r[6], 6))
     got, want = sorted(map(tuple, got), key=key), sorted(want, key=key)
     assert [r[:5] for r in got] == [r[:5] for r in want]
-    assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9)
+    assert np.allclose([r[5:7] for r in got], [r[5:] for r in want], rtol=1e-9)
+    assert np.allclose([r[7] for r in got], [10 ** (-r[6] / r[2]) for r in want], rtol=1e-9)
 
 
 @pytest.fixture(scope="module")
@@ -79,6 +81,7 @@ def test_scores_match_brute_force(spark, rows, monkeypatch):
     same(lm.score(d, lm.train(d)).collect(), want)
     monkeypatch.setattr(lm, "FLUSH", 200)
     monkeypatch.setattr(lm, "PART_BYTES", 500)
+    monkeypatch.setattr(lm, "MAX_OPEN", 3)
     same(lm.score(d, lm.train(d)).collect(), want)
 
 
@@ -105,6 +108,17 @@ def test_model_beats_base_on_held_out_text(spark):
     assert sum(r.score for r in out) > 0.5 * sum(r.base_score for r in out)
 
 
+def test_few_files_stay_open(tmp_path, monkeypatch):
+    monkeypatch.setattr(lm, "MAX_OPEN", 4)
+    files = lm.Files(f"file://{tmp_path}", [1] * 20)
+    for p in range(20):
+        lm.put(f"file://{tmp_path}/words-{p}", [np.array([p], np.uint64)])
+    before = len(os.listdir("/proc/self/fd"))
+    for p in [*range(20), *range(20)]:
+        assert files.arrays("words", p)[0][0] == p
+    assert len(files._open) == 4 and len(os.listdir("/proc/self/fd")) - before <= 5
+
+
 def test_packing_round_trip():
     rng = np.random.default_rng(1)
     x = np.sort(rng.integers(0, 1 << 63, 1000, dtype=np.uint64))
