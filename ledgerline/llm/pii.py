@@ -126,11 +126,11 @@ def confirmed(kind: str, matches: Column, pieces: Column, at: Column) -> Column:
     return F.array_compact(F.transform(F.arrays_zip(matches.alias("m"), at.alias("a")), one))
 
 
-def with_spans(docs: DataFrame, min_score: int = 60, out: str = "__spans") -> DataFrame:
-    """docs with an array of (start, rank, end, score, kind), in order; offsets are code points, ends exclusive.
+def with_spans(docs: DataFrame, min_score: int = 60, out: str = "__spans", text: str = "text") -> DataFrame:
+    """docs, none of whose names begin with two underscores, with an array of (start, rank, end, score, kind), in order; offsets are code points, ends exclusive.
 
     Matches, pieces and places are columns of their own stages, so each is computed once a row."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.coalesce(F.col(text), F.lit(""))
     m, p, a, s = ({k: f"__{c}_{k}" for k in KINDS} for c in "mpas")
     found = lambda k: F.regexp_extract_all(text, F.lit(PATTERNS[k]), F.lit(0))
     has = lambda k: F.size(F.coalesce(F.col(m[k]), F.array())) > 0
@@ -159,9 +159,12 @@ def digest(docs: DataFrame, min_score: int = 60) -> DataFrame:
 
 def redact(docs: DataFrame, min_score: int = 60) -> DataFrame:
     """docs with each span replaced by its kind in brackets; overlapping spans become one. n_chars follows the text."""
-    df = with_spans(docs, min_score)
+    # columns by position while spans are added, so that no name can clash
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    at = {c: plain[i] for i, c in enumerate(docs.columns)}
+    text = F.col(at["text"])
+    df = with_spans(docs.toDF(*plain), min_score, text=at["text"])
     spans = F.col("__spans")
-    text = F.col("text")
 
     # cover: disjoint pieces (start, end, kind), overlapping spans joined under the first one's kind
     def cover(acc: Column, x: Column) -> Column:
@@ -175,7 +178,8 @@ def redact(docs: DataFrame, min_score: int = 60) -> DataFrame:
     after = lambda x, i: F.coalesce(F.get(F.col("__cover"), i + 1)["start"], F.length(text))
     tag = lambda x: F.when(x["kind"] == "", "").otherwise(F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
     clean = F.array_join(F.transform(F.col("__cover"), lambda x, i: F.concat(tag(x), F.substring(text, x["end"] + 1, after(x, i) - x["end"]))), "")
-    df = df.withColumn("text", F.when(F.size(spans) > 0, clean).otherwise(text))
+    df = df.withColumn(at["text"], F.when(F.size(spans) > 0, clean).otherwise(text))
     if "n_chars" in docs.columns:
-        df = df.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return df.select(*docs.columns)
+        n = F.col(at["n_chars"])
+        df = df.withColumn(at["n_chars"], F.when(F.size(spans) > 0, F.length(at["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(n))
+    return df.select(*plain).toDF(*docs.columns)
