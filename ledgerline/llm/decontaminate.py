@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import arrays as A
+from .common import map_whole
 
 Q, SEGMENT, STRIDE, H = 12, 52, 13, 16
 BLOCK_BYTES = 8 << 20
@@ -246,5 +247,5 @@ def clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
                     keep[c.first + shipped.value.search(c)[0]] = False
                 yield b.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, schema)
+        docs = map_whole(docs, run, schema)
     return docs
