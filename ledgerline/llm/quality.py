@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import arrays as A
-from .common import bounded_ids
+from .common import bounded_ids, map_whole
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -185,8 +185,11 @@ def judge(scan: Scan, field: LineField | None, min_share: float) -> tuple[np.nda
     return share, ~scan.base_failed & (share >= min_share)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 400, max_lines: int = 60) -> LineField | None:
-    """The field from a bounded sample of labelled rows; None if one class has no row."""
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 400, piece: int = 60) -> LineField | None:
+    """The field from a bounded sample of labelled rows, of which all lines count; None if one class has no row.
+
+    Long texts are cut into pieces of `piece` lines, each a sequence, so that the padded table of the fit stays small. Of rows
+    with one doc_id the one with the least text hash is taken."""
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality in (0, 1)")
     good = {q: set(bounded_ids(known.filter(F.col("quality") == q), "quality", per_class)) for q in (0, 1)}
     if not good[0] or not good[1]:
@@ -198,14 +201,16 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 400, max_lines: i
             ids = b.column(0).to_pylist()
             for c in A.chunks(b.column(1)):
                 s = Scan(c)
-                rows = [(ids[c.first + i], s.x[s.lrow[i] : s.lrow[i + 1]][:max_lines].astype(np.int8)) for i in range(c.rows) if s.n_words[i]]
+                rows = [(ids[c.first + i], s.x[s.lrow[i] : s.lrow[i + 1]].astype(np.int8)) for i in range(c.rows) if s.n_words[i]]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1].tobytes() for r in rows], pa.binary())], names=["doc_id", "x"])
 
-    got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isin(wanted)).mapInArrow(lines, "doc_id long, x binary").limit(8 * per_class).collect()
+    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isin(wanted))
+    sample = sample.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    got = sample.mapInArrow(lines, "doc_id long, x binary").collect()
     seqs = []
     for r in sorted(got, key=lambda r: (r[0], bytes(r[1]))):
         x = np.frombuffer(r[1], np.int8).reshape(-1, len(FEATURES)).astype(float)
-        seqs.append((x, np.full(len(x), int(r[0] in good[0]))))
+        seqs += [(part, np.full(len(part), int(r[0] in good[0]))) for part in np.split(x, range(piece, len(x), piece))]
     if len({y for _, s in seqs for y in s[:1]}) < 2:
         return None
     return LineField.fit(seqs)
@@ -234,4 +239,4 @@ def keep(docs: DataFrame, field: LineField | None, min_share: float = 0.5) -> Da
             mask = [judge(Scan(c), field, min_share)[1] for c in A.chunks(b.column(at))]
             yield b.filter(pa.array(np.concatenate(mask) if mask else np.zeros(0, bool)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_whole(docs, run, docs.schema)
