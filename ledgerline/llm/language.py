@@ -68,6 +68,10 @@ def lettered(c: A.Chunk) -> np.ndarray:
     return some
 
 
+#: Landmarks of all languages together (64 KB each are sent to every worker).
+MAX_LANDMARKS = 1000
+
+
 class Model:
     def __init__(self, langs: list[str], landmarks: np.ndarray, weights: np.ndarray):
         self.langs, self.landmarks, self.weights = langs, landmarks, weights
@@ -83,6 +87,7 @@ class Model:
         """bits: rows x DIMS of the training sample, in a fixed order."""
         langs = sorted(set(labels))
         y = np.array([langs.index(v) for v in labels])
+        landmarks = max(1, min(landmarks, MAX_LANDMARKS // len(langs)))
         pick = np.concatenate([np.flatnonzero(y == k)[:landmarks] for k in range(len(langs))])
         lm = bits[pick].astype(np.float32)
         lm /= np.sqrt(np.maximum(lm.sum(1), 1))[:, None]
@@ -115,7 +120,8 @@ def train(docs: DataFrame, per_lang: int = 300) -> Model | None:
                 x = np.packbits(presence(c), axis=1)
                 yield pa.RecordBatch.from_arrays([b.column(i).slice(c.first, c.rows) for i in (0, 1)] + [pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "lang", "bits"])
 
-    rows = known.filter(F.col("doc_id").isin(ids)).select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").mapInArrow(bits, "doc_id long, lang string, bits binary").limit(2 * len(ids)).collect()
+    sample = known.filter(F.col("doc_id").isin(ids)).groupBy(F.col("doc_id").cast("long").alias("doc_id"), "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = sample.mapInArrow(bits, "doc_id long, lang string, bits binary").collect()
     rows.sort(key=lambda r: (r.lang, r.doc_id, bytes(r.bits)))
     x = np.unpackbits(np.frombuffer(b"".join(bytes(r.bits) for r in rows), np.uint8).reshape(len(rows), -1), axis=1)[:, :DIMS]
     return Model.fit(x.astype(bool), [r.lang for r in rows])
