@@ -27,6 +27,8 @@ from .common import stored
 STEP = 8
 FIRST = 12
 LOW = -(1 << 63)
+#: Borders that a row is compared with at once.
+BLOCK = 64
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -115,8 +117,12 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, tolerance: float = 0.002,
     borders = sorted((by_target[t][0], ties.get(i, LOW)) for i, t in enumerate(targets))
     if borders:
         # a row lies behind as many borders as are at or below it
-        lit = F.array(*(F.struct(F.lit(k).alias("key"), F.lit(t).alias("tie")) for k, t in borders))
-        piece = F.size(F.filter(lit, lambda s: s <= F.struct(F.col("key").alias("key"), F.col("tie").alias("tie"))))
+        own = F.struct(F.col("key").alias("key"), F.col("tie").alias("tie"))
+        table = lambda bs: F.array(*(F.struct(F.lit(k).alias("key"), F.lit(t).alias("tie")) for k, t in bs))
+        passed = lambda bs: F.size(F.filter(bs, lambda s: s <= own))
+        # whole blocks by their last borders, then the borders of one block: some 2 * BLOCK comparisons, not all of them
+        whole = F.array(passed(table(borders[BLOCK - 1 :: BLOCK])))
+        piece = F.get(F.transform(whole, lambda n: n * BLOCK + passed(F.slice(table(borders), n * BLOCK + 1, F.lit(BLOCK)))), F.lit(0)) if len(borders) > 2 * BLOCK else passed(table(borders))
     else:
         piece = F.lit(0)
     placed = rows.withColumn("piece", piece)
