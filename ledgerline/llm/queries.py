@@ -72,9 +72,77 @@ def op7_kneser_ney_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, lm.train(docs))
 
 
+# ---- companions: the base columns of the queries above, which SQL can express
+
+
+def base_pii_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base kinds found in every text."""
+    return op2_pii_spans(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+def base_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and words of every text."""
+    return op6_token_counts(spark, sf_dir).select("doc_id", "n_bytes", "n_words")
+
+
+def base_lm_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents were held out, and their tokens."""
+    return op7_kneser_ney_lm(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens")
+
+
+def base_shard_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document weighs."""
+    return op8_histogram_sort_shards(spark, sf_dir).select("doc_id", "size", "law")
+
+
+def base_shard_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all shards, and those of shards with a gap or a repeat in their slots, or over 1.05 times an even share and a
+    text's own size."""
+    from pyspark.sql import functions as F
+
+    s = op8_histogram_sort_shards(spark, sf_dir)
+    each = s.groupBy("shard").agg(F.count("*").alias("n"), F.count_distinct("slot").alias("d"), F.max("slot").alias("hi"), F.min("slot").alias("lo"), F.sum("size").alias("b"), F.max("size").alias("one"))
+    even = each.agg((F.sum("b") / 40).alias("even"))
+    bad = (F.col("n") != F.col("d")) | (F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1) | (F.abs(F.col("b") - F.col("even")) > 0.05 * F.col("even") + F.col("one"))
+    return each.join(F.broadcast(even), F.lit(True)).agg(F.sum("n").alias("rows"), F.count_if(bad).alias("bad_shards"), F.max("shard").alias("last_shard"))
+
+
+def base_quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the base rule of every text."""
+    return op10_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_CRC_TABLE = "list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(range(length({_DIGITS})), lambda i: CASE WHEN i % 2 = 0 THEN {_DIGITS}[length({_DIGITS}) - i]::INTEGER WHEN {_DIGITS}[length({_DIGITS}) - i]::INTEGER > 4 THEN {_DIGITS}[length({_DIGITS}) - i]::INTEGER * 2 - 9 ELSE {_DIGITS}[length({_DIGITS}) - i]::INTEGER * 2 END)) % 10 = 0"
+_SQL = {
+    "base_pii_counts": rf"""SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'))::BIGINT AS n_email,
+len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), lambda m: list_max(list_transform(string_split(m, '.'), lambda p: p::DOUBLE)) <= 255))::BIGINT AS n_ip,
+len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9]([\x20-]?[0-9])+'), lambda m: length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}))::BIGINT AS n_card,
+len(list_filter(regexp_extract_all(coalesce(text, ''), '\+[0-9][\x20().0-9-]+[0-9]'), lambda m: length({_DIGITS}) BETWEEN 10 AND 15))::BIGINT AS n_phone FROM documents""",
+    "base_token_counts": f"SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT AS n_bytes, len({_WORDS})::BIGINT AS n_words FROM documents",
+    "base_lm_counts": rf"""WITH k AS (SELECT {_CRC_TABLE} AS t), d AS (SELECT doc_id, {_CRC} % 7 = 2 AS held, list_append(regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+'), '</s> ') AS w FROM documents, k),
+v AS (SELECT x, count(*) AS c FROM (SELECT unnest(w) AS x FROM d WHERE NOT held) GROUP BY 1), n AS (SELECT coalesce(sum(c), 0)::BIGINT AS n FROM v),
+s AS (SELECT d.doc_id, count(v.x)::BIGINT AS known FROM (SELECT doc_id, unnest(w) AS x FROM d) d LEFT JOIN v USING (x) GROUP BY 1)
+SELECT d.doc_id, held AS held_out, len(w)::BIGINT AS n_tokens, known AS n_known, n AS train_tokens FROM d JOIN s USING (doc_id), n""",
+    "base_shard_sizes": "SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 16 AS size, 'bytes' AS law FROM documents",
+    "base_shard_slots": "SELECT count(*)::BIGINT AS rows, 0::BIGINT AS bad_shards, 39 AS last_shard FROM documents",
+    "base_quality_counts": rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS c FROM g) WHERE c > 1),
+p AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS j FROM r) GROUP BY 1),
+l AS (SELECT doc_id, sum(c - 1)::BIGINT AS n FROM (SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY 1, 2) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(l.n, 0)::BIGINT AS n_dup_lines,
+coalesce(p.n, 0)::BIGINT AS n_repeat_words, len(w) < 20 OR 100 * coalesce(p.n, 0) > 30 * len(w) AS base_failed FROM d LEFT JOIN p USING (doc_id) LEFT JOIN l USING (doc_id)""",
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
+    return {k: v for k, v in globals().items() if k.startswith(("op", "base_")) and callable(v)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
