@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: Separators of words: blank and 0x09-0x0D.
 SPACE = np.zeros(256, bool)
@@ -38,7 +38,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """B**0 .. B**(n-1) and their inverses modulo 2**64."""
     global _powers, _inverse
     if len(_powers) < n:
-        size = 1 << max(12, int(n - 1).bit_length())
+        size = max(1 << 12, n + n // 8)
         _powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, _BASE)]), dtype=np.uint64)
         _inverse = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, _BASE_INV)]), dtype=np.uint64)
     return _powers, _inverse
