@@ -272,3 +272,138 @@ def admitted_links(spark: SparkSession, d: str) -> DataFrame:
     links = extract.links(table(spark, d, "pages").select("page_id", html.alias("html")))
     out = discovery.source_links(links, F.lit("https://base.org/")).withColumn("normalized_url", urls.normalize_url(F.col("url")))
     return first_wins(out, ["page_id", "normalized_url"], ["pos"]).select("page_id", "normalized_url")
+
+
+# ---- sites and captured answers
+
+SITES = ("denmark", "columbus", "wisconsin", "thailand", "oklahoma", "maritimes", "ukraine", "other")
+
+
+@query(f"""WITH d AS (SELECT unnest(['Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday']) AS dy), p AS (SELECT *, {_sql_pick(SITES, 'c_custkey')} AS site, {_SQL_NAME} AS nm, lpad((c_custkey % 11 + 1 + 12)::VARCHAR, 2, '0') || ':30' AS hr, {_SQL_DAY} AS dy, {_SQL_STREET} AS st FROM customer)
+SELECT c_custkey, site, CASE site WHEN 'oklahoma' THEN 'The Rock Stops Here Group' ELSE nm END AS name, CASE site WHEN 'oklahoma' THEN d.dy WHEN 'ukraine' THEN 'Wednesday' ELSE p.dy END AS day, CASE site WHEN 'oklahoma' THEN CASE d.dy WHEN 'Sunday' THEN '17:30' ELSE '20:00' END ELSE hr END AS time,
+CASE site WHEN 'oklahoma' THEN '6444 NW Expressway Suite 241E' WHEN 'maritimes' THEN NULL ELSE st END AS address_line1, CASE site WHEN 'denmark' THEN 'Europe/Copenhagen' WHEN 'columbus' THEN 'America/New_York' WHEN 'thailand' THEN 'Asia/Bangkok' WHEN 'maritimes' THEN 'America/Halifax' WHEN 'ukraine' THEN 'Europe/Tallinn' ELSE 'America/Chicago' END AS timezone
+FROM p JOIN d ON (site = 'oklahoma' OR d.dy = 'Sunday') WHERE site <> 'other'""")
+def site_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of eight single sites, read by their parsers; a page of another site is left to the general extractors."""
+    from ..sources import site_parsers
+
+    hour = F.concat((_K % 11 + 13).cast("string"), F.lit(":30"))
+    p = lambda *x: _t("<p>", *x, "</p>")
+    pages = (
+        _t("<table><tr><td>Dag<td>Navn<td>Tid<td>Sted</tr><tr><td>", _DAY, "<td>&quot;", _NAME, "&quot; (Åben)<td>", hour, "<td>", _STREET, "</tr></table>"), _t(p(F.upper(_DAY)), p(_HOUR), p(_NAME), p("Hall"), p(_STREET), p("9:00 PM"), p("No meeting")),
+        _t(p("Southeastern WI"), p(F.upper(_DAY)), p(_NAME, " - ", _HOUR), p(_STREET), p("This website is neither endorsed")), _t(p(_DAY, " at ", hour), p("Name:"), p(_NAME), p("Address:"), p(_STREET), p("See Map"), p("Friday 19:00"), p("Name:"), p("x"), p("Address:"), p("y"), p("meeting is closed")),
+        F.lit("<p>see the picture</p>"), _t(p(_NAME), p(_DAY, "s at ", _HOUR), p("x")), _t('<div class="entry-content"><h2>Естонія, Таллінн</h2><ul><li>Група «', _NAME, "»</li><li>", _STREET, "</li><li>щосереди</li><li>", hour, "</li></ul></div>"), F.lit("<p>x</p>"),
+    )
+    html = pages[-1]
+    for i, x in enumerate(pages[:-1]):
+        html = F.when(_K % len(pages) == i, x).otherwise(html)
+    captured = table(spark, d, "customer").select(_K.alias("page_id"), F.lit("https://x.org/meetings/hua-hin-meetings/").alias("url"), html.alias("html"), pick(SITES, _K).alias("site"))
+    return site_parsers.parse_sites(captured).select(F.col("page_id").alias("c_custkey"), "site", "name", "day", "time", "address_line1", "timezone")
+
+
+FOLDED = ("São  Paulo", "Fênix", "É ñ Ü", "plain")
+
+
+@query(f"SELECT c_custkey, {_sql_pick(('sao paulo', 'fenix', 'e n u', 'plain'), 'c_custkey')} AS k, {_sql_pick((chr(0x43F) + chr(0x27) + 'ятниця', 'київ'.replace('ї', 'і'), 'abc', 'ні'), 'c_custkey')} AS u FROM customer")
+def folded_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Comparison forms without accents, and with look-alike letters and apostrophes made one."""
+    from ..sources import site_parsers
+
+    c = table(spark, d, "customer").select("c_custkey", pick(FOLDED, _K).alias("a"), pick(("П’ятниця", "КИЇВ", "abc", "Ні"), _K).alias("b"))
+    return c.select("c_custkey", site_parsers.folded("a").alias("k"), site_parsers.folded("b", site_parsers.cyrillic_key).alias("u"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'https://r' || c_custkey || '.org/main_server/client_interface/json/?switcher=GetSearchResults&services%5B%5D=' || c_custkey || '&services%5B%5D=7&recursive=1'
+ELSE 'https://r' || c_custkey || '.org/main_server/client_interface/json/?switcher=GetSearchResults&a=' || c_custkey END AS endpoint FROM customer WHERE c_custkey % 3 < 2""")
+def hinted_feeds(spark: SparkSession, d: str) -> DataFrame:
+    """Feeds that pages' scripts are set up with, in plain and in base64 scripts."""
+    from ..sources import endpoints
+
+    root = F.concat(F.lit('{"root_server": "https:\\/\\/r'), _K, F.lit('.org\\/main_server\\/", '))
+    plain = F.concat(F.lit("<script>var x = "), root, F.lit('"service_body": ["'), _K, F.lit('", 7], "recurse_service_bodies": "1"}</script>'))
+    script = F.concat(root, F.lit('"custom_query": "&a='), _K, F.lit('", "service_body": [3]}'))
+    coded = F.concat(F.lit('<script src="data:text/javascript;base64,'), F.regexp_replace(F.base64(script.cast("binary")), r"\s", ""), F.lit('"></script>'))
+    pages = table(spark, d, "customer").select(_K.alias("page_id"), F.when(_K % 3 == 0, plain).when(_K % 3 == 1, coded).otherwise("<p>none</p>").alias("html"))
+    return endpoints.hinted_feeds(pages).select(F.col("page_id").alias("c_custkey"), "endpoint")
+
+
+@query("""SELECT 's' || c_custkey AS source_id, CASE c_custkey % 3 WHEN 2 THEN NULL ELSE c_name END AS name, CASE c_custkey % 3 WHEN 0 THEN 'Monday' END AS day, CASE c_custkey % 3 WHEN 2 THEN 1 ELSE 0 END AS failed, CASE c_custkey % 2 WHEN 0 THEN 'POST' ELSE 'GET' END AS method,
+CASE c_custkey % 2 WHEN 0 THEN 'https://f/' || c_custkey ELSE 'https://s' END AS url FROM customer""")
+def form_answers(spark: SparkSession, d: str) -> DataFrame:
+    """What forms are asked, and the rows of their JSON answers."""
+    from ..sources import endpoints
+
+    sid = F.concat(F.lit("s"), _K)
+    body = F.when(_K % 3 == 0, F.to_json(F.array(F.struct(F.col("c_name").alias("n"), F.lit("Monday").alias("d"))))).when(_K % 3 == 1, F.to_json(F.array(F.struct(F.col("c_name").alias("n"))))).otherwise('{"error": 1}')
+    c = table(spark, d, "customer")
+    rows = endpoints.form_rows(c.select(sid.alias("source_id"), body.alias("body")), {"name": ".n", "day": ".d"})
+    config = F.when(_K % 2 == 0, F.concat(F.lit('{"request": {"method": "post", "url": "https://f/'), _K, F.lit('", "data": {"a": 1}}}'))).otherwise('{"request": {}}')
+    asked = endpoints.form_requests(c.select(sid.alias("id"), F.lit("https://s").alias("url"), config.alias("config")))
+    return rows.join(asked.select(F.col("id").alias("source_id"), "method", "url"), "source_id").select("source_id", "name", "day", F.col("error").isNotNull().cast("int").alias("failed"), "method", "url")
+
+
+@query("""SELECT page_id, substr(sha1(html), 1, 16) AS record_id, sha256(html) AS content_hash, true AS review, false AS late FROM pages""")
+def captured_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Pages taken as captured documents: raw records that wait for review."""
+    from ..sources import endpoints
+
+    p = table(spark, d, "pages")
+    raw = endpoints.documents(p.select(F.col("page_id").cast("string").alias("source_id"), "url", F.col("html").cast("binary").alias("content"), F.lit("text").alias("text")))
+    late = p.select("page_id", endpoints.renders_late(F.col("html")).alias("late"))
+    out = raw.select(F.col("source_id").cast("long").alias("page_id"), F.col("source_record_id").alias("record_id"), "content_hash", (F.get_json_object("payload", "$.review_required") == "true").alias("review"))
+    return out.join(late, "page_id")
+
+
+@query(f"""SELECT c_custkey, CASE c_custkey % 2 WHEN 0 THEN 'printed_list' ELSE 'day_sections' END AS kind, {_SQL_NAME} AS name, {_SQL_STREET} AS address_line1 FROM customer""")
+def text_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Texts wrapped as pages that say where they come from, and read by the extractors."""
+    from ..sources import endpoints
+
+    text = _t("AREA MEETING LIST\n", _DAY, "\n", _HOUR, " ", _NAME, "\n", _STREET)
+    page = _t("<main><h2>", _DAY, "</h2><p>", _HOUR, " ", _NAME, "</p><p>", _STREET, "</p></main>")
+    html = F.when(_K % 2 == 0, endpoints.as_page(text, "pdf")).otherwise(endpoints.as_page(F.lit("late <text> & more"), "rendered", page))
+    return _extracted(spark, d, html, "name", "address_line1")
+
+
+@query(f"""SELECT c_custkey, {_SQL_NAME} AS name, {_SQL_DAY} AS day, 'Co. Cork' AS region, '[{{"fieldName":"time","order":"ASC"}}]' AS sort FROM customer""")
+def hosted_collections(spark: SparkSession, d: str) -> DataFrame:
+    """Captured answers of a hosted collection, joined to a text that the list extractor reads."""
+    from ..sources import endpoints
+
+    item = F.struct(F.struct(_NAME.alias("title"), F.concat(F.lit("<p>"), _DAY, F.lit("</p>")).alias("requirements"), _HOUR.alias("time"), F.lit("In-person").alias("jobType1"), F.lit("Co. Cork").alias("county"), _STREET.alias("location")).alias("data"))
+    answers = table(spark, d, "customer").select(_K.alias("page_id"), F.lit(0).alias("offset"), F.to_json(F.struct(F.array(item).alias("dataItems"))).alias("body"))
+    text = endpoints.collection_text(answers)
+    rows = extract.extract(text.select("page_id", F.lit("u").alias("url"), F.col("text").alias("html")))
+    return rows.select(F.col("page_id").alias("c_custkey"), "name", "day", "region", endpoints.collection_sort(F.lit('[{"time": "asc"}, {"x": "desc"}]')).alias("sort"))
+
+
+@query("""SELECT c_custkey, 'https://h' || c_custkey || '.org/' || CASE WHEN c_custkey % 2 = 0 THEN 'meetings.json' ELSE 'deep/meetings.json?x=1' END AS url FROM customer WHERE c_custkey % 3 < 2""")
+def probed_feeds(spark: SparkSession, d: str) -> DataFrame:
+    """Where a feed may be, by usual paths and by what pages mention, and the first address whose captured answer is one."""
+    from ..sources import endpoints
+
+    base = F.concat(F.lit("https://h"), _K, F.lit(".org/"))
+    pages = table(spark, d, "customer").select(_K.alias("page_id"), base.alias("url"), F.lit('<a href="/deep/meetings.json?x=1">feed</a><script src="/app.js"></script>').alias("html"))
+    at = endpoints.probe_addresses(pages, ("/meetings.json", "/wp-json/meetings"), endpoints.GUIDE_WORDS)
+    good = F.concat(base, F.when(_K % 2 == 0, "meetings.json").otherwise("deep/meetings.json?x=1"))
+    answers = table(spark, d, "customer").select(good.alias("url"), F.when(_K % 3 < 2, '[{"slug": "a"}]').otherwise("{}").alias("payload"))
+    return endpoints.probed(at, answers, F.lit(True)).select(F.col("page_id").alias("c_custkey"), "url")
+
+
+@query("""SELECT o_custkey AS page_id, min(CASE o_orderpriority[1] WHEN '1' THEN 1 WHEN '2' THEN 2 WHEN '3' THEN 3 END)::INTEGER AS best FROM orders GROUP BY 1 HAVING best IS NOT NULL""")
+def fall_back_origins(spark: SparkSession, d: str) -> DataFrame:
+    """Of each page's rows, those of the first origin that gave any: the page, its frames, linked documents; others don't count."""
+    from ..sources import endpoints
+
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("page_id"), F.substring("o_orderpriority", 1, 1).alias("origin"))
+    return endpoints.first_that_gives(o, ["1", "2", "3"]).groupBy("page_id").agg(F.max(F.col("origin").cast("int")).alias("best"))
+
+
+@query("SELECT id, true AS direct FROM (VALUES " + ", ".join(f"('{k}')" for k in ("na-07fdcb08f177", "na-ff485154ee5f")) + ") t(id)")
+def direct_feeds(spark: SparkSession, d: str) -> DataFrame:
+    """Sources that are read at a known feed, among all nations' and two of them."""
+    from ..sources import endpoints
+
+    n = table(spark, d, "nation").select(F.concat(F.lit("na-"), "n_nationkey").alias("id"))
+    known = spark.range(2).select(pick(("na-07fdcb08f177", "na-ff485154ee5f"), F.col("id")).alias("id"))
+    return endpoints.direct_feeds(n.unionByName(known)).select("id", F.col("endpoint").contains("GetSearchResults").alias("direct"))
