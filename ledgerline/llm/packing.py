@@ -65,10 +65,15 @@ def plan(sizes: list[int], permitted: tuple[int, ...]) -> tuple[list[int], list[
     return min((best_fit(sizes, permitted, c) for c in permitted), key=lambda p: sum(map(cost, p[2])))
 
 
-def pieces(docs: DataFrame, largest: int) -> DataFrame:
+def numbered(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row): rows with a number of their own, so that repeated ones are told apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
+
+
+def pieces(rows: DataFrame, largest: int) -> DataFrame:
     """One row for each piece: where it starts (code points, the end mark last) and its length."""
     n = F.coalesce(F.length("text"), F.lit(0)).cast("long") + 1
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("n"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.select("doc_id", n.alias("n"), "row")
     count = F.floor((F.col("n") - 1) / largest).cast("int")
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), count)).alias("piece"))
     start = F.col("piece").cast("long") * largest
@@ -78,7 +83,25 @@ def pieces(docs: DataFrame, largest: int) -> DataFrame:
 def pack(docs: DataFrame, permitted: tuple[int, ...] = LENGTHS, group_pieces: int = 4000) -> DataFrame:
     """Where each piece goes: bin, the bin's final length and the piece's offset in it."""
     permitted = tuple(sorted(permitted))
-    rows = stored(pieces(docs, permitted[-1]))
+    return place(stored(pieces(numbered(docs), permitted[-1])), permitted, group_pieces).drop("row")
+
+
+def sequences(docs: DataFrame, permitted: tuple[int, ...] = LENGTHS, group_pieces: int = 4000, end: str = "\x03") -> DataFrame:
+    """(bin_id, bin_length, doc_ids, text): each bin's contents, every document followed by an end mark.
+
+    Texts are shuffled once, to their bins; a bin holds `bin_length` code points at most, so no group is large."""
+    permitted = tuple(sorted(permitted))
+    rows = stored(numbered(docs))
+    placed = stored(place(stored(pieces(rows, permitted[-1])), permitted, group_pieces))
+    cut = rows.select("row", F.concat(F.coalesce("text", F.lit("")), F.lit(end)).alias("text")).join(placed, "row")
+    cut = cut.select("bin_id", "bin_length", "bin_offset", "doc_id", F.substring("text", (F.col("start") + 1).cast("int"), F.col("length")).alias("part"))
+    held = F.sort_array(F.collect_list(F.struct("bin_offset", "doc_id", "part")))
+    bins = cut.groupBy("bin_id", "bin_length").agg(held.alias("held"))
+    return bins.select("bin_id", "bin_length", F.transform("held", lambda x: x["doc_id"]).alias("doc_ids"), F.array_join(F.transform("held", lambda x: x["part"]), "").alias("text"))
+
+
+def place(rows: DataFrame, permitted: tuple[int, ...], group_pieces: int) -> DataFrame:
+    """Pieces with their bins, offsets and row numbers."""
     groups = max(1, -(-rows.count() // group_pieces))
     dealt = rows.withColumn("grp", F.pmod(F.xxhash64("row", "piece"), F.lit(groups)))
 
@@ -88,6 +111,6 @@ def pack(docs: DataFrame, permitted: tuple[int, ...] = LENGTHS, group_pieces: in
         bins, offsets, lengths = plan(df["length"].tolist(), permitted)
         b = np.array(bins)
         df = df.assign(bin_id=(int(key[0]) << 32) + b, bin_length=np.array(lengths, np.int32)[b], bin_offset=np.array(offsets, np.int32))
-        return df[[c.split()[0] for c in OUT.split(", ")]]
+        return df[[*(c.split()[0] for c in OUT.split(", ")), "row"]]
 
-    return dealt.groupBy("grp").applyInPandas(run, OUT)
+    return dealt.groupBy("grp").applyInPandas(run, f"{OUT}, row long")
