@@ -548,7 +548,7 @@ def page_score(spark: SparkSession, d: str) -> DataFrame:
     from ..sources import extract
 
     p = table(spark, d, "pages")
-    parts = extract.page_parts(p).join(p.select("page_id", "url"), "page_id")
+    parts = extract.page_parts(p, "url")
     heading = F.concat_ws(" ", "title", "headings")
     return parts.select("page_id", scoring.page_score(F.col("url"), heading, F.col("text"), F.col("has_form"), F.col("has_table")).alias("score"))
 
@@ -565,17 +565,23 @@ def zero_source_buckets(spark: SparkSession, d: str) -> DataFrame:
     from ..sources import extract
 
     p = table(spark, d, "pages")
-    audited = review.zero_source(p.join(extract.page_parts(p).select("page_id", "text"), "page_id"))
+    audited = review.zero_source(extract.page_parts(p, "html"))
     return audited.select("page_id", "bucket", "priority", F.array_join("signals", ",").alias("signals"))
 
 
-@query()
+@query("""SELECT -c_custkey - 1 AS page_id, 'header_table' AS kind, c_name AS name, 'Monday' AS day, '7:30 pm' AS time, CASE WHEN c_custkey % 2 = 0 THEN 0.79 ELSE 0.91 END::DOUBLE AS confidence, c_custkey % 10 <> 3 AS is_listing FROM customer""")
 def extracted_payloads(spark: SparkSession, d: str) -> DataFrame:
-    """Listings that pages hold (prose pages have next to none)."""
+    """Listings in the driver's pages (prose, which holds none) and in customers written as pages: with their confidence, and
+    whether they are listings (opening hours are none)."""
     from ..sources import extract
     from . import pipeline
 
-    return pipeline.confidence_of(extract.extract(table(spark, d, "pages"))).select("page_id", "kind", "name", "day", "time", "confidence", "is_listing")
+    k = F.col("c_custkey")
+    cells = F.concat(F.col("c_name"), F.lit("</td><td>Monday</td><td>7:30 pm</td><td>Hall</td><td>"), F.when(k % 10 == 3, "office hours").otherwise("welcome"), F.lit("</td><td>"), F.when(k % 2 == 0, "").otherwise("https://zoom.us/j/1"))
+    html = F.concat(F.lit("<table><tr><th>Meeting<th>Day<th>Time<th>Location<th>Notes<th>Link</tr><tr><td>"), cells, F.lit("</td></tr></table>"))
+    own = table(spark, d, "customer").select((-k - 1).alias("page_id"), F.lit("https://x.org/m").alias("url"), html.alias("html"))
+    pages = table(spark, d, "pages").select("page_id", "url", "html").unionByName(own)
+    return pipeline.confidence_of(extract.extract(pages)).select("page_id", "kind", "name", "day", "time", "confidence", "is_listing")
 
 
 _HOST = "lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1))"

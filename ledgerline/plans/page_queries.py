@@ -407,3 +407,22 @@ def direct_feeds(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "nation").select(F.concat(F.lit("na-"), "n_nationkey").alias("id"))
     known = spark.range(2).select(pick(("na-07fdcb08f177", "na-ff485154ee5f"), F.col("id")).alias("id"))
     return endpoints.direct_feeds(n.unionByName(known)).select("id", F.col("endpoint").contains("GetSearchResults").alias("direct"))
+
+
+@query("""SELECT c_custkey, 'T ' || c_custkey || ' Head Some text ' || c_custkey AS text, 'T ' || c_custkey AS title, 'Head' AS headings FROM customer""")
+def page_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Titles, headings and texts of pages: scripts and styles left out, blanks joined."""
+    k = _K.cast("string")
+    html = _t("<html><head><title>T ", k, "</title><style>p {}</style></head><body><h1>Head</h1><p>Some \n  text ", k, "</p><script>no()</script><noscript>no</noscript></body></html>")
+    return extract.page_parts(table(spark, d, "customer").select(_K.alias("page_id"), html.alias("html"))).select(F.col("page_id").alias("c_custkey"), "text", "title", "headings")
+
+
+@query("""SELECT c_custkey, (CASE WHEN c_custkey % 2 = 0 THEN 26 ELSE 0 END + CASE WHEN c_custkey % 3 = 0 THEN 24 ELSE 0 END + CASE WHEN c_custkey % 5 = 0 THEN 24 ELSE 0 END) / 100.0::DOUBLE AS score FROM customer""")
+def page_scores(spark: SparkSession, d: str) -> DataFrame:
+    """How much pages look like meeting pages: days with times, forms that ask for meetings, tables with known headings."""
+    from ..functions import scoring
+
+    html = _t("<title>T</title><p>", F.when(_K % 2 == 0, "Monday 7:00 pm").otherwise("hello"), "</p>", F.when(_K % 3 == 0, '<form><input name="meeting"></form>').otherwise(""), F.when(_K % 5 == 0, "<table><tr><th>Day<th>Time</tr></table>").otherwise(""))
+    parts = extract.page_parts(table(spark, d, "customer").select(_K.alias("page_id"), html.alias("html"), F.lit("https://x.org/p").alias("url")), "url")
+    score = scoring.page_score(F.col("url"), F.concat_ws(" ", "title", "headings"), F.col("text"), F.col("has_form"), F.col("has_table"))
+    return parts.select(F.col("page_id").alias("c_custkey"), score.alias("score"))

@@ -283,3 +283,22 @@ def valid_ca_urls(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("page_id")
     url = F.when(k % 6 == 0, F.col("url")).otherwise(pick((None, "https://us.zoom.us/j/1", "https://www.tinyurl.com/x", "https://ca-online.org/", "https://ca-online.org/deep", "https://x.org/newsgram/1"), k))
     return table(spark, d, "pages").select("page_id", R.valid_ca_url(url).alias("valid"))
+
+
+@query("""SELECT 's' || c_custkey AS source_id, CASE c_custkey % 4 WHEN 3 THEN NULL ELSE c_name END AS name, CASE c_custkey % 4 WHEN 3 THEN NULL WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS day, CASE c_custkey % 4 WHEN 3 THEN 'unsupported adapter: pdf' END AS error FROM customer""")
+def dispatched_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Captured answers of four kinds of sources, each read by its adapter; sources of other kinds are refused."""
+    from ..sources import dispatch
+
+    k = F.col("c_custkey")
+    kinds = ("meeting_guide", "bmlt", "static_html", "pdf")
+    sid = F.concat(F.lit("s"), k)
+    a = F.to_json(F.array(F.struct(k.cast("string").alias("slug"), F.col("c_name").alias("name"), F.lit("1").alias("day"), F.lit("19:00").alias("time"))))
+    b = F.to_json(F.array(F.struct(k.cast("string").alias("id_bigint"), F.col("c_name").alias("meeting_name"), F.lit("2").alias("weekday_tinyint"), F.lit("19:00").alias("start_time"))))
+    page = F.concat(F.lit("<table><tr><th>Meeting<th>Day<th>Time<th>Location</tr><tr><td>"), F.col("c_name"), F.lit("</td><td>Wednesday</td><td>7:00 pm</td><td>Hall</td></tr></table>"))
+    c = table(spark, d, "customer")
+    answers = c.select(sid.alias("source_id"), F.when(k % 4 == 0, a).when(k % 4 == 1, b).otherwise(page).alias("body"))
+    sources = c.select(sid.alias("id"), F.lit("aa").alias("fellowship"), F.lit("https://x").alias("url"), F.lit(None).cast("string").alias("country"), F.lit(None).cast("string").alias("region"), F.lit("{}").alias("config"), pick(kinds, k).alias("adapter_type"))
+    out, refused = dispatch.candidates(answers, sources)
+    rows = out.select("source_id", "name", F.get("occurrences", F.lit(0))["day_of_week"].alias("day"), F.lit(None).cast("string").alias("error"))
+    return rows.unionByName(refused.select("source_id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("day"), "error"))

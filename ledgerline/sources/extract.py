@@ -442,8 +442,9 @@ def css_rows(pages: DataFrame, row: str, fields: dict[str, str]) -> DataFrame:
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, pos int, " + ", ".join(f"{f} string" for f in fields))
 
 
-def page_parts(pages: DataFrame) -> DataFrame:
-    """(page_id, title, headings, text, has_form, has_table) of pages."""
+def page_parts(pages: DataFrame, *keep: str) -> DataFrame:
+    """(page_id, title, headings, text, has_form, has_table) of pages, and the columns to keep, so that pages needn't be joined
+    to their parts."""
     terms = ("day", "time", "meeting", "location", "address", "city", "group", "type")
 
     def one(html: str | None) -> tuple:
@@ -456,9 +457,11 @@ def page_parts(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([(i, *one(html)) for i, html in b.itertuples(index=False)], columns=["page_id", "title", "headings", "text", "has_form", "has_table"])
+            parts = pd.DataFrame([(i, *one(html)) for i, html in zip(b["page_id"], b["__html"], strict=True)], columns=["page_id", "title", "headings", "text", "has_form", "has_table"])
+            yield pd.concat([parts, b[list(keep)].reset_index(drop=True)], axis=1)
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, title string, headings string, text string, has_form boolean, has_table boolean")
+    kept = "".join(f", {c} {pages.schema[c].dataType.simpleString()}" for c in keep)
+    return pages.select("page_id", F.col("html").alias("__html"), *keep).mapInPandas(run, f"page_id long, title string, headings string, text string, has_form boolean, has_table boolean{kept}")
 
 
 
