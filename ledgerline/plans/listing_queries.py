@@ -12,8 +12,13 @@ from .model import pick, table
 from .registry import query
 from .source_queries import _sql_pick
 
-_K = F.col("c_custkey")
-NONE = F.lit(None).cast("string")
+
+def _k() -> Column:
+    return F.col("c_custkey")
+
+
+def _none() -> Column:
+    return F.lit(None).cast("string")
 
 
 def _customers(spark: SparkSession, d: str, **cols: Column) -> DataFrame:
@@ -30,8 +35,8 @@ URLS = ("https://zoom.us/j/1", "https://facebook.com/x", "https://us02web.zoom.u
 SELECT c_custkey, n IN ('office hours for dawn', 'read more about us') AS false_positive, dy AND tm AND pl AND NOT n IN ('office hours for dawn', 'read more about us') AS listing, CASE c_custkey % 5 WHEN 0 THEN 'https://zoom.us/j/1' WHEN 2 THEN 'https://us02web.zoom.us/j/2' END AS online FROM p""")
 def payload_rules(spark: SparkSession, d: str) -> DataFrame:
     """Which payloads are listings, which only look so, and which addresses are an online meeting's."""
-    c = _customers(spark, d, day=F.when(_K % 2 == 0, "Monday"), time=F.when(_K % 3 < 2, "7 pm"), place=F.when(_K % 5 < 3, "Hall"), name=pick(NAMES, _K), url=pick(URLS, _K))
-    name, none = F.col("name"), NONE
+    c = _customers(spark, d, day=F.when(_k() % 2 == 0, "Monday"), time=F.when(_k() % 3 < 2, "7 pm"), place=F.when(_k() % 5 < 3, "Hall"), name=pick(NAMES, _k()), url=pick(URLS, _k()))
+    name, none = F.col("name"), _none()
     false = review.false_positive(name, none, name)
     ok = review.meeting_payload(F.col("day"), F.col("time"), [F.col("place")], name, none, name)
     return c.select("c_custkey", false.alias("false_positive"), ok.alias("listing"), review.online_url(F.col("url")).alias("online"))
@@ -43,13 +48,13 @@ SAID = ("meets 7:30 - 8:30 pm weekly", "at 19:00", "noon or 1 pm", "no clock her
 @query(f"SELECT c_custkey, {_sql_pick(('7:30pm', '19:00', 'noon', None, '6 am'), 'c_custkey')} AS first_time FROM customer")
 def first_times(spark: SparkSession, d: str) -> DataFrame:
     """The first time in a text; a range takes the mark at its end."""
-    return _customers(spark, d, s=pick(SAID, _K)).select("c_custkey", schedule.first_time(F.col("s")).alias("first_time"))
+    return _customers(spark, d, s=pick(SAID, _k())).select("c_custkey", schedule.first_time(F.col("s")).alias("first_time"))
 
 
 @query(f"SELECT c_custkey, {_sql_pick(('Hope Group', 'Dawn', 'Night Owls'), 'c_custkey')} AS cleaned, regexp_replace('+' || c_custkey || ' (0) 12-3', '[^0-9+]', '', 'g') AS phone, {_sql_pick(('https://x.org', 'http://y.org', None), 'c_custkey')} AS website FROM customer")
 def cleaned_names(spark: SparkSession, d: str) -> DataFrame:
     """Names without quotes, hidden marks and notes; phones for tel: addresses; websites with a scheme."""
-    c = _customers(spark, d, s=pick(('"Hope  Group" (meeting room 2)', "Dawn​", " Night Owls "), _K), p=F.concat(F.lit("+"), _K, F.lit(" (0) 12-3")), w=pick(("x.org", "http://y.org", " "), _K))
+    c = _customers(spark, d, s=pick(('"Hope  Group" (meeting room 2)', "Dawn​", " Night Owls "), _k()), p=F.concat(F.lit("+"), _k(), F.lit(" (0) 12-3")), w=pick(("x.org", "http://y.org", " "), _k()))
     return c.select("c_custkey", X.clean_name(F.col("s")).alias("cleaned"), urls.phone_uri(F.col("p")).alias("phone"), urls.website(F.col("w")).alias("website"))
 
 
@@ -58,20 +63,20 @@ ELSE substr(sha1('{"z":' || c_custkey || '}'), 1, 16) END AS record_id FROM cust
 def record_ids(spark: SparkSession, d: str) -> DataFrame:
     """Hashes of objects whatever their key order, and ids: the record's own, by its main fields, else by all of it."""
     c = table(spark, d, "customer")
-    obj = F.concat(F.lit('{"n": "'), F.col("c_name"), F.lit('", "a": '), _K, F.lit("}"))
-    own = F.concat(F.lit('{"source_record_id":"id'), _K, F.lit('","name":"x"}'))
+    obj = F.concat(F.lit('{"n": "'), F.col("c_name"), F.lit('", "a": '), _k(), F.lit("}"))
+    own = F.concat(F.lit('{"source_record_id":"id'), _k(), F.lit('","name":"x"}'))
     main = F.concat(F.lit('{"name":"'), F.col("c_name"), F.lit('","day":"Monday","time":"7 pm","city":"Cork"}'))
-    rest = F.concat(F.lit('{"z":'), _K, F.lit("}"))
-    c = c.select("c_custkey", obj.alias("payload"), F.when(_K % 3 == 0, own).when(_K % 3 == 1, main).otherwise(rest).alias("p"))
+    rest = F.concat(F.lit('{"z":'), _k(), F.lit("}"))
+    c = c.select("c_custkey", obj.alias("payload"), F.when(_k() % 3 == 0, own).when(_k() % 3 == 1, main).otherwise(rest).alias("p"))
     return c.withColumn("content_hash", feeds.canonical_hash()).select("c_custkey", "content_hash", feeds.scraped_id(F.col("p")).alias("record_id"))
 
 
 @query("""SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'meeting_guide' WHEN 1 THEN 'bmlt' WHEN 2 THEN 'ics' WHEN 3 THEN 'pdf' WHEN 4 THEN 'html' ELSE 'unknown' END AS kind, CASE c_custkey % 4 WHEN 0 THEN 'listing' WHEN 1 THEN 'noise' WHEN 2 THEN 'external' ELSE 'noise' END AS link FROM customer""")
 def site_kinds(spark: SparkSession, d: str) -> DataFrame:
     """What captured answers are, and what links of a world listing lead to."""
-    body = pick(('[{"slug": "a"}]', '[{"id_bigint": "1"}]', "BEGIN:VCALENDAR", "%PDF-1.7", "<!doctype html><html>", "hello"), _K)
-    link = pick(("https://ca.org/meetings/x", "https://ca.org/news", "https://area.org/x", "https://zoom.us/j/1"), _K)
-    return _customers(spark, d, b=body, l=link).select("c_custkey", discovery.site_kind(F.col("b"), NONE).alias("kind"), discovery.classify_link(F.col("l"), "ca.org").alias("link"))
+    body = pick(('[{"slug": "a"}]', '[{"id_bigint": "1"}]', "BEGIN:VCALENDAR", "%PDF-1.7", "<!doctype html><html>", "hello"), _k())
+    link = pick(("https://ca.org/meetings/x", "https://ca.org/news", "https://area.org/x", "https://zoom.us/j/1"), _k())
+    return _customers(spark, d, b=body, l=link).select("c_custkey", discovery.site_kind(F.col("b"), _none()).alias("kind"), discovery.classify_link(F.col("l"), "ca.org").alias("link"))
 
 
 # ---- places
@@ -85,13 +90,13 @@ _PLACED = (("United States", "Oklahoma", "74103", "US", "OK"), ("Ireland", "Cork
 def placed_listings(spark: SparkSession, d: str) -> DataFrame:
     """Places found in addresses, also a region by postal code alone."""
     k = F.col("s_suppkey")
-    s = table(spark, d, "supplier").select("s_suppkey", NONE.alias("venue_name"), pick(ADDRESSES, k).alias("address_line1"), NONE.alias("address_line2"), NONE.alias("city"), NONE.alias("region"), NONE.alias("postal_code"), F.when(k % 5 == 0, "USA").alias("country"))
+    s = table(spark, d, "supplier").select("s_suppkey", _none().alias("venue_name"), pick(ADDRESSES, k).alias("address_line1"), _none().alias("address_line2"), _none().alias("city"), _none().alias("region"), _none().alias("postal_code"), F.when(k % 5 == 0, "USA").alias("country"))
     return location.normalize_location(s).select("s_suppkey", "country", "region", "postal_code", "country_code", "region_code")
 
 
 @query("SELECT 'USA' AS \"from\", 'United States' AS \"to\", count(*)::BIGINT AS count FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT 'Polska', 'Poland', count(*) FROM customer WHERE c_custkey % 4 = 1 UNION ALL SELECT 'éire', 'Ireland', count(*) FROM customer WHERE c_custkey % 4 = 3")
 def alias_changes(spark: SparkSession, d: str) -> DataFrame:
-    return location.alias_changes(_customers(spark, d, country=pick(("USA", "Polska", "Ireland", "éire"), _K)))
+    return location.alias_changes(_customers(spark, d, country=pick(("USA", "Polska", "Ireland", "éire"), _k())))
 
 
 @query("""SELECT o_custkey, string_agg(DISTINCT z, ',' ORDER BY z) AS zones FROM (SELECT o_custkey, CASE o_orderkey % 3 WHEN 0 THEN 'Europe/Rome' WHEN 1 THEN 'UTC' ELSE 'Asia/Tokyo' END AS z FROM orders) GROUP BY 1""")
@@ -104,7 +109,7 @@ def listing_zones(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN '1 high street cork ireland' WHEN 1 THEN 'hall cork ireland' WHEN 2 THEN 'cork ireland' WHEN 3 THEN 'geo:51.123:' || '-8.5' ELSE 'connection:https zoom us j 1' END AS place_key FROM customer""")
 def place_keys(spark: SparkSession, d: str) -> DataFrame:
     """Place keys by address, venue, area, coordinates and connection."""
-    m = _K % 5
+    m = _k() % 5
     c = _customers(
         spark, d, address_line1=F.when(m == 0, "1 High St."), venue_name=F.when(m == 1, "Hall").when(m == 0, "Ignored"), city=F.when(m < 3, "Cork"), country=F.when(m < 3, "Ireland"), latitude=F.when(m == 3, 51.1234), longitude=F.when(m == 3, -8.5),
         online_url=F.when(m == 4, "https://zoom.us/j/1"),
@@ -145,12 +150,12 @@ def deleted_sources(spark: SparkSession, d: str) -> DataFrame:
 
 def _listings(spark: SparkSession, d: str) -> DataFrame:
     """customers as valid listings; two of a kind share name and place."""
-    k = _K
+    k = _k()
     occ = F.array(F.struct((k % 7).cast("int").alias("day_of_week"), (k % 24 * 60).cast("int").alias("start_minute"), F.lit(None).cast("int").alias("end_minute"), F.when(k % 10 == 3, "UTC").otherwise("Europe/Dublin").alias("timezone")))
     return table(spark, d, "customer").select(
         F.concat(F.lit("src-"), "c_nationkey").alias("source_id"), k.cast("string").alias("source_record_id"), F.lit("https://x.org").alias("source_url"), F.lit("aa").alias("fellowship"), F.lit("in_person").alias("meeting_type"),
-        F.concat(F.lit("Group "), F.floor(k / 2)).alias("name"), F.lit("Hall").alias("venue_name"), NONE.alias("address_line1"), NONE.alias("address_line2"), F.lit("Cork").alias("city"), NONE.alias("region"), NONE.alias("postal_code"), F.lit("Éire").alias("country"),
-        F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"), NONE.alias("online_url"), NONE.alias("phone_join_info"), F.array(F.lit("O")).alias("formats"), occ.alias("occurrences"), F.lit(None).cast("date").alias("last_verified_at"),
+        F.concat(F.lit("Group "), F.floor(k / 2)).alias("name"), F.lit("Hall").alias("venue_name"), _none().alias("address_line1"), _none().alias("address_line2"), F.lit("Cork").alias("city"), _none().alias("region"), _none().alias("postal_code"), F.lit("Éire").alias("country"),
+        F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"), _none().alias("online_url"), _none().alias("phone_join_info"), F.array(F.lit("O")).alias("formats"), occ.alias("occurrences"), F.lit(None).cast("date").alias("last_verified_at"),
         F.when(k % 6 == 5, 0.3).when(k % 6 == 4, 0.6).otherwise(0.9).alias("confidence"), k.alias("pos"),
     )
 
@@ -196,15 +201,15 @@ def snapshot_document(spark: SparkSession, d: str) -> DataFrame:
 
 def _summaries(spark: SparkSession, d: str) -> DataFrame:
     """customers as captured runs of their sources: three pages each, with extracted payloads."""
-    payload = lambda n: F.concat(F.lit('{"name":"G'), _K, F.lit(f'-{n}","day":"Monday","time":"7 pm"}}'))
-    item = lambda n: F.struct(payload(n).alias("payload"), F.lit("m").alias("method"), F.lit(0.8).alias("confidence"), NONE.alias("source_page_url"), F.array(F.lit("day")).alias("signals"), NONE.alias("selector_hint"))
-    page = lambda i, final, score, count, items: F.struct(F.concat(F.lit(f"https://p{i}/"), _K).alias("url"), final.alias("final_url"), NONE.alias("title"), score.alias("page_score"), F.array().cast("array<string>").alias("page_signals"), count.cast("int").alias("extracted_count"), items.alias("extracted"))
+    payload = lambda n: F.concat(F.lit('{"name":"G'), _k(), F.lit(f'-{n}","day":"Monday","time":"7 pm"}}'))
+    item = lambda n: F.struct(payload(n).alias("payload"), F.lit("m").alias("method"), F.lit(0.8).alias("confidence"), _none().alias("source_page_url"), F.array(F.lit("day")).alias("signals"), _none().alias("selector_hint"))
+    page = lambda i, final, score, count, items: F.struct(F.concat(F.lit(f"https://p{i}/"), _k()).alias("url"), final.alias("final_url"), _none().alias("title"), score.alias("page_score"), F.array().cast("array<string>").alias("page_signals"), count.cast("int").alias("extracted_count"), items.alias("extracted"))
     none = F.array().cast(f"array<{artifacts.EXTRACTED}>")
     pages = F.array(
-        page(1, F.lit(""), F.lit(0.5), F.lit(2), F.array(item(1), item(1)).cast(f"array<{artifacts.EXTRACTED}>")), page(2, F.concat(F.lit("https://final/"), _K), F.lit(0.9), _K % 3, F.when(_K % 3 > 0, F.array(item(2)).cast(f"array<{artifacts.EXTRACTED}>")).otherwise(none)),
-        page(3, NONE, F.lit(0.1), F.lit(0), none),
+        page(1, F.lit(""), F.lit(0.5), F.lit(2), F.array(item(1), item(1)).cast(f"array<{artifacts.EXTRACTED}>")), page(2, F.concat(F.lit("https://final/"), _k()), F.lit(0.9), _k() % 3, F.when(_k() % 3 > 0, F.array(item(2)).cast(f"array<{artifacts.EXTRACTED}>")).otherwise(none)),
+        page(3, _none(), F.lit(0.1), F.lit(0), none),
     )
-    return table(spark, d, "customer").select(F.concat(F.lit("na-"), _K).alias("source_id"), F.concat(F.lit("https://s/"), _K).alias("source_url"), pages.alias("pages"), "c_custkey")
+    return table(spark, d, "customer").select(F.concat(F.lit("na-"), _k()).alias("source_id"), F.concat(F.lit("https://s/"), _k()).alias("source_url"), pages.alias("pages"), "c_custkey")
 
 
 @query("""SELECT 'na-' || c_custkey AS source_id, substr(sha1('G' || c_custkey || '-1|Monday|7 pm||||'), 1, 16) AS record_id, 'https://p1/' || c_custkey AS url FROM customer
@@ -225,8 +230,8 @@ def successful_pages(spark: SparkSession, d: str) -> DataFrame:
 def artifact_sources(spark: SparkSession, d: str) -> DataFrame:
     """Sources as captures and stored metadata tell them."""
     meta = table(spark, d, "customer").select(
-        F.concat(F.lit("na-"), _K).alias("source_id"), F.when(_K % 3 == 0, "aa").otherwise("").alias("fellowship"), F.when(_K % 2 == 0, F.col("c_name")).alias("name"), NONE.alias("country"), NONE.alias("region"), NONE.alias("timezone"),
-        F.when(_K % 2 == 0, '{"timezone":"Europe/Rome"}').otherwise("{}").alias("config"),
+        F.concat(F.lit("na-"), _k()).alias("source_id"), F.when(_k() % 3 == 0, "aa").otherwise("").alias("fellowship"), F.when(_k() % 2 == 0, F.col("c_name")).alias("name"), _none().alias("country"), _none().alias("region"), _none().alias("timezone"),
+        F.when(_k() % 2 == 0, '{"timezone":"Europe/Rome"}').otherwise("{}").alias("config"),
     )
     return artifacts.sources(_summaries(spark, d), meta).select("id", "fellowship", "name", "timezone")
 
@@ -234,8 +239,8 @@ def artifact_sources(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT 's' || c_custkey AS source_id, CASE WHEN c_custkey % 3 = 0 THEN 'stored' ELSE 'reported' END AS country, CASE WHEN c_custkey % 2 = 0 THEN '{"a":"1","b":"' || CASE WHEN c_custkey % 3 = 1 THEN '3' ELSE '2' END || '"}' ELSE CASE WHEN c_custkey % 3 = 1 THEN '{"b":"3"}' ELSE '{}' END END AS config FROM customer""")
 def merged_metadata(spark: SparkSession, d: str) -> DataFrame:
     """Stored and reported metadata: given reported values win, configs are merged one level deep."""
-    s = _customers(spark, d, source_id=F.concat(F.lit("s"), _K), country=F.lit("stored"), config=F.when(_K % 2 == 0, '{"a":"1","b":"2"}')).drop("c_custkey")
-    r = _customers(spark, d, source_id=F.concat(F.lit("s"), _K), country=F.when(_K % 3 > 0, "reported").otherwise(""), config=F.when(_K % 3 == 1, '{"b":"3"}')).drop("c_custkey")
+    s = _customers(spark, d, source_id=F.concat(F.lit("s"), _k()), country=F.lit("stored"), config=F.when(_k() % 2 == 0, '{"a":"1","b":"2"}')).drop("c_custkey")
+    r = _customers(spark, d, source_id=F.concat(F.lit("s"), _k()), country=F.when(_k() % 3 > 0, "reported").otherwise(""), config=F.when(_k() % 3 == 1, '{"b":"3"}')).drop("c_custkey")
     return artifacts.merged_metadata(s, r)
 
 
@@ -246,10 +251,10 @@ _BUCKET_SQL = f"CASE WHEN c_custkey % 4 = 3 THEN {_sql_pick(tuple(b for b, _ in
 
 
 def _audited(spark: SparkSession, d: str) -> DataFrame:
-    failed = _K % 4 == 3
+    failed = _k() % 4 == 3
     c = table(spark, d, "customer").select(
-        "c_custkey", F.concat(F.lit("s"), _K).alias("id"), F.col("c_name").alias("name"), F.when(_K % 2 == 0, "Ireland").alias("country"), F.concat(F.lit("<p>"), pick(BODIES, _K)).alias("html"), pick(BODIES, _K).alias("text"),
-        F.when(failed, "failed").otherwise("succeeded").alias("last_status"), F.when(failed, pick(("request timed out", "certificate error", "refused"), _K)).otherwise("").alias("error"),
+        "c_custkey", F.concat(F.lit("s"), _k()).alias("id"), F.col("c_name").alias("name"), F.when(_k() % 2 == 0, "Ireland").alias("country"), F.concat(F.lit("<p>"), pick(BODIES, _k())).alias("html"), pick(BODIES, _k()).alias("text"),
+        F.when(failed, "failed").otherwise("succeeded").alias("last_status"), F.when(failed, pick(("request timed out", "certificate error", "refused"), _k())).otherwise("").alias("error"),
     )
     return review.zero_source(c)
 

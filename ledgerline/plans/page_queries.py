@@ -13,11 +13,30 @@ from .registry import query
 from .source_queries import _sql_pick
 
 DAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
-_K = F.col("c_custkey")
-_DAY, _SQL_DAY = pick(DAYS, _K), _sql_pick(DAYS, "c_custkey")
-_HOUR, _SQL_HOUR = F.concat((_K % 11 + 1).cast("string"), F.lit(":30 pm")), "(c_custkey % 11 + 1) || ':30 pm'"
-_STREET, _SQL_STREET = F.concat((_K % 900 + 1).cast("string"), F.lit(" Oak Street")), "(c_custkey % 900 + 1) || ' Oak Street'"
-_NAME, _SQL_NAME = F.concat(F.lit("Group "), F.translate(_K.cast("string"), "0123456789", "bcdfghjklm")), "'Group ' || translate(c_custkey::VARCHAR, '0123456789', 'bcdfghjklm')"
+_SQL_DAY = _sql_pick(DAYS, "c_custkey")
+_SQL_HOUR = "(c_custkey % 11 + 1) || ':30 pm'"
+_SQL_STREET = "(c_custkey % 900 + 1) || ' Oak Street'"
+_SQL_NAME = "'Group ' || translate(c_custkey::VARCHAR, '0123456789', 'bcdfghjklm')"
+
+
+def _k() -> Column:
+    return F.col("c_custkey")
+
+
+def _day() -> Column:
+    return pick(DAYS, _k())
+
+
+def _hour() -> Column:
+    return F.concat((_k() % 11 + 1).cast("string"), F.lit(":30 pm"))
+
+
+def _street() -> Column:
+    return F.concat((_k() % 900 + 1).cast("string"), F.lit(" Oak Street"))
+
+
+def _name() -> Column:
+    return F.concat(F.lit("Group "), F.translate(_k().cast("string"), "0123456789", "bcdfghjklm"))
 
 
 def _t(*parts: str | Column) -> Column:
@@ -25,7 +44,7 @@ def _t(*parts: str | Column) -> Column:
 
 
 def _extracted(spark: SparkSession, d: str, html: Column, *cols: str, config: Column | None = None) -> DataFrame:
-    pages = table(spark, d, "customer").select(_K.alias("page_id"), F.lit("https://x.org/meetings").alias("url"), html.alias("html"), (config if config is not None else F.lit(None).cast("string")).alias("config"))
+    pages = table(spark, d, "customer").select(_k().alias("page_id"), F.lit("https://x.org/meetings").alias("url"), html.alias("html"), (config if config is not None else F.lit(None).cast("string")).alias("config"))
     return extract.extract(pages).select(F.col("page_id").alias("c_custkey"), "kind", *cols)
 
 
@@ -37,14 +56,14 @@ CASE c_custkey % 5 WHEN 0 THEN '1' || (c_custkey % 10) || ':15' ELSE {_SQL_HOUR}
 def extract_tables(spark: SparkSession, d: str) -> DataFrame:
     """Five shapes of tables and rows: cells with classes, known headings, a column a day, a spanning title, classed blocks."""
     cell = lambda c, cls="": _t(f'<td class="{cls}">' if cls else "<td>", c, "</td>")
-    sort = _t('<td class="time" data-sort="', (F.pmod(_K, F.lit(7)) + 1).cast("string"), "-1", (_K % 10).cast("string"), ':15">x</td>')
-    classed = _t("<table><tr>", sort, cell(_NAME, "name"), cell(F.lit("Hall"), "location"), "</tr></table>")
-    headed = _t("<table><tr><th>Meeting name<th>Weekday<th>Start time<th>Address</tr><tr>", cell(_NAME), cell(_DAY), cell(_HOUR), cell(_STREET), "</tr></table>")
-    days = [_t("<td>", F.when(_K % 7 == i, _HOUR).otherwise(""), "</td>") for i in range(7)]
-    matrix = _t("<table><tr><th>Group", *(f"<th>{x}" for x in DAYS), "</tr><tr><td colspan=8>Cork</td></tr><tr><td>", _NAME, "</td>", *days, "</tr></table>")
-    titled = _t("<table><tr><th colspan=2>", _NAME, " at ", _STREET, "</th></tr><tr><td>", _DAY, "</td><td>", _HOUR, "</td></tr><tr><td>Notes</td><td>none</td></tr></table>")
-    rows = _t('<div class="meeting-row"><h3>', _NAME, "</h3><p>", _DAY, " ", _HOUR, "</p><p>", _STREET, "</p></div>")
-    html = F.when(_K % 5 == 0, classed).when(_K % 5 == 1, headed).when(_K % 5 == 2, matrix).when(_K % 5 == 3, titled).otherwise(rows)
+    sort = _t('<td class="time" data-sort="', (F.pmod(_k(), F.lit(7)) + 1).cast("string"), "-1", (_k() % 10).cast("string"), ':15">x</td>')
+    classed = _t("<table><tr>", sort, cell(_name(), "name"), cell(F.lit("Hall"), "location"), "</tr></table>")
+    headed = _t("<table><tr><th>Meeting name<th>Weekday<th>Start time<th>Address</tr><tr>", cell(_name()), cell(_day()), cell(_hour()), cell(_street()), "</tr></table>")
+    days = [_t("<td>", F.when(_k() % 7 == i, _hour()).otherwise(""), "</td>") for i in range(7)]
+    matrix = _t("<table><tr><th>Group", *(f"<th>{x}" for x in DAYS), "</tr><tr><td colspan=8>Cork</td></tr><tr><td>", _name(), "</td>", *days, "</tr></table>")
+    titled = _t("<table><tr><th colspan=2>", _name(), " at ", _street(), "</th></tr><tr><td>", _day(), "</td><td>", _hour(), "</td></tr><tr><td>Notes</td><td>none</td></tr></table>")
+    rows = _t('<div class="meeting-row"><h3>', _name(), "</h3><p>", _day(), " ", _hour(), "</p><p>", _street(), "</p></div>")
+    html = F.when(_k() % 5 == 0, classed).when(_k() % 5 == 1, headed).when(_k() % 5 == 2, matrix).when(_k() % 5 == 3, titled).otherwise(rows)
     return _extracted(spark, d, html, "name", "day", "time", "city", "address_line1")
 
 
@@ -52,12 +71,12 @@ def extract_tables(spark: SparkSession, d: str) -> DataFrame:
 CASE c_custkey % 5 WHEN 4 THEN (c_custkey % 11 + 13) || ':30' ELSE {_SQL_HOUR} END AS time, CASE c_custkey % 5 WHEN 4 THEN '東京都中野区' ELSE {_SQL_STREET} END AS address_line1, CASE c_custkey % 5 WHEN 0 THEN 'AB' || c_custkey END AS source_record_id FROM customer""")
 def extract_schedules(spark: SparkSession, d: str) -> DataFrame:
     """Tabbed lines with codes, tabbed lines under days, labelled blocks, places with times, and Japanese blocks."""
-    coded = _t("\tAB", _K.cast("string"), "\tx\t", _DAY, "\t", _HOUR, "\t", _NAME, "\tHall\n\t", _STREET, "\n")
-    tabs = _t(_DAY, "\n", _NAME, "\tCork\t", _STREET, "\t", _HOUR, "\nloose\tline\n")
-    labels = _t("Name: ", _NAME, "\nDay: ", _DAY, "\nTime: ", _HOUR, "\nAddress: ", _STREET, "\n")
-    places = _t("<section><h2>Lokacija: ", _STREET, "</h2><ul><li>", _NAME, " čas: ", _HOUR, " ", _DAY, "</li><li>no label</li></ul></section>")
-    japanese = _t("<p>", pick(("月", "火", "水", "木", "金", "土", "日"), _K), "曜日</p><p>●希望", _K.cast("string"), "</p><p>午後", (_K % 11 + 1).cast("string"), ":30</p><p>東京都中野区</p><p>●休み</p><p>休止中 10:00</p>")
-    html = F.when(_K % 5 == 0, coded).when(_K % 5 == 1, tabs).when(_K % 5 == 2, labels).when(_K % 5 == 3, places).otherwise(japanese)
+    coded = _t("\tAB", _k().cast("string"), "\tx\t", _day(), "\t", _hour(), "\t", _name(), "\tHall\n\t", _street(), "\n")
+    tabs = _t(_day(), "\n", _name(), "\tCork\t", _street(), "\t", _hour(), "\nloose\tline\n")
+    labels = _t("Name: ", _name(), "\nDay: ", _day(), "\nTime: ", _hour(), "\nAddress: ", _street(), "\n")
+    places = _t("<section><h2>Lokacija: ", _street(), "</h2><ul><li>", _name(), " čas: ", _hour(), " ", _day(), "</li><li>no label</li></ul></section>")
+    japanese = _t("<p>", pick(("月", "火", "水", "木", "金", "土", "日"), _k()), "曜日</p><p>●希望", _k().cast("string"), "</p><p>午後", (_k() % 11 + 1).cast("string"), ":30</p><p>東京都中野区</p><p>●休み</p><p>休止中 10:00</p>")
+    html = F.when(_k() % 5 == 0, coded).when(_k() % 5 == 1, tabs).when(_k() % 5 == 2, labels).when(_k() % 5 == 3, places).otherwise(japanese)
     return _extracted(spark, d, html, "name", "day", "time", "address_line1", "source_record_id")
 
 
@@ -66,14 +85,14 @@ CASE c_custkey % 7 WHEN 2 THEN {_SQL_NAME} || ', ' || {_SQL_DAY} || ' ' || {_SQL
 def extract_texts(spark: SparkSession, d: str) -> DataFrame:
     """Seven shapes of running text: sections by day, one cell a line, paragraphs, inline pairs, numbered lists, names before
     times, and blocks."""
-    sections = _t("<main><h2>", _DAY, "</h2><p>", _HOUR, " ", _NAME, "</p><p>", _STREET, "</p></main>")
-    columns = _t("<div>", _HOUR, "</div><div>", _DAY, "</div><div>", _NAME, "</div><div>Hall</div><div>", _STREET, "</div>")
-    paragraph = _t("<p>", _NAME, ", ", _DAY, " ", _HOUR, " ", _STREET, "</p>")
-    inline = _t("<div>", _NAME, " ", _DAY, " ", _HOUR, " ", _STREET, "</div>")
-    numbered = _t("Number found:\n1\n", _NAME, "\n(1) ", _DAY, "\n", _HOUR, "\nIn-person\nCo. Cork\n", _STREET, "\n")
-    sequenced = _t("<div>", _NAME, "</div><div>", _DAY, " ", _HOUR, "</div><div>", _STREET, "</div>")
-    block = _t("<div>", _NAME, "</div><div>", _DAY, "</div><div>", _HOUR, "</div><div>", _STREET, "</div>")
-    html = F.when(_K % 7 == 0, sections).when(_K % 7 == 1, columns).when(_K % 7 == 2, paragraph).when(_K % 7 == 3, inline).when(_K % 7 == 4, numbered).when(_K % 7 == 5, sequenced).otherwise(block)
+    sections = _t("<main><h2>", _day(), "</h2><p>", _hour(), " ", _name(), "</p><p>", _street(), "</p></main>")
+    columns = _t("<div>", _hour(), "</div><div>", _day(), "</div><div>", _name(), "</div><div>Hall</div><div>", _street(), "</div>")
+    paragraph = _t("<p>", _name(), ", ", _day(), " ", _hour(), " ", _street(), "</p>")
+    inline = _t("<div>", _name(), " ", _day(), " ", _hour(), " ", _street(), "</div>")
+    numbered = _t("Number found:\n1\n", _name(), "\n(1) ", _day(), "\n", _hour(), "\nIn-person\nCo. Cork\n", _street(), "\n")
+    sequenced = _t("<div>", _name(), "</div><div>", _day(), " ", _hour(), "</div><div>", _street(), "</div>")
+    block = _t("<div>", _name(), "</div><div>", _day(), "</div><div>", _hour(), "</div><div>", _street(), "</div>")
+    html = F.when(_k() % 7 == 0, sections).when(_k() % 7 == 1, columns).when(_k() % 7 == 2, paragraph).when(_k() % 7 == 3, inline).when(_k() % 7 == 4, numbered).when(_k() % 7 == 5, sequenced).otherwise(block)
     return _extracted(spark, d, html, "name", "day", "time", "address_line1")
 
 
@@ -84,26 +103,26 @@ _ICS_DAY = _sql_pick(("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "S
 CASE c_custkey % 5 WHEN 2 THEN '1' || (c_custkey % 10) || ':30' WHEN 4 THEN '1' || (c_custkey % 10) || ':30' ELSE {_SQL_HOUR} END AS time, CASE c_custkey % 5 WHEN 4 THEN '札幌市中央区' ELSE {_SQL_STREET} END AS address_line1 FROM customer""")
 def extract_documents(spark: SparkSession, d: str) -> DataFrame:
     """Selectors from a source's config, listing JSON, weekly calendar events, and texts of printed lists, also Japanese ones."""
-    configured = _t('<div class="m"><b>', _NAME, '</b><i class="d">', _DAY, '</i><i class="t">', _HOUR, '</i><i class="a">', _STREET, "</i></div>")
-    item = F.struct(_NAME.alias("name"), ((_K + 1) % 7).alias("day"), _HOUR.alias("time"), _STREET.alias("formatted_address"))
+    configured = _t('<div class="m"><b>', _name(), '</b><i class="d">', _day(), '</i><i class="t">', _hour(), '</i><i class="a">', _street(), "</i></div>")
+    item = F.struct(_name().alias("name"), ((_k() + 1) % 7).alias("day"), _hour().alias("time"), _street().alias("formatted_address"))
     feed = F.to_json(F.struct(F.array(item).alias("meetings")))
-    event = lambda rule: _t("BEGIN:VEVENT\r\nSUMMARY:", _NAME, "\r\nLOCATION:", _STREET, "\r\nDTSTART:20240101T1", (_K % 10).cast("string"), f"3000\r\nRRULE:{rule}", "\r\nEND:VEVENT\r\n")
-    code = pick(("MO", "TU", "WE", "TH", "FR", "SA", "SU"), _K)
-    weekly = _t("BEGIN:VEVENT\r\nSUMMARY:", _NAME, "\r\nLOCATION:", _STREET, "\r\nDTSTART:20240101T1", (_K % 10).cast("string"), "3000\r\nRRULE:FREQ=WEEKLY;BYDAY=", code, "\r\nEND:VEVENT\r\n")
+    event = lambda rule: _t("BEGIN:VEVENT\r\nSUMMARY:", _name(), "\r\nLOCATION:", _street(), "\r\nDTSTART:20240101T1", (_k() % 10).cast("string"), f"3000\r\nRRULE:{rule}", "\r\nEND:VEVENT\r\n")
+    code = pick(("MO", "TU", "WE", "TH", "FR", "SA", "SU"), _k())
+    weekly = _t("BEGIN:VEVENT\r\nSUMMARY:", _name(), "\r\nLOCATION:", _street(), "\r\nDTSTART:20240101T1", (_k() % 10).cast("string"), "3000\r\nRRULE:FREQ=WEEKLY;BYDAY=", code, "\r\nEND:VEVENT\r\n")
     ics = _t("BEGIN:VCALENDAR\r\n", event("FREQ=MONTHLY"), weekly, event("FREQ=WEEKLY;UNTIL=20230101T000000Z"), "END:VCALENDAR")
     pdf = lambda *x: _t('<div data-pdf-text-fallback="true"><pre>', *x, "</pre></div>")
-    printed = pdf("AREA MEETING LIST\n", _DAY, "\n", _HOUR, " ", _NAME, "\n", _STREET, "\nwww.x.org")
-    japanese = pdf(pick(("月", "火", "水", "木", "金", "土", "日"), _K), "曜日\n1", (_K % 10).cast("string"), ":30 あさひ", _K.cast("string"), "\n札幌市中央区\n")
-    html = F.when(_K % 5 == 0, configured).when(_K % 5 == 1, feed).when(_K % 5 == 2, ics).when(_K % 5 == 3, printed).otherwise(japanese)
-    config = F.when(_K % 5 == 0, '{"selectors": {"row": ".m", "name": "b", "day": ".d", "time": ".t", "address_line1": ".a"}}').otherwise('{"as_of": "20240101"}')
+    printed = pdf("AREA MEETING LIST\n", _day(), "\n", _hour(), " ", _name(), "\n", _street(), "\nwww.x.org")
+    japanese = pdf(pick(("月", "火", "水", "木", "金", "土", "日"), _k()), "曜日\n1", (_k() % 10).cast("string"), ":30 あさひ", _k().cast("string"), "\n札幌市中央区\n")
+    html = F.when(_k() % 5 == 0, configured).when(_k() % 5 == 1, feed).when(_k() % 5 == 2, ics).when(_k() % 5 == 3, printed).otherwise(japanese)
+    config = F.when(_k() % 5 == 0, '{"selectors": {"row": ".m", "name": "b", "day": ".d", "time": ".t", "address_line1": ".a"}}').otherwise('{"as_of": "20240101"}')
     return _extracted(spark, d, html, "name", "day", "time", "address_line1", config=config)
 
 
 @query(f"""SELECT c_custkey, count(*)::BIGINT AS n, string_agg(kind, ',' ORDER BY kind) AS kinds FROM (SELECT c_custkey, 'header_table' AS kind FROM customer UNION ALL SELECT c_custkey, 'cards' FROM customer UNION ALL SELECT c_custkey, 'cards' FROM customer) GROUP BY 1""")
 def extractor_union(spark: SparkSession, d: str) -> DataFrame:
     """A page with a table and with cards gives the rows of both, and no fall-back's."""
-    card = lambda n: _t("<article><h3>", _NAME, f" {n}</h3><p>", _DAY, " ", _HOUR, "</p><p>", _STREET, "</p></article>")
-    html = _t("<table><tr><th>Meeting<th>Day<th>Time<th>Address</tr><tr><td>", _NAME, "</td><td>", _DAY, "</td><td>", _HOUR, "</td><td>", _STREET, "</td></tr></table>", card("one"), card("two"))
+    card = lambda n: _t("<article><h3>", _name(), f" {n}</h3><p>", _day(), " ", _hour(), "</p><p>", _street(), "</p></article>")
+    html = _t("<table><tr><th>Meeting<th>Day<th>Time<th>Address</tr><tr><td>", _name(), "</td><td>", _day(), "</td><td>", _hour(), "</td><td>", _street(), "</td></tr></table>", card("one"), card("two"))
     rows = _extracted(spark, d, html, "name")
     return rows.groupBy("c_custkey").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("kind")), ",").alias("kinds"))
 
@@ -116,7 +135,7 @@ CLEAN = ("12:00 pm", "12:00 am", "19:30", "19:00", "7pm", "19:30pm", "14:00", "7
 
 @query(f"SELECT c_custkey, {_sql_pick(CLEAN, 'c_custkey')} AS cleaned FROM customer")
 def cleaned_times(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select("c_custkey", schedule.clean_time(pick(CLOCKS, _K)).alias("cleaned"))
+    return table(spark, d, "customer").select("c_custkey", schedule.clean_time(pick(CLOCKS, _k())).alias("cleaned"))
 
 
 DAY_WORDS = ("daily", "Monday", "lundi", "7", "0", "x", "воскресенье", "Сб", "sabtu")
@@ -125,7 +144,7 @@ DAY_WORDS = ("daily", "Monday", "lundi", "7", "0", "x", "воскресенье"
 @query(f"SELECT c_custkey, TRY_CAST({_sql_pick(('0', '1', '1', '0', '0', None, '0', None, '6'), 'c_custkey')} AS INTEGER) AS day FROM customer")
 def normalized_day(spark: SparkSession, d: str) -> DataFrame:
     """The first day that a word stands for."""
-    return table(spark, d, "customer").select("c_custkey", schedule.normalize_day(pick(DAY_WORDS, _K)).cast("int").alias("day"))
+    return table(spark, d, "customer").select("c_custkey", schedule.normalize_day(pick(DAY_WORDS, _k())).cast("int").alias("day"))
 
 
 # ---- the crawl
@@ -168,7 +187,7 @@ _GUESSED = sorted({p.rstrip("/").lower() or "/" for p in C.COMMON_PATHS})
 @query(f"""SELECT c_custkey, {len(C.COMMON_PATHS)} - CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS n, 'https://h' || c_custkey || '.org/' || CASE WHEN c_custkey % 2 = 0 THEN 'meetings/' ELSE 'meeting/' END AS first_url, 'meetings/find a meeting' AS third FROM customer""")
 def common_path_guesses(spark: SparkSession, d: str) -> DataFrame:
     """Pages to try on each site; a site that begins at one of the paths isn't tried there again."""
-    s = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("https://h"), _K, F.lit(".org"), F.when(_K % 2 == 0, "/meeting").otherwise("/home")).alias("source_url"))
+    s = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("https://h"), _k(), F.lit(".org"), F.when(_k() % 2 == 0, "/meeting").otherwise("/home")).alias("source_url"))
     g = C.guesses(s.select("source_url")).groupBy("source_url").agg(F.count("*").cast("int").alias("n"), F.min_by("url", "pos").alias("first_url"), F.max(F.when(F.col("pos") == 2, F.col("text"))).alias("third"))
     return s.join(g, "source_url").select("c_custkey", "n", "first_url", "third")
 
@@ -177,7 +196,7 @@ _CONFIG = ('{"scrape":{"successful_pages":[{"url":"https://w.org/a#x","records_e
 
 
 def _remembering(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select("c_custkey", F.concat(F.lit("https://w.org/?s="), _K).alias("source_url"), pick(_CONFIG, _K).alias("config"))
+    return table(spark, d, "customer").select("c_custkey", F.concat(F.lit("https://w.org/?s="), _k()).alias("source_url"), pick(_CONFIG, _k()).alias("config"))
 
 
 @query("""SELECT c_custkey, x AS url FROM customer, LATERAL (SELECT unnest(CASE c_custkey % 3 WHEN 0 THEN ['a', 'b', 'c', 'd'] WHEN 2 THEN ['1', '2', '3', '4', '5'] ELSE [] END) AS x)""")
@@ -197,7 +216,7 @@ def crawl_frontier(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN CASE c_custkey % 4 WHEN 0 THEN 8 WHEN 2 THEN 3 END END AS expected FROM customer")
 def expected_records(spark: SparkSession, d: str) -> DataFrame:
     """How many rows a page gave when it was last read."""
-    page = pick(("https://w.org/a", "https://w.org/b", "https://w.org/d#top", "https://w.org/none"), _K)
+    page = pick(("https://w.org/a", "https://w.org/b", "https://w.org/d#top", "https://w.org/none"), _k())
     return _remembering(spark, d).select("c_custkey", C.expected_records(F.col("config"), page).alias("expected"))
 
 
@@ -238,7 +257,7 @@ FILES = (("https://x.org/Meeting_List.pdf", "get"), ("https://x.org/f.pdf", "Are
 @query("SELECT c_custkey, c_custkey % 7 IN (0, 2, 3, 6) AS meeting_list, c_custkey % 7 = 3 AS download FROM customer")
 def meeting_list_links(spark: SparkSession, d: str) -> DataFrame:
     """Links to meeting lists to download, by names and query."""
-    u, t = pick(tuple(f[0] for f in FILES), _K), pick(tuple(f[1] for f in FILES), _K)
+    u, t = pick(tuple(f[0] for f in FILES), _k()), pick(tuple(f[1] for f in FILES), _k())
     return table(spark, d, "customer").select("c_custkey", C.is_meeting_pdf(u, t).alias("meeting_list"), C.has_list_query(u).alias("download"))
 
 
@@ -248,18 +267,18 @@ QUERIES = ("", "tsml-region=cork&tsml-region=x", "tsml-district=all", "TSML-atte
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 5 IN (1, 2, 3) THEN 'https://x.org/wp-admin/admin-ajax.php?action=meetings' || CASE c_custkey % 5 WHEN 1 THEN '&region=cork' WHEN 3 THEN '&attendance_option=in_person' ELSE '' END END AS feed, c_custkey % 5 IN (1, 2, 3) AS is_feed FROM customer""")
 def feed_urls(spark: SparkSession, d: str) -> DataFrame:
     """The feeds behind filtered pages."""
-    feed = C.feed_url(F.concat(F.lit("https://x.org/list?"), pick(QUERIES, _K)))
+    feed = C.feed_url(F.concat(F.lit("https://x.org/list?"), pick(QUERIES, _k())))
     return table(spark, d, "customer").select("c_custkey", feed.alias("feed"), F.coalesce(C.is_feed_url(feed), F.lit(False)).alias("is_feed"))
 
 
 @query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'https://calendar.google.com/calendar/ical/g' || c_custkey || '@x.org/public/basic.ics' WHEN 1 THEN 'https://calendar.google.com/calendar/ical/h' || c_custkey || '@x.org/public/basic.ics' WHEN 2 THEN 'https://calendar.google.com/calendar/ical/plain/public/basic.ics' END AS ics FROM customer""")
 def calendar_feeds(spark: SparkSession, d: str) -> DataFrame:
     """Calendar files behind frames: plain addresses, encoded ones, others as they are; other frames have none."""
-    code = F.regexp_replace(F.translate(F.base64(F.concat(F.lit("h"), _K, F.lit("@x.org")).cast("binary")), "+/", "-_"), "=+$", "")
-    src = F.when(_K % 4 == 0, F.concat(F.lit("g"), _K, F.lit("%40x.org"))).when(_K % 4 == 1, code).otherwise("plain")
-    frame = F.concat(F.when(_K % 4 == 3, "https://maps.google.com/embed?src=").otherwise("https://calendar.google.com/calendar/embed?mode=week&src="), src)
+    code = F.regexp_replace(F.translate(F.base64(F.concat(F.lit("h"), _k(), F.lit("@x.org")).cast("binary")), "+/", "-_"), "=+$", "")
+    src = F.when(_k() % 4 == 0, F.concat(F.lit("g"), _k(), F.lit("%40x.org"))).when(_k() % 4 == 1, code).otherwise("plain")
+    frame = F.concat(F.when(_k() % 4 == 3, "https://maps.google.com/embed?src=").otherwise("https://calendar.google.com/calendar/embed?mode=week&src="), src)
     html = _t('<iframe src="', frame, '"></iframe><iframe src="', frame, '"></iframe><a href="/x">x</a>')
-    pages = table(spark, d, "customer").select(_K.alias("page_id"), html.alias("html"))
+    pages = table(spark, d, "customer").select(_k().alias("page_id"), html.alias("html"))
     frames = first_wins(extract.frames(pages), ["page_id", "src"], ["pos"])
     return frames.select(F.col("page_id").alias("c_custkey"), C.calendar_feed(F.col("src")).alias("ics"))
 
@@ -287,17 +306,17 @@ def site_rows(spark: SparkSession, d: str) -> DataFrame:
     """Pages of eight single sites, read by their parsers; a page of another site is left to the general extractors."""
     from ..sources import site_parsers
 
-    hour = F.concat((_K % 11 + 13).cast("string"), F.lit(":30"))
+    hour = F.concat((_k() % 11 + 13).cast("string"), F.lit(":30"))
     p = lambda *x: _t("<p>", *x, "</p>")
     pages = (
-        _t("<table><tr><td>Dag<td>Navn<td>Tid<td>Sted</tr><tr><td>", _DAY, "<td>&quot;", _NAME, "&quot; (Åben)<td>", hour, "<td>", _STREET, "</tr></table>"), _t(p(F.upper(_DAY)), p(_HOUR), p(_NAME), p("Hall"), p(_STREET), p("9:00 PM"), p("No meeting")),
-        _t(p("Southeastern WI"), p(F.upper(_DAY)), p(_NAME, " - ", _HOUR), p(_STREET), p("This website is neither endorsed")), _t(p(_DAY, " at ", hour), p("Name:"), p(_NAME), p("Address:"), p(_STREET), p("See Map"), p("Friday 19:00"), p("Name:"), p("x"), p("Address:"), p("y"), p("meeting is closed")),
-        F.lit("<p>see the picture</p>"), _t(p(_NAME), p(_DAY, "s at ", _HOUR), p("x")), _t('<div class="entry-content"><h2>Естонія, Таллінн</h2><ul><li>Група «', _NAME, "»</li><li>", _STREET, "</li><li>щосереди</li><li>", hour, "</li></ul></div>"), F.lit("<p>x</p>"),
+        _t("<table><tr><td>Dag<td>Navn<td>Tid<td>Sted</tr><tr><td>", _day(), "<td>&quot;", _name(), "&quot; (Åben)<td>", hour, "<td>", _street(), "</tr></table>"), _t(p(F.upper(_day())), p(_hour()), p(_name()), p("Hall"), p(_street()), p("9:00 PM"), p("No meeting")),
+        _t(p("Southeastern WI"), p(F.upper(_day())), p(_name(), " - ", _hour()), p(_street()), p("This website is neither endorsed")), _t(p(_day(), " at ", hour), p("Name:"), p(_name()), p("Address:"), p(_street()), p("See Map"), p("Friday 19:00"), p("Name:"), p("x"), p("Address:"), p("y"), p("meeting is closed")),
+        F.lit("<p>see the picture</p>"), _t(p(_name()), p(_day(), "s at ", _hour()), p("x")), _t('<div class="entry-content"><h2>Естонія, Таллінн</h2><ul><li>Група «', _name(), "»</li><li>", _street(), "</li><li>щосереди</li><li>", hour, "</li></ul></div>"), F.lit("<p>x</p>"),
     )
     html = pages[-1]
     for i, x in enumerate(pages[:-1]):
-        html = F.when(_K % len(pages) == i, x).otherwise(html)
-    captured = table(spark, d, "customer").select(_K.alias("page_id"), F.lit("https://x.org/meetings/hua-hin-meetings/").alias("url"), html.alias("html"), pick(SITES, _K).alias("site"))
+        html = F.when(_k() % len(pages) == i, x).otherwise(html)
+    captured = table(spark, d, "customer").select(_k().alias("page_id"), F.lit("https://x.org/meetings/hua-hin-meetings/").alias("url"), html.alias("html"), pick(SITES, _k()).alias("site"))
     return site_parsers.parse_sites(captured).select(F.col("page_id").alias("c_custkey"), "site", "name", "day", "time", "address_line1", "timezone")
 
 
@@ -309,7 +328,7 @@ def folded_keys(spark: SparkSession, d: str) -> DataFrame:
     """Comparison forms without accents, and with look-alike letters and apostrophes made one."""
     from ..sources import site_parsers
 
-    c = table(spark, d, "customer").select("c_custkey", pick(FOLDED, _K).alias("a"), pick(("П’ятниця", "КИЇВ", "abc", "Ні"), _K).alias("b"))
+    c = table(spark, d, "customer").select("c_custkey", pick(FOLDED, _k()).alias("a"), pick(("П’ятниця", "КИЇВ", "abc", "Ні"), _k()).alias("b"))
     return c.select("c_custkey", site_parsers.folded("a").alias("k"), site_parsers.folded("b", site_parsers.cyrillic_key).alias("u"))
 
 
@@ -319,11 +338,11 @@ def hinted_feeds(spark: SparkSession, d: str) -> DataFrame:
     """Feeds that pages' scripts are set up with, in plain and in base64 scripts."""
     from ..sources import endpoints
 
-    root = F.concat(F.lit('{"root_server": "https:\\/\\/r'), _K, F.lit('.org\\/main_server\\/", '))
-    plain = F.concat(F.lit("<script>var x = "), root, F.lit('"service_body": ["'), _K, F.lit('", 7], "recurse_service_bodies": "1"}</script>'))
-    script = F.concat(root, F.lit('"custom_query": "&a='), _K, F.lit('", "service_body": [3]}'))
+    root = F.concat(F.lit('{"root_server": "https:\\/\\/r'), _k(), F.lit('.org\\/main_server\\/", '))
+    plain = F.concat(F.lit("<script>var x = "), root, F.lit('"service_body": ["'), _k(), F.lit('", 7], "recurse_service_bodies": "1"}</script>'))
+    script = F.concat(root, F.lit('"custom_query": "&a='), _k(), F.lit('", "service_body": [3]}'))
     coded = F.concat(F.lit('<script src="data:text/javascript;base64,'), F.regexp_replace(F.base64(script.cast("binary")), r"\s", ""), F.lit('"></script>'))
-    pages = table(spark, d, "customer").select(_K.alias("page_id"), F.when(_K % 3 == 0, plain).when(_K % 3 == 1, coded).otherwise("<p>none</p>").alias("html"))
+    pages = table(spark, d, "customer").select(_k().alias("page_id"), F.when(_k() % 3 == 0, plain).when(_k() % 3 == 1, coded).otherwise("<p>none</p>").alias("html"))
     return endpoints.hinted_feeds(pages).select(F.col("page_id").alias("c_custkey"), "endpoint")
 
 
@@ -333,11 +352,11 @@ def form_answers(spark: SparkSession, d: str) -> DataFrame:
     """What forms are asked, and the rows of their JSON answers."""
     from ..sources import endpoints
 
-    sid = F.concat(F.lit("s"), _K)
-    body = F.when(_K % 3 == 0, F.to_json(F.array(F.struct(F.col("c_name").alias("n"), F.lit("Monday").alias("d"))))).when(_K % 3 == 1, F.to_json(F.array(F.struct(F.col("c_name").alias("n"))))).otherwise('{"error": 1}')
+    sid = F.concat(F.lit("s"), _k())
+    body = F.when(_k() % 3 == 0, F.to_json(F.array(F.struct(F.col("c_name").alias("n"), F.lit("Monday").alias("d"))))).when(_k() % 3 == 1, F.to_json(F.array(F.struct(F.col("c_name").alias("n"))))).otherwise('{"error": 1}')
     c = table(spark, d, "customer")
     rows = endpoints.form_rows(c.select(sid.alias("source_id"), body.alias("body")), {"name": ".n", "day": ".d"})
-    config = F.when(_K % 2 == 0, F.concat(F.lit('{"request": {"method": "post", "url": "https://f/'), _K, F.lit('", "data": {"a": 1}}}'))).otherwise('{"request": {}}')
+    config = F.when(_k() % 2 == 0, F.concat(F.lit('{"request": {"method": "post", "url": "https://f/'), _k(), F.lit('", "data": {"a": 1}}}'))).otherwise('{"request": {}}')
     asked = endpoints.form_requests(c.select(sid.alias("id"), F.lit("https://s").alias("url"), config.alias("config")))
     return rows.join(asked.select(F.col("id").alias("source_id"), "method", "url"), "source_id").select("source_id", "name", "day", F.col("error").isNotNull().cast("int").alias("failed"), "method", "url")
 
@@ -359,9 +378,9 @@ def text_pages(spark: SparkSession, d: str) -> DataFrame:
     """Texts wrapped as pages that say where they come from, and read by the extractors."""
     from ..sources import endpoints
 
-    text = _t("AREA MEETING LIST\n", _DAY, "\n", _HOUR, " ", _NAME, "\n", _STREET)
-    page = _t("<main><h2>", _DAY, "</h2><p>", _HOUR, " ", _NAME, "</p><p>", _STREET, "</p></main>")
-    html = F.when(_K % 2 == 0, endpoints.as_page(text, "pdf")).otherwise(endpoints.as_page(F.lit("late <text> & more"), "rendered", page))
+    text = _t("AREA MEETING LIST\n", _day(), "\n", _hour(), " ", _name(), "\n", _street())
+    page = _t("<main><h2>", _day(), "</h2><p>", _hour(), " ", _name(), "</p><p>", _street(), "</p></main>")
+    html = F.when(_k() % 2 == 0, endpoints.as_page(text, "pdf")).otherwise(endpoints.as_page(F.lit("late <text> & more"), "rendered", page))
     return _extracted(spark, d, html, "name", "address_line1")
 
 
@@ -370,8 +389,8 @@ def hosted_collections(spark: SparkSession, d: str) -> DataFrame:
     """Captured answers of a hosted collection, joined to a text that the list extractor reads."""
     from ..sources import endpoints
 
-    item = F.struct(F.struct(_NAME.alias("title"), F.concat(F.lit("<p>"), _DAY, F.lit("</p>")).alias("requirements"), _HOUR.alias("time"), F.lit("In-person").alias("jobType1"), F.lit("Co. Cork").alias("county"), _STREET.alias("location")).alias("data"))
-    answers = table(spark, d, "customer").select(_K.alias("page_id"), F.lit(0).alias("offset"), F.to_json(F.struct(F.array(item).alias("dataItems"))).alias("body"))
+    item = F.struct(F.struct(_name().alias("title"), F.concat(F.lit("<p>"), _day(), F.lit("</p>")).alias("requirements"), _hour().alias("time"), F.lit("In-person").alias("jobType1"), F.lit("Co. Cork").alias("county"), _street().alias("location")).alias("data"))
+    answers = table(spark, d, "customer").select(_k().alias("page_id"), F.lit(0).alias("offset"), F.to_json(F.struct(F.array(item).alias("dataItems"))).alias("body"))
     text = endpoints.collection_text(answers)
     rows = extract.extract(text.select("page_id", F.lit("u").alias("url"), F.col("text").alias("html")))
     return rows.select(F.col("page_id").alias("c_custkey"), "name", "day", "region", endpoints.collection_sort(F.lit('[{"time": "asc"}, {"x": "desc"}]')).alias("sort"))
@@ -382,11 +401,11 @@ def probed_feeds(spark: SparkSession, d: str) -> DataFrame:
     """Where a feed may be, by usual paths and by what pages mention, and the first address whose captured answer is one."""
     from ..sources import endpoints
 
-    base = F.concat(F.lit("https://h"), _K, F.lit(".org/"))
-    pages = table(spark, d, "customer").select(_K.alias("page_id"), base.alias("url"), F.lit('<a href="/deep/meetings.json?x=1">feed</a><script src="/app.js"></script>').alias("html"))
+    base = F.concat(F.lit("https://h"), _k(), F.lit(".org/"))
+    pages = table(spark, d, "customer").select(_k().alias("page_id"), base.alias("url"), F.lit('<a href="/deep/meetings.json?x=1">feed</a><script src="/app.js"></script>').alias("html"))
     at = endpoints.probe_addresses(pages, ("/meetings.json", "/wp-json/meetings"), endpoints.GUIDE_WORDS)
-    good = F.concat(base, F.when(_K % 2 == 0, "meetings.json").otherwise("deep/meetings.json?x=1"))
-    answers = table(spark, d, "customer").select(good.alias("url"), F.when(_K % 3 < 2, '[{"slug": "a"}]').otherwise("{}").alias("payload"))
+    good = F.concat(base, F.when(_k() % 2 == 0, "meetings.json").otherwise("deep/meetings.json?x=1"))
+    answers = table(spark, d, "customer").select(good.alias("url"), F.when(_k() % 3 < 2, '[{"slug": "a"}]').otherwise("{}").alias("payload"))
     return endpoints.probed(at, answers, F.lit(True)).select(F.col("page_id").alias("c_custkey"), "url")
 
 
@@ -412,9 +431,9 @@ def direct_feeds(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT c_custkey, 'T ' || c_custkey || ' Head Some text ' || c_custkey AS text, 'T ' || c_custkey AS title, 'Head' AS headings FROM customer""")
 def page_texts(spark: SparkSession, d: str) -> DataFrame:
     """Titles, headings and texts of pages: scripts and styles left out, blanks joined."""
-    k = _K.cast("string")
+    k = _k().cast("string")
     html = _t("<html><head><title>T ", k, "</title><style>p {}</style></head><body><h1>Head</h1><p>Some \n  text ", k, "</p><script>no()</script><noscript>no</noscript></body></html>")
-    return extract.page_parts(table(spark, d, "customer").select(_K.alias("page_id"), html.alias("html"))).select(F.col("page_id").alias("c_custkey"), "text", "title", "headings")
+    return extract.page_parts(table(spark, d, "customer").select(_k().alias("page_id"), html.alias("html"))).select(F.col("page_id").alias("c_custkey"), "text", "title", "headings")
 
 
 @query("""SELECT c_custkey, (CASE WHEN c_custkey % 2 = 0 THEN 26 ELSE 0 END + CASE WHEN c_custkey % 3 = 0 THEN 24 ELSE 0 END + CASE WHEN c_custkey % 5 = 0 THEN 24 ELSE 0 END) / 100.0::DOUBLE AS score FROM customer""")
@@ -422,7 +441,7 @@ def page_scores(spark: SparkSession, d: str) -> DataFrame:
     """How much pages look like meeting pages: days with times, forms that ask for meetings, tables with known headings."""
     from ..functions import scoring
 
-    html = _t("<title>T</title><p>", F.when(_K % 2 == 0, "Monday 7:00 pm").otherwise("hello"), "</p>", F.when(_K % 3 == 0, '<form><input name="meeting"></form>').otherwise(""), F.when(_K % 5 == 0, "<table><tr><th>Day<th>Time</tr></table>").otherwise(""))
-    parts = extract.page_parts(table(spark, d, "customer").select(_K.alias("page_id"), html.alias("html"), F.lit("https://x.org/p").alias("url")), "url")
+    html = _t("<title>T</title><p>", F.when(_k() % 2 == 0, "Monday 7:00 pm").otherwise("hello"), "</p>", F.when(_k() % 3 == 0, '<form><input name="meeting"></form>').otherwise(""), F.when(_k() % 5 == 0, "<table><tr><th>Day<th>Time</tr></table>").otherwise(""))
+    parts = extract.page_parts(table(spark, d, "customer").select(_k().alias("page_id"), html.alias("html"), F.lit("https://x.org/p").alias("url")), "url")
     score = scoring.page_score(F.col("url"), F.concat_ws(" ", "title", "headings"), F.col("text"), F.col("has_form"), F.col("has_table"))
     return parts.select(F.col("page_id").alias("c_custkey"), score.alias("score"))
