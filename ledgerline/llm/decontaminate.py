@@ -17,7 +17,9 @@ The items are a stated set met by every document. They are broadcast in blocks o
 so memory is bounded however many items there are. Documents are never shuffled.
 
 Edge cases: null and empty texts and items match nothing, nor do items under Q normalised bytes; rows with equal or
-null doc_id are searched one by one; further columns pass through untouched in clean() and are not read in matches().
+null doc_id are searched one by one; ties of item ids are items of their own; a very long text is one chunk and is searched
+whole; an empty table of documents or items gives no match; further columns, whatever their names, pass through untouched in
+clean() and are not read in matches().
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ are not held out and have a language. Texts of that sample never leave the execu
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; so is every text if there is nothing to
 learn from. A null doc_id counts as the empty text for the held-out rule. Rows are judged one by one, so repeated
-rows don't matter. Other columns are not read.
+rows don't matter. Of equal scores the language first in the alphabet is taken. A very long text is read whole; an empty
+table gives an empty one, and nothing to learn from. Other columns are not read.
 """
 
 from __future__ import annotations

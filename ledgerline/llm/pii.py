@@ -12,7 +12,9 @@ that split() leaves between the matches of the same pattern, so a text is never
 Prefix sums over those lengths go by blocks, which keeps texts with very many spans near linear.
 
 Edge cases: a null text counts as empty and has no spans; rows are handled one by one, so null or repeated doc_ids
-and repeated rows don't matter; spans of different kinds may overlap; columns beyond those named are not read.
+and repeated rows don't matter; spans of different kinds may overlap, and of ties in the start the kind listed first comes
+first; a very long text is one row and is scanned whole; an empty table gives an empty one; columns beyond those named are not
+read, and redact() returns them whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ count as content, lines of bad ones as boilerplate; the field learns which line
 
 Edge cases: a null or empty text has no words and fails the base rule; without labelled rows of both classes the
 field abstains and the base verdict stands; rows with equal or null doc_id are judged one by one; columns other
-than doc_id and text are not read, so names may clash.
+than doc_id and text are not read, so names may clash; a very long text is one chunk and is judged whole; an empty table gives
+an empty one; a share equal to the least one is kept.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ go one at a time, still linear. The vocabulary is read on the driver from a path
 vocabulary, a few MB). All 256 single bytes must be in it, so no word is without a split.
 
 Edge cases: null, empty and blank texts have no words and no tokens; rows are counted one by one, so repeated rows
-and null doc_ids don't matter; columns other than doc_id and text are not read.
+and null doc_ids don't matter; a very long text is counted whole; an empty table gives an empty one; columns other than doc_id
+and text are not read.
 """
 
 from __future__ import annotations
