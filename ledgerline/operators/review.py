@@ -150,6 +150,21 @@ def zero_source(pages: DataFrame, html: str = "html", text: str = "text", status
     return out.withColumns({"signals": signals, "bucket": bucket, "priority": priority}).drop(*(f"__{k}" for k in SIGNALS), "__embed", "__day")
 
 
+def inspected(sources: DataFrame, artifacts: DataFrame, probes: DataFrame) -> DataFrame:
+    """Sources (id, name, country, config) that gave nothing, with what is known of their page: the last capture (source_id, html,
+    text), else a probe's answer (source_id, html, text, error); both may be missing. The last run's status and error are in the
+    config."""
+    a = artifacts.select(F.col("source_id").alias("id"), F.col("html").alias("__ah"), F.col("text").alias("__at"))
+    p = probes.select(F.col("source_id").alias("id"), F.col("html").alias("__ph"), F.col("text").alias("__pt"), F.col("error").alias("__pe"))
+    df = sources.join(a, "id", "left").join(p, "id", "left")
+    own = nonblank(F.col("__ah")).isNotNull()
+    df = df.withColumns({
+        "html": F.when(own, F.col("__ah")).otherwise(F.col("__ph")), "text": F.when(own, F.col("__at")).otherwise(F.col("__pt")), "last_status": F.get_json_object("config", "$.scrape.last_status"),
+        "error": F.coalesce(nonblank(F.get_json_object("config", "$.scrape.last_error")), F.when(~own, F.col("__pe"))),
+    })
+    return zero_source(df.drop("__ah", "__at", "__ph", "__pt", "__pe"))
+
+
 RETRY_BUCKETS = ("possible_missed_structured_feed", "possible_pdf_or_printable", "possible_embed_or_calendar", "parser_gap_candidate")
 
 

@@ -297,3 +297,27 @@ def first_payloads(spark: SparkSession, d: str) -> DataFrame:
     """The first payload of each name, day, time and place, whatever the letters' case."""
     o = table(spark, d, "orders").withColumn("name", F.lower(F.when(F.col("o_orderkey") % 2 == 0, "Hope").otherwise("HOPE")))
     return ranking.first_wins(o, ["name", "o_custkey", "o_orderpriority"], ["o_orderkey"]).select("o_custkey", "o_orderkey")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 0.3 ELSE 0.95 END::DOUBLE AS confidence FROM customer""")
+def direct_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Records that a feed gave directly are kept whatever their confidence; without one they have the usual one."""
+    c = _listings(spark, d).withColumn("confidence", F.when(_k_id() % 3 == 0, 0.3))
+    kept, _ = pipeline.ingest_direct(c)
+    return kept.select(_k_id().alias("c_custkey"), "confidence")
+
+
+def _k_id() -> Column:
+    return F.col("source_record_id").cast("long")
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'parser_gap_candidate' WHEN 1 THEN 'possible_missed_structured_feed' WHEN 2 THEN 'low_signal' ELSE 'failed_timeout' END AS bucket FROM customer""")
+def inspected_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Sources with the page of their last capture, else of a probe, else nothing."""
+    k = _k()
+    c = table(spark, d, "customer")
+    sid = F.concat(F.lit("s"), k)
+    sources = c.select("c_custkey", sid.alias("id"), F.col("c_name").alias("name"), _none().alias("country"), F.when(k % 4 == 3, '{"scrape":{"last_status":"failed","last_error":"timed out"}}').otherwise('{"scrape":{"last_status":"succeeded"}}').alias("config"))
+    captures = c.filter("c_custkey % 4 = 0").select(sid.alias("source_id"), F.lit("<p>").alias("html"), F.lit("Monday 7:30 pm at the hall").alias("text"))
+    probes = c.filter("c_custkey % 4 < 2").select(sid.alias("source_id"), F.lit("see client_interface/json").alias("html"), F.lit("x").alias("text"), _none().alias("error"))
+    return review.inspected(sources, captures, probes).select("c_custkey", "bucket")

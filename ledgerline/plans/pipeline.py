@@ -41,6 +41,15 @@ def ingest(candidates: DataFrame, source_country=None, source_region=None) -> tu
     return kept.drop("decision"), flags
 
 
+def ingest_direct(candidates: DataFrame, confidence: float = 0.95) -> tuple[DataFrame, DataFrame]:
+    """ingest() for records that a feed gave directly: trusted as far as they say themselves, else `confidence`, and kept however
+    little that is."""
+    own = F.col("confidence") if "confidence" in candidates.columns else F.lit(None).cast("double")
+    kept, flags = ingest(candidates.drop("confidence"))
+    keys = ["source_id", "source_record_id"]
+    return kept.join(candidates.select(*keys, F.coalesce(own, F.lit(confidence)).alias("confidence")), keys), flags
+
+
 def persist(store: Store, run: str, seen_at: str, candidates: DataFrame, flags: DataFrame, sources: DataFrame, failed: bool = False) -> dict:
     """One run as one new version of every table: upsert, missing runs, drop flags, run log. A failed run only writes the log."""
     spark = store.spark
