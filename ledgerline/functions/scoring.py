@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, functions as F
 
 from .schedule import TIME
+from .text import once
 from .urls import part
 
 LOW, VERY_LOW = 0.75, 0.45
@@ -87,28 +88,27 @@ def _link_texts(url: Column, text: Column) -> tuple[Column, Column]:
     return F.concat_ws(" ", F.lower(part(url, 3)), F.lower(part(url, 4)), low), low
 
 
+def _some(words: tuple[str, ...], test) -> Column:
+    """Does any of the words pass?"""
+    return F.exists(F.array(*map(F.lit, words)), test)
+
+
 def strong_link(url: Column, text: Column) -> Column:
-    """Does a link name a public directory of meetings outright?"""
+    """Does a link name a public directory of meetings outright? Its parts are computed once, not for each word."""
     short, query, low = F.lower(F.regexp_replace(part(url, 3), "/+$", "")), F.lower(part(url, 4)), _link_texts(url, text)[1]
-    strong = F.lit(False)
-    for s in STRONG_SUFFIXES:
-        strong = strong | short.endswith(s)
-    for s in STRONG_QUERIES:
-        strong = strong | query.contains(s)
-    for s in STRONG_TEXTS:
-        strong = strong | low.contains(s)
-    return strong
+    by_path = once(short, lambda x: _some(STRONG_SUFFIXES, lambda s: x.endswith(s)))
+    by_query = once(query, lambda x: _some(STRONG_QUERIES, lambda s: x.contains(s)))
+    return by_path | by_query | once(low, lambda x: _some(STRONG_TEXTS, lambda s: x.contains(s)))
 
 
 def negative_link(url: Column, text: Column) -> Column:
-    value = _link_texts(url, text)[0]
-    return F.exists(F.array(*map(F.lit, NEGATIVE_TERMS)), lambda t: value.contains(t))
+    return once(_link_texts(url, text)[0], lambda x: _some(NEGATIVE_TERMS, lambda t: x.contains(t)))
 
 
 def link_points(url: Column, text: Column) -> Column:
     """Hundredths of a link; may be below 0 or above 100."""
-    value, _ = _link_texts(url, text)
-    return _points(strong_link(url, text), 45) + _terms(value, URL_TERMS, 25) + _terms(value, TEXT_TERMS, 18) - _terms(value, NEGATIVE_TERMS, 35)
+    terms = once(_link_texts(url, text)[0], lambda x: _terms(x, URL_TERMS, 25) + _terms(x, TEXT_TERMS, 18) - _terms(x, NEGATIVE_TERMS, 35))
+    return _points(strong_link(url, text), 45) + terms
 
 
 def link_score(url: Column, text: Column) -> Column:
@@ -119,4 +119,5 @@ def page_score(url: Column, heading: Column, text: Column, has_form: Column, has
     """The link score of title and headings, and signs in the body."""
     base = F.greatest(F.lit(0), F.least(F.lit(100), link_points(url, heading)))
     low = F.lower(text)
-    return clamped(base + _points(low.rlike(DAY) & low.rlike(TIME), 26) + _points(has_form, 24) + _points(has_table, 24) + _terms(low, TEXT_TERMS, 6) - _terms(low, NEGATIVE_TERMS, 4))
+    words = once(low, lambda x: _terms(x, TEXT_TERMS, 6) - _terms(x, NEGATIVE_TERMS, 4))
+    return clamped(base + _points(low.rlike(DAY) & low.rlike(TIME), 26) + _points(has_form, 24) + _points(has_table, 24) + words)
