@@ -72,6 +72,24 @@ def op7_kneser_ney_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, lm.train(docs))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import vector_codes
+
+    return vector_codes.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import whitening
+
+    return whitening.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import topk_search
+
+    return topk_search.digest(table(spark, sf_dir, "embeddings"))
+
+
 # ---- companions: the base columns of the queries above, which SQL can express
 
 
@@ -112,6 +130,35 @@ def base_quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
+def base_whitening_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the fit list and exact deviation of every row, and how far the components are from what whitening means."""
+    from pyspark.sql import functions as F
+
+    w = op12_embedding_whitening(spark, sf_dir)
+    return w.select("vec_id", "component", "n", "deviation", (F.col("identity_error") <= 1e-4).alias("white"))
+
+
+_COUNTS = "embedding IS NOT NULL AND NOT coalesce(list_bool_or(list_transform(embedding, lambda c: c IS NULL OR NOT isfinite(c))), false)"
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds one after another: book<r> holds every part's entries, near<r> each part's nearest one."""
+    near = """near{r} AS MATERIALIZED (SELECT vec_id, p, min(d * 256 + e) % 256 AS e, min(d * 256 + e) // 256 AS d
+FROM (SELECT x.vec_id, x.p, b.e, list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM x JOIN book{r} b USING (p)) GROUP BY 1, 2)"""
+    book = """book{n} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{r} b LEFT JOIN (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+SELECT x.p, near{r}.e, u.i, sum(x.v[u.i])::BIGINT AS s, count(*) AS n FROM x JOIN near{r} USING (vec_id, p), (SELECT unnest(range(1, (SELECT max(len(v)) FROM x) + 1)) AS i) u GROUP BY 1, 2, 3) GROUP BY 1, 2) m USING (p, e))"""
+    steps = ",\n".join(near.format(r=r) + ",\n" + book.format(r=r, n=r + 1) for r in range(rounds))
+    return f"""WITH k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda c: floor(4096 * c::DOUBLE)::BIGINT) AS x FROM embeddings WHERE {_COUNTS}),
+x AS MATERIALIZED (SELECT vec_id, p, x[p * len(x) // {parts} + 1:(p + 1) * len(x) // {parts}] AS v FROM k, (SELECT unnest(range({parts})) AS p)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k),
+book0 AS MATERIALIZED (SELECT x.p, f.e, x.v FROM x JOIN f USING (vec_id) WHERE f.e < {entries}),
+{steps},
+{near.format(r=rounds)},
+c AS (SELECT k.vec_id, k.label, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near{rounds} JOIN k USING (vec_id) GROUP BY 1, 2),
+s AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS h FROM book{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, s.h AS codebooks_sha256 FROM c, s"""
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _CRC_TABLE = "list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
 _CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
@@ -119,6 +166,14 @@ _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijk
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
 _LUHN = f"list_sum(list_transform(range(length({_DIGITS})), lambda i: CASE WHEN i % 2 = 0 THEN {_DIGITS}[length({_DIGITS}) - i]::INTEGER WHEN {_DIGITS}[length({_DIGITS}) - i]::INTEGER > 4 THEN {_DIGITS}[length({_DIGITS}) - i]::INTEGER * 2 - 9 ELSE {_DIGITS}[length({_DIGITS}) - i]::INTEGER * 2 END)) % 10 = 0"
 _SQL = {
+    "op11_vector_codes": _codes_sql(),
+    "op13_exact_top_k": f"""WITH k AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)) AS x FROM embeddings WHERE vec_id IS NOT NULL AND {_COUNTS}),
+s AS (SELECT q.vec_id AS query_id, k.vec_id, list_inner_product(q.x, k.x)::BIGINT AS score FROM k q JOIN k ON q.vec_id % 100 = 0 AND k.vec_id <> q.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10""",
+    "base_whitening_deviations": f"""WITH k AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x FROM embeddings WHERE {_COUNTS}),
+f AS MATERIALIZED (SELECT DISTINCT x FROM k), n AS (SELECT count(*) AS n, max(len(x)) AS d FROM f),
+s AS (SELECT list(s ORDER BY i) AS s FROM (SELECT u.i, sum(x[u.i])::BIGINT AS s FROM f, (SELECT unnest(range(1, d + 1)) AS i FROM n) u GROUP BY 1))
+SELECT vec_id, c::INTEGER AS component, n, list_sum(list_transform(list_zip(x, s), lambda z: (n * z[1] - z[2]) * (n * z[1] - z[2])))::BIGINT AS deviation, true AS white FROM k, n, s, (SELECT unnest(range(1, 5)) AS c)""",
     "base_pii_counts": rf"""SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'))::BIGINT AS n_email,
 len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), lambda m: list_max(list_transform(string_split(m, '.'), lambda p: p::DOUBLE)) <= 255))::BIGINT AS n_ip,
 len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9]([\x20-]?[0-9])+'), lambda m: length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}))::BIGINT AS n_card,
