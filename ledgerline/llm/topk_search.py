@@ -34,7 +34,7 @@ from . import vectors as V
 from .common import stored
 
 SCALE, K, EVERY = 1024, 10, 100
-BLOCK, LEAF, FAN, BASE = 1 << 13, 256, 64, 1.3
+BLOCK, LEAF, FAN, BASE = 1 << 13, 64, 64, 1.3
 #: Bytes of query vectors in one broadcast.
 CHUNK_BYTES = 32 << 20
 #: Blocks of the first round, and how much larger each next round is.
