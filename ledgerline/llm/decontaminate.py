@@ -13,8 +13,13 @@ diagonal bands of H + e + 1 that overlap by e + 1, so some band holds all of the
 within the length of a segment, alignment inside that band, with free ends in the text, gives the edit distance.
 No step drops a possible match: the lemma's count is a lower bound, and the alignment covers the whole band.
 
-The items are a stated set met by every document. They are broadcast in blocks of at most ``BLOCK_BYTES`` of text,
-so memory is bounded however many items there are. Documents are never shuffled.
+The items are a stated set met by every document. Equal segments, such as those of a template that many items share, are indexed once
+with a list of their items. Items are broadcast in blocks whose index takes at most about ``INDEX_BYTES``, so memory is bounded
+however many there are (one item stays whole). Documents are never shuffled.
+
+A text that repeats itself is searched once: of q-gram starts with the same ``CONTEXT`` bytes before and behind, only the first in a row
+is looked up. That loses nothing: those bytes hold every substring that a segment could match there, so the first
+occurrence of such a substring keeps all its hits. Hits are expanded ``HITS`` at a time, in slices that overlap by more than a match.
 
 Edge cases: null and empty texts and items match nothing, nor do items under Q normalised bytes; rows with equal or
 null doc_id are searched one by one; ties of item ids are items of their own; a very long text is one chunk and is searched
@@ -34,7 +39,10 @@ from . import arrays as A
 from .common import map_whole
 
 Q, SEGMENT, STRIDE, H = 12, 52, 13, 16
-BLOCK_BYTES = 8 << 20
+#: Bytes of a block's index, what it takes for each byte of items (measured; a test holds it), and hits that are held at once.
+INDEX_BYTES, INDEX_PER_BYTE, HITS = 64 << 20, 40, 1 << 20
+#: More than a segment with its edits and a q-gram.
+CONTEXT = 96
 FOLD = np.array([b if b >= 128 or chr(b).isalnum() else 32 for b in A.LOWER.tolist()], np.uint8)
 OUT = "doc_id long, item_id long, n_segments long, edits long, first_char long"
 
@@ -83,36 +91,45 @@ class Segments:
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
         self.items: list[int | None] = []
-        owner, texts = [], []
+        owner, first, size, whole, at = [], [], [], [], 0
         for item, text in items:
             t = normal(text or "")
             if len(t) < Q:
                 continue
             last = max(0, len(t) - SEGMENT)
-            for s in sorted({*range(0, last, STRIDE), last}):
-                owner.append(len(self.items))
-                texts.append(t[s : s + SEGMENT])
+            starts = np.unique(np.append(np.arange(0, last, STRIDE), last))
+            owner.append(np.full(len(starts), len(self.items)))
+            first.append(starts + at)
+            size.append(np.full(len(starts), min(len(t), SEGMENT)))
+            whole.append(t)
+            at += len(t)
             self.items.append(item)
-        self.owner = np.array(owner, np.int64)
-        self.size = np.array([len(t) for t in texts], np.int64)
+        join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+        owner, first, size, self.text = join(owner), join(first), join(size), np.frombuffer(b"".join(whole), np.uint8)
+        # equal segments are one, with all their items
+        key = A.mix(A.span_hash(A.prefix_hash(self.text), first, first + size) + size.astype(np.uint64))
+        _, one, back = np.unique(key, return_index=True, return_inverse=True)
+        order = np.argsort(back, kind="stable")
+        self.owners, self.owner0 = owner[order].astype(np.int32), np.searchsorted(back[order], np.arange(len(one) + 1))
+        self.begin, self.size = first[one], size[one]
         self.edits = (self.size - Q) // Q
         self.need = self.size - Q + 1 - Q * self.edits
-        self.text = np.zeros((len(texts), SEGMENT), np.uint8)
-        for i, t in enumerate(texts):
-            self.text[i, : len(t)] = np.frombuffer(t, np.uint8)
-        codes = [grams(np.frombuffer(t, np.uint8)) for t in texts]
-        code = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
-        seg = np.repeat(np.arange(len(texts)), [len(x) for x in codes])
-        pos = np.concatenate([np.arange(len(x)) for x in codes]) if codes else np.zeros(0, np.int64)
+        n = self.size - Q + 1
+        seg = np.repeat(np.arange(len(one), dtype=np.int32), n)
+        pos = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
+        code = grams(self.text)[self.begin[seg] + pos] if len(seg) else np.zeros(0, np.uint64)
         order = np.argsort(code, kind="stable")
-        self.code, first = np.unique(code[order], return_index=True)
-        self.first = np.append(first, len(code))
-        self.seg, self.pos = seg[order], pos[order]
-        bits = max(16, min(26, int(64 * max(1, len(self.code))).bit_length()))
+        self.code, entry0 = np.unique(code[order], return_index=True)
+        self.first = np.append(entry0, len(code)).astype(np.int32)
+        self.seg, self.pos = seg[order], pos[order].astype(np.uint8)
+        bits = max(16, int(4 * max(1, len(self.code))).bit_length())
         self.shift = np.uint64(64 - bits)
         self.seen = np.zeros(1 << bits, bool)
         self.seen[self._slot(self.code)] = True
 
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in vars(self).values() if isinstance(x, np.ndarray))
+
     def _slot(self, code: np.ndarray) -> np.ndarray:
         return (code * np.uint64(0xD6E8FEB86659FD93)) >> self.shift
 
@@ -134,13 +151,41 @@ class Segments:
         count = np.bincount(row, minlength=c.rows)
         ok = count[row] >= (self.need.min() if len(self.need) else 1)
         p, slot, row = p[ok], slot[ok], row[ok]
-        many = self.first[slot + 1] - self.first[slot]
-        if not len(many):
+        # of starts in the same surroundings the first one of the row
+        lo, hi = np.maximum(p - CONTEXT, row0[row]), np.minimum(p + CONTEXT, row0[row + 1])
+        around = A.span_hash(A.prefix_hash(d), lo, hi) + A.mix((p - lo).astype(np.uint64) * np.uint64(2 * CONTEXT) + (hi - p).astype(np.uint64))
+        _, once = np.unique(A.mix(around) ^ A.mix(row.astype(np.uint64), 1), return_index=True)
+        once.sort()
+        p, slot, row = p[once], slot[once], row[once]
+        if not len(p):
             return none
+        many = (self.first[slot + 1] - self.first[slot]).astype(np.int64)
+        total = np.append(0, np.cumsum(many))
+        found, i = [], 0
+        while i < len(p):  # slices of HITS hits, each at least twice as wide as what it shares with the next one
+            j = max(int(np.searchsorted(total, total[i] + HITS, "right")) - 1, int(np.searchsorted(p, p[i] + 2 * CONTEXT)), i + 1)
+            found.append(self._slice(d, at, row0, c.rows, p[i:j], slot[i:j], row[i:j], many[i:j]))
+            if j >= len(p):
+                break
+            i = max(i + 1, int(np.searchsorted(p, p[j] - CONTEXT)))
+        row, seg, dist, start = (np.concatenate(x) for x in zip(*found))
+        return self._least(row, seg, dist, start)
+
+    @staticmethod
+    def _least(row: np.ndarray, seg: np.ndarray, dist: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The least edits of each row and segment, and the first place with these."""
+        order = np.lexsort((start, dist, seg, row))
+        row, seg, dist, start = row[order], seg[order], dist[order], start[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (seg[1:] != seg[:-1])
+        return row[new], seg[new], dist[new], start[new]
+
+    def _slice(self, d: np.ndarray, at: np.ndarray, row0: np.ndarray, rows: int, p: np.ndarray, slot: np.ndarray, row: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, ...]:
+        none = (np.zeros(0, np.int64),) * 4
         entry = np.repeat(self.first[slot] - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(many.sum())
-        seg, pos, p, row = self.seg[entry], self.pos[entry], np.repeat(p, many), np.repeat(row, many)
+        seg, pos, p, row = self.seg[entry].astype(np.int64), self.pos[entry].astype(np.int64), np.repeat(p, many), np.repeat(row, many)
         # a first count for each row and segment, over all diagonals
-        pair = row * len(self.owner) + seg
+        pair = row * len(self.size) + seg
         _, back, n = np.unique(pair, return_inverse=True, return_counts=True)
         ok = n[back] >= self.need[seg]
         seg, pos, p, row, pair = seg[ok], pos[ok], p[ok], row[ok], pair[ok]
@@ -167,11 +212,7 @@ class Segments:
         ok = dist <= self.edits[seg]
         row, seg, dist, band = row[ok], seg[ok], dist[ok], band[ok]
         start = at[np.clip(row0[row] + band * H - SEGMENT, row0[row], np.maximum(row0[row + 1] - 1, row0[row]))]
-        order = np.lexsort((start, dist, seg, row))
-        row, seg, dist, start = row[order], seg[order], dist[order], start[order]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (seg[1:] != seg[:-1])
-        return row[new], seg[new], dist[new], start[new]
+        return self._least(row, seg, dist, start)
 
     def align(self, d: np.ndarray, row0: np.ndarray, row: np.ndarray, seg: np.ndarray, band: np.ndarray) -> np.ndarray:
         """Edit distance of each segment to the best substring on the diagonals of its band; all candidates step together."""
@@ -186,7 +227,7 @@ class Segments:
         for i in range(1, int(size.max()) + 1):
             place = lo[:, None] + (i - 1) + k
             inside = (place >= row0[row][:, None]) & (place < end[:, None])
-            same = inside & (d[np.clip(place, 0, len(d) - 1)] == self.text[seg, i - 1][:, None])
+            same = inside & (d[np.clip(place, 0, len(d) - 1)] == self.text[np.minimum(self.begin[seg] + i - 1, len(self.text) - 1)][:, None])
             nxt = v + ~same
             nxt[:, :-1] = np.minimum(nxt[:, :-1], v[:, 1:] + 1)
             v = (np.minimum.accumulate(nxt - k, axis=1) + k).astype(np.int32)
@@ -196,10 +237,10 @@ class Segments:
 
 
 def blocks(bench: DataFrame) -> Iterator[list[tuple[int | None, str | None]]]:
-    """The items, at most about BLOCK_BYTES of text at a time."""
+    """The items, as many at a time as INDEX_BYTES allow."""
     items = bench.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // BLOCK_BYTES)
+    n = -(-total * INDEX_PER_BYTE // INDEX_BYTES)
     for b in range(n):
         part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b)
         yield sorted(((r.item_id, r.text) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
@@ -223,8 +264,11 @@ def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
                         continue
                     char = A.codepoints(c.data)
                     char = char[start] - char[c.off[row]]
-                    order = np.lexsort((char, s.owner[seg], row))
-                    row, item, dist, char = row[order], s.owner[seg[order]], dist[order], char[order]
+                    many = s.owner0[seg + 1] - s.owner0[seg]
+                    item = s.owners[np.repeat(s.owner0[seg] - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(many.sum())]
+                    row, dist, char = np.repeat(row, many), np.repeat(dist, many), np.repeat(char, many)
+                    order = np.lexsort((char, item, row))
+                    row, item, dist, char = row[order], item[order], dist[order], char[order]
                     first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (item[1:] != item[:-1])))
                     n = np.diff(np.append(first, len(row)))
                     cols = [ids.take(pa.array(c.first + row[first])), pa.array([s.items[k] for k in item[first]], pa.int64()), pa.array(n), pa.array(np.minimum.reduceat(dist, first).astype(np.int64)), pa.array(char[first].astype(np.int64))]
