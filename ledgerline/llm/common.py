@@ -41,9 +41,16 @@ def own_columns(df: DataFrame, *but: str) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in but]
 
 
+def in_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """mapInArrow that workers can run wherever they were started: the package is sent before the call takes its list of files."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_whole(df: DataFrame, run, schema: StructType) -> DataFrame:
     """mapInArrow over all columns of df, whatever their names (dots break it there): `run` goes by position and keeps the
     names of its batches, and the result has `schema`."""
+    ship(df.sparkSession)
     plain = StructType([StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(schema)])
     return df.toDF(*(f"c{i}" for i in range(len(df.columns)))).mapInArrow(run, plain).toDF(*schema.names)
 
@@ -102,18 +109,20 @@ def row_uid(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
 
-def bounded_ids(rows: DataFrame, label: str, per_label: int, max_labels: int = 1000) -> list:
-    """doc_ids of at most `per_label` rows for each label, chosen by hash, so the choice is the same at every layout.
+def bounded_sample(rows: DataFrame, label: str, text: str, per_label: int, max_labels: int = 1000) -> DataFrame:
+    """The rows of a bounded sample: some `per_label` different texts for each value of `label`, at least one, each once, with the least
+    of its other values. Chosen by a hash of the text, so the choice is the same at every layout, and no class is lost whatever ids
+    its rows have.
 
-    One pre-aggregated count for each label, then a hash threshold: no group meets in one task. More than
-    `max_labels` labels is an error, not a silent cut."""
-    counts = rows.groupBy(label).count().limit(max_labels + 1).collect()
+    One pre-aggregated count of rows for each label, a hash threshold and one minimum: no group meets in one task. The list of labels is
+    a broadcast of at most `max_labels` rows; more labels are an error, not a silent cut."""
+    u = unit_hash(F.col(text))
+    counts = rows.groupBy(label).agg(F.count("*").alias("n"), F.min(u).alias("least")).limit(max_labels + 1).collect()
     if len(counts) > max_labels:
         raise ValueError(f"more than {max_labels} values of {label}")
-    if not counts:
-        return []
-    u = unit_hash(F.col("doc_id"))
-    pick = F.lit(False)
-    for r in counts:
-        pick = pick | ((F.col(label) == F.lit(r[0])) & (u < F.lit(min(1.0, per_label / r["count"]))))
-    return [r[0] for r in rows.filter(F.col("doc_id").isNotNull() & pick).select("doc_id").distinct().limit(2 * per_label * len(counts)).collect()]
+    names = [c for c in rows.columns if c not in (label, text)]
+    lines = rows.schema[label].dataType.simpleString()
+    limits = rows.sparkSession.createDataFrame([(r[0], max(min(1.0, per_label / r[1]), r[2])) for r in counts], f"`{label}` {lines}, sample_limit double")
+    picked = rows.join(F.broadcast(limits), label).filter(u <= F.col("sample_limit"))
+    once = picked.groupBy(label, text).agg(*(F.min(c).alias(c) for c in names)) if names else picked.select(label, text).distinct()
+    return once.select(*rows.columns)

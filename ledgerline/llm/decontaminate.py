@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import arrays as A
-from .common import map_whole
+from .common import in_batches, map_whole
 
 Q, SEGMENT, STRIDE, H = 12, 52, 13, 16
 #: Bytes of a block's index, what it takes for each byte of items (measured; a test holds it), and hits that are held at once.
@@ -274,7 +274,7 @@ def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
                     cols = [ids.take(pa.array(c.first + row[first])), pa.array([s.items[k] for k in item[first]], pa.int64()), pa.array(n), pa.array(np.minimum.reduceat(dist, first).astype(np.int64)), pa.array(char[first].astype(np.int64))]
                     yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in OUT.split(", ")])
 
-        found = rows.mapInArrow(run, OUT)
+        found = in_batches(rows, run, OUT)
         out = found if not i else out.unionByName(found)
     return out
 

@@ -6,8 +6,8 @@ sizes. Nystrom landmarks (``landmarks`` rows of each language) stand for the ker
 ridge regression there is kernel ridge regression. A batch is scored by one matrix product of its presence bits
 with those of the landmarks and one with the class weights.
 
-Landmarks and training rows are a bounded sample chosen by hash: ``per_lang`` rows of each language, from rows that
-are not held out and have a language. Texts of that sample never leave the executors: only their bits do.
+Landmarks and training rows are a bounded sample chosen by a hash of the text: some ``per_lang`` texts of each language and at least one,
+from rows that are not held out and have a language. Texts of that sample never leave the executors: only their bits do.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; so is every text if there is nothing to
 learn from. A null doc_id counts as the empty text for the held-out rule. Rows are judged one by one, so repeated
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import arrays as A
-from .common import bounded_ids
+from .common import bounded_sample, in_batches
 
 N, BITS = 3, 14
 DIMS = 1 << BITS
@@ -111,9 +111,7 @@ class Model:
 def train(docs: DataFrame, per_lang: int = 300) -> Model | None:
     """From text and lang of rows that are not held out."""
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter("lang is not null and text is not null").filter(~held_out(F.col("doc_id")))
-    ids = bounded_ids(known.select("doc_id", "lang"), "lang", per_lang)
-    if not ids:
-        return None
+    sample = bounded_sample(known.withColumn("doc_id", F.col("doc_id").cast("long")), "lang", "text", per_lang).select("doc_id", "lang", "text")
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -121,9 +119,10 @@ def train(docs: DataFrame, per_lang: int = 300) -> Model | None:
                 x = np.packbits(presence(c), axis=1)
                 yield pa.RecordBatch.from_arrays([b.column(i).slice(c.first, c.rows) for i in (0, 1)] + [pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "lang", "bits"])
 
-    sample = known.filter(F.col("doc_id").isin(ids)).groupBy(F.col("doc_id").cast("long").alias("doc_id"), "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    rows = sample.mapInArrow(bits, "doc_id long, lang string, bits binary").collect()
-    rows.sort(key=lambda r: (r.lang, r.doc_id, bytes(r.bits)))
+    rows = in_batches(sample, bits, "doc_id long, lang string, bits binary").collect()
+    if not rows:
+        return None
+    rows.sort(key=lambda r: (r.lang, r.doc_id is None, r.doc_id or 0, bytes(r.bits)))
     x = np.unpackbits(np.frombuffer(b"".join(bytes(r.bits) for r in rows), np.uint8).reshape(len(rows), -1), axis=1)[:, :DIMS]
     return Model.fit(x.astype(bool), [r.lang for r in rows])
 
@@ -142,4 +141,4 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(b.column(i).slice(c.first, c.rows) for i in (0, 1)), pa.array(names.tolist(), pa.string()), pa.array(np.where(ok, score, 0).astype(float))], names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return in_batches(rows, run, "doc_id long, held_out boolean, lang_pred string, score double")

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import arrays as A
-from .common import shared_dir, stored
+from .common import in_batches, shared_dir, stored
 
 BEGIN, END, UNSEEN, FIRST = 0, 1, 2, 3
 PART_BYTES = 32 << 20
@@ -351,7 +351,7 @@ def train(docs: DataFrame) -> Model:
         put(f"{base}/words-{key[0]}", [keys, counts])
         return pd.DataFrame({"part": [int(key[0])], "types": [len(keys)], "tokens": [int(counts.sum())]})
 
-    got = stored(rows.mapInArrow(count_words, PACKED).groupBy("part").applyInPandas(write_words, "part int, types long, tokens long")).collect()
+    got = stored(in_batches(rows, count_words, PACKED).groupBy("part").applyInPandas(write_words, "part int, types long, tokens long")).collect()
     types = [0] * parts
     for r in got:
         types[r.part] = r.types
@@ -390,7 +390,7 @@ def train(docs: DataFrame) -> Model:
         extra = pd.DataFrame({"part": [-2], "n": [0], "keys": [b""], "vals": [[]], "tell": [tell]})
         return pd.concat([frame, extra], ignore_index=True)[["part", "n", "keys", "vals", "tell"]]
 
-    told = stored(rows.mapInArrow(count_pairs, PACKED).groupBy("part").applyInPandas(write_pairs, PACKED + ", tell array<long>"))
+    told = stored(in_batches(rows, count_pairs, PACKED).groupBy("part").applyInPandas(write_pairs, PACKED + ", tell array<long>"))
 
     def write_stats(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
         part = int(key[0])
@@ -428,4 +428,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 cols = [*(b.column(i).slice(c.first, rows) for i in (0, 1)), pa.array(n.astype(np.int64)), pa.array(known), pa.array(np.full(rows, model.tokens, np.int64)), pa.array(base), pa.array(logs), pa.array(10.0 ** np.minimum(-logs / n, 300))]
                 yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in OUT.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(run, OUT)
+    return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text"), run, OUT)

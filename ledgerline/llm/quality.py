@@ -5,7 +5,7 @@ give the base verdict. A conditional random field over the lines of a text, deco
 content or boilerplate; a text is kept if the share of its words in content lines reaches ``min_share``.
 
 The field is trained here by gradient ascent on its exact conditional likelihood, from a bounded sample of rows
-of `labels` (``per_class`` documents of each quality value, ``max_lines`` lines of each). Lines of good documents
+of `labels` (some ``per_class`` documents of each quality value, all lines of each). Lines of good documents
 count as content, lines of bad ones as boilerplate; the field learns which line features and neighbours tell them apart.
 
 Edge cases: a null or empty text has no words and fails the base rule; without labelled rows of both classes the
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import arrays as A
-from .common import bounded_ids, map_whole
+from .common import bounded_sample, in_batches, map_whole
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -192,10 +192,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 400, piece: int =
     Long texts are cut into pieces of `piece` lines, each a sequence, so that the padded table of the fit stays small. Of rows
     with one doc_id the one with the least text hash is taken."""
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality in (0, 1)")
-    good = {q: set(bounded_ids(known.filter(F.col("quality") == q), "quality", per_class)) for q in (0, 1)}
+    chosen = bounded_sample(known.distinct(), "quality", "doc_id", per_class).collect()
+    good = {q: {r.doc_id for r in chosen if r.quality == q} for q in (0, 1)}
     if not good[0] or not good[1]:
         return None
-    wanted = sorted(good[0] | good[1])
+    wanted = F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in sorted(good[0] | good[1])], "doc_id long"))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -205,9 +206,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 400, piece: int =
                 rows = [(ids[c.first + i], s.x[s.lrow[i] : s.lrow[i + 1]].astype(np.int8)) for i in range(c.rows) if s.n_words[i]]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1].tobytes() for r in rows], pa.binary())], names=["doc_id", "x"])
 
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isin(wanted))
+    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
     sample = sample.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    got = sample.mapInArrow(lines, "doc_id long, x binary").collect()
+    got = in_batches(sample, lines, "doc_id long, x binary").collect()
     seqs = []
     for r in sorted(got, key=lambda r: (r[0], bytes(r[1]))):
         x = np.frombuffer(r[1], np.int8).reshape(-1, len(FEATURES)).astype(float)
@@ -228,7 +229,7 @@ def annotate(docs: DataFrame, field: LineField | None, min_share: float = 0.5) -
                 cols = [b.column(0).slice(c.first, c.rows), *(pa.array(v.astype(np.int64)) for v in (s.n_words, s.word_chars, s.n_symbols, s.n_dup, s.n_repeat)), pa.array(s.base_failed), pa.array(kept), pa.array(share)]
                 yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in DIGEST.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, DIGEST)
+    return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, DIGEST)
 
 
 def keep(docs: DataFrame, field: LineField | None, min_share: float = 0.5) -> DataFrame:

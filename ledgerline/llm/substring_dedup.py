@@ -31,7 +31,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from . import arrays as A
-from .common import map_whole, own_columns, row_uid, stored, unused
+from .common import in_batches, map_whole, own_columns, row_uid, stored, unused
 
 WINDOW, MIN_SENTENCES, MIN_WORDS = 8, 3, 20
 _P = 0xBF58476D1CE4E5B9
@@ -141,7 +141,7 @@ def runs(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(h[~later].view(np.int64)), b.column(0).take(where), b.column(1).take(where), pa.array(at[~later])], names=["hash", "doc_id", "uid", "at"])
 
     doc_id = F.col("doc_id").cast("long")
-    return docs.select(doc_id.alias("doc_id"), row_uid(doc_id, F.col("text")).alias("uid"), "text").mapInArrow(run, RUNS)
+    return in_batches(docs.select(doc_id.alias("doc_id"), row_uid(doc_id, F.col("text")).alias("uid"), "text"), run, RUNS)
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -180,7 +180,7 @@ def digest(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.rows), pa.array(np.diff(s.row0)), pa.array([t[1] for t in cut], pa.int64()), pa.array([t[2] for t in cut], pa.int64()), texts], names=["doc_id", "n_sentences", "n_removed", "removed_bytes", "text"])
 
     rows = _cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return rows.mapInArrow(run, "doc_id long, n_sentences long, n_removed long, removed_bytes long, text string")
+    return in_batches(rows, run, "doc_id long, n_sentences long, n_removed long, removed_bytes long, text string")
 
 
 def clean(docs: DataFrame) -> DataFrame:

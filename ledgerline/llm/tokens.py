@@ -145,4 +145,4 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 cols = np.diff(c.off), *row_tokens(c, shipped.value)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.rows), *(pa.array(x.astype(np.int64)) for x in cols)], names=["doc_id", "n_bytes", "n_words", "n_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, n_words long, n_tokens long")
+    return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_bytes long, n_words long, n_tokens long")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import vectors as V
-from .common import stored
+from .common import in_batches, stored
 
 SCALE, K, EVERY = 1024, 10, 100
 BLOCK, LEAF, FAN, BASE = 1 << 13, 64, 64, 1.3
@@ -193,7 +193,7 @@ def index(rows: DataFrame, size: int) -> DataFrame:
         if held:
             yield flush()
 
-    return V.mapped(rows, run, BLOCKS)
+    return in_batches(rows, run, BLOCKS)
 
 
 def _load(row: dict, size: int) -> tuple[CoverTree, np.ndarray]:
@@ -225,7 +225,7 @@ def _chunk(blocks: DataFrame, queries: CoverTree, ids: np.ndarray, k: int, size:
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in (best.q, best.score, best.id)], names=["q", "score", "id"])
 
         part = blocks.filter((F.col("turn") >= lo) & (F.col("turn") < hi)).drop("turn", "block")
-        got = V.mapped(part, run, TOP)
+        got = in_batches(part, run, TOP)
         got = (got if found is None else found.unionByName(got)).repartition("q").distinct()
         found = stored(got.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k).drop("rank"))
         lo, hi = hi, hi * ROUND

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import vectors as V
-from .common import HOT_ROWS, bounded, stored
+from .common import HOT_ROWS, bounded, in_batches, stored
 
 SCALE, PARTS, ENTRIES, ROUNDS = 4096, 8, 16, 6
 LIMIT = (1 << 27) - 1
@@ -151,7 +151,7 @@ def train(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", par
             yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int32)) for a in (k, e, i)] + [pa.array(total[k, e, i])], names=["part", "entry", "at", "v"])
 
         sums = np.zeros((*books.shape[:2], books.shape[2] + 1), object)
-        partials = V.mapped(only, add, "part int, entry int, at int, v long").withColumn("v", F.col("v").cast("decimal(28,0)"))
+        partials = in_batches(only, add, "part int, entry int, at int, v long").withColumn("v", F.col("v").cast("decimal(28,0)"))
         for r in V.summed(partials, "part", "entry", "at").collect():
             sums[r.part, r.entry, r["at"]] = int(r.v)
         n = sums[:, :, -1:]
@@ -179,7 +179,7 @@ def encode(df: DataFrame, books: np.ndarray, id_col: str = "vec_id", vec_col: st
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(code.tolist(), pa.string()), pa.array(d.sum(1))], names=[*b.schema.names[:-1], "code", "error"])
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "vec"]
-    return V.mapped(rows, run, ", ".join([*kept, "code string", "error long"]))
+    return in_batches(rows, run, ", ".join([*kept, "code string", "error long"]))
 
 
 def decode(coded: DataFrame, books: np.ndarray) -> DataFrame:

@@ -7,8 +7,6 @@ while they stay under 2**53; ``limit`` is what an operator's own sums allow, and
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -45,12 +43,6 @@ def matrix(vecs: pa.Array, scale: int, limit: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def mapped(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow that workers can run wherever they are."""
-    ship(rows.sparkSession)
-    return rows.mapInArrow(run, schema)
-
-
 #: Tasks' partial sums are first added within so many groups, then over them.
 SUM_GROUPS = 64
 

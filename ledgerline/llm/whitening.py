@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import vectors as V
-from .common import stored
+from .common import in_batches, stored
 
 SCALE, WANT, OVER, POWERS = 256, 4, 8, 2
 LIMIT = (1 << 31) - 1
@@ -74,7 +74,7 @@ def _sum_matrix(rows: DataFrame, shape: tuple[int, int], of) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], names=["at", "v"])
 
     out = np.zeros(shape[0] * shape[1])
-    for r in V.summed(V.mapped(rows.select("x"), run, "at long, v double"), "at").toLocalIterator():
+    for r in V.summed(in_batches(rows.select("x"), run, "at long, v double"), "at").toLocalIterator():
         out[r["at"]] = r.v
     return out.reshape(shape)
 
@@ -104,7 +104,7 @@ def fit(df: DataFrame, vec_col: str = "embedding", want: int = WANT, over: int =
             n += len(x)
         yield pa.RecordBatch.from_arrays([pa.array(range(size + 1), pa.int64()), pa.array([int(t) for t in (*total, n)], pa.int64())], names=["at", "v"])
 
-    exact = V.mapped(rows, sums, "at long, v long").withColumn("v", F.col("v").cast("decimal(28,0)"))
+    exact = in_batches(rows, sums, "at long, v long").withColumn("v", F.col("v").cast("decimal(28,0)"))
     total = {r["at"]: int(r.v) for r in V.summed(exact, "at").collect()}
     n, S = total[size], [total[i] for i in range(size)]
     mean = np.array([s / n for s in S])
@@ -181,7 +181,7 @@ def transform(df: DataFrame, model: Model, id_col: str = "vec_id", vec_col: str
                 pa.array(m.whiten(x).ravel()), pa.array(np.tile(explained, len(x))), dec.take(pa.array(each)),
             ], names=["vec_id", "component", "n", "deviation", "whitened", "explained", "deviation_exact"])
 
-    return V.mapped(V.usable(df, vec_col, id=F.col(id_col).cast("long")), run, OUT)
+    return in_batches(V.usable(df, vec_col, id=F.col(id_col).cast("long")), run, OUT)
 
 
 def digest(df: DataFrame) -> DataFrame:
