@@ -1,8 +1,7 @@
-"""Consolidation of duplicate listings: semantic keys, group merge, metrics, residual check, fuzzy pairs."""
+"""Consolidation of duplicate listings: semantic keys, group merge, metrics, residual check."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import address_key, join_present, key_text, nonblank, odd_capitals, once, place_field
@@ -139,69 +138,3 @@ def residual_rate(before: DataFrame, after: DataFrame) -> DataFrame:
 def examples(candidates: DataFrame, limit: int = 20) -> DataFrame:
     """The first groups that were merged, in order of appearance."""
     return consolidate(candidates).filter("n_members > 1").orderBy("pos").limit(limit).select("fellowship", "name", "member_ids", (F.col("n_members") - 1).alias("removed_count"))
-
-
-# ---- fuzzy pairs
-
-
-def _indel(a: list[str] | str, b: list[str] | str) -> float:
-    """Share of characters that a longest common subsequence keeps, in percent."""
-    if not a and not b:
-        return 100.0
-    bits, where = (1 << len(a)) - 1, {}
-    for i, ch in enumerate(a):
-        where[ch] = where.get(ch, 0) | 1 << i
-    s = bits
-    for ch in b:
-        u = s & where.get(ch, 0)
-        s = (s + u) | (s - u)
-    common = bin(~s & bits).count("1")
-    return 200.0 * common / (len(a) + len(b))
-
-
-def token_set_ratio(a: str, b: str) -> float:
-    """The best of three comparisons of two token sets: common tokens, and those with either side's rest."""
-    x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
-    both, left, right = sorted(x & y), sorted(x - y), sorted(y - x)
-    if both and (not left or not right):
-        return 100.0
-    base, one, two = " ".join(both), " ".join(both + left), " ".join(both + right)
-    best = _indel(one, two)
-    if both:
-        best = max(best, _indel(base, one), _indel(base, two))
-    return best
-
-
-def fuzzy_pairs(candidates: DataFrame, threshold: float = 92.0) -> DataFrame:
-    """Pairs of rows of different record ids whose places agree (city and country equal, or missing on a side) and whose texts score `threshold`.
-
-    The null-tolerant condition is split into disjoint equi-joins by which sides have a city and a country, so that no
-    pair outside a block is formed. Scores come from Arrow batches."""
-    c = lambda n: _col(candidates, n)
-    blank = lambda n: F.nullif(F.lower(F.coalesce(c(n), F.lit(""))), F.lit(""))
-    rows = candidates.select("pos", "source_record_id", blank("city").alias("city"), blank("country").alias("country"), key_text(join_present(c("name"), c("venue_name"), c("address_line1"), c("city"), c("online_url"))).alias("t"))
-    parts = []
-    for lc in (True, False):
-        for lk in (True, False):
-            for rc in (True, False):
-                for rk in (True, False):
-                    has = lambda col, yes: F.col(col).isNotNull() if yes else F.col(col).isNull()
-                    left = rows.filter(has("city", lc) & has("country", lk)).select(*(F.col(x).alias(f"l_{x}") for x in rows.columns))
-                    right = rows.filter(has("city", rc) & has("country", rk)).select(*(F.col(x).alias(f"r_{x}") for x in rows.columns))
-                    on = (F.col("l_pos") < F.col("r_pos")) & (F.col("l_source_record_id") != F.col("r_source_record_id"))
-                    if lc and rc:
-                        on = on & (F.col("l_city") == F.col("r_city"))
-                    if lk and rk:
-                        on = on & (F.col("l_country") == F.col("r_country"))
-                    parts.append(left.join(right, on))
-    pairs = parts[0]
-    for p in parts[1:]:
-        pairs = pairs.unionByName(p)
-
-    @F.pandas_udf("double")
-    def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([token_set_ratio(x, y) for x, y in zip(a, b, strict=True)])
-
-    return pairs.withColumn("score", score("l_t", "r_t")).filter(F.col("score") >= threshold).select(F.col("l_source_record_id").alias("left_id"), F.col("r_source_record_id").alias("right_id"), "score")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import lookups, schedule, scoring, text as X, urls
-from ..operators import consolidate as D, merge, ranking, relational as R, review
+from ..operators import consolidate as D, fuzzy, merge, ranking, relational as R, review
 from . import model as M
 from .model import table
 from .registry import QUERIES, SQL, Query, query
@@ -242,11 +242,31 @@ def first_wins_dedupe(spark: SparkSession, d: str) -> DataFrame:
     return ranking.first_wins(docs, ["k"], ["doc_id"]).select("doc_id", "source")
 
 
-@query()
+#: The token-set score of all pairs; a longest common subsequence row by row, for pairs that Levenshtein's distance doesn't rule out.
+_FUZZY = """WITH r AS MATERIALIZED (SELECT pos, city, country, list_sort(list_distinct(list_filter(string_split(concat_ws(' ', name, venue, coalesce(city, ''), coalesce(country, '')), ' '), lambda x: x <> ''))) AS t FROM ({parts})),
+p AS MATERIALIZED (SELECT a.pos AS a, b.pos AS b, array_to_string(list_sort(list_intersect(a.t, b.t)), ' ') AS s, array_to_string(list_filter(a.t, lambda x: NOT list_contains(b.t, x)), ' ') AS l, array_to_string(list_filter(b.t, lambda x: NOT list_contains(a.t, x)), ' ') AS r
+FROM r a JOIN r b ON a.pos < b.pos AND (a.city IS NULL OR b.city IS NULL OR lower(a.city) = lower(b.city)) AND (a.country IS NULL OR b.country IS NULL OR lower(a.country) = lower(b.country))),
+n AS MATERIALIZED (SELECT *, length(s) + (s <> '')::INT AS n, 2 * (length(s) + (s <> '')::INT) + length(l) + length(r) AS total FROM p),
+whole AS (SELECT a, b, 100.0::DOUBLE AS score FROM n WHERE s <> '' AND (l = '' OR r = '')),
+sub AS (SELECT a, b, greatest(100 - 100 * (1 + length(l))::DOUBLE / (length(s) + n + length(l)), 100 - 100 * (1 + length(r))::DOUBLE / (length(s) + n + length(r))) AS score FROM n WHERE s <> '' AND l <> '' AND r <> ''),
+near AS MATERIALIZED (SELECT *, string_split(l, '') AS x, string_split(r, '') AS y FROM n WHERE l <> '' AND r <> '' AND 100 - 100 * levenshtein(l, r)::DOUBLE / total >= {least}),
+lcs AS (WITH RECURSIVE step AS (SELECT a, b, 0 AS i, [0 FOR k IN range(length(r) + 1)] AS v FROM near
+UNION ALL SELECT step.a, step.b, i + 1, list_reduce(list_prepend([0], [[q] FOR q IN range(1, len(y) + 1)]), lambda done, q: list_append(done, CASE WHEN x[i + 1] = y[q[1]] THEN v[q[1]] + 1 ELSE greatest(v[q[1] + 1], done[len(done)]) END)) FROM step JOIN near USING (a, b) WHERE i < len(x))
+SELECT step.a, step.b, 100 - 100 * (length(l) + length(r) - 2 * v[len(v)])::DOUBLE / total AS score FROM step JOIN near USING (a, b) WHERE i = len(x))
+SELECT a::VARCHAR AS left_id, b::VARCHAR AS right_id, max(score) AS score FROM (SELECT * FROM whole UNION ALL SELECT * FROM sub UNION ALL SELECT * FROM lcs) WHERE score >= {least} GROUP BY 1, 2"""
+#: part as listings with words in common: a third has no city, another third no country.
+_FUZZY_PARTS = """SELECT p_partkey AS pos, p_name AS name, p_brand || ' hall ' || p_size AS venue, CASE WHEN p_partkey % 3 > 0 THEN p_type END AS city, CASE WHEN p_partkey % 3 < 2 THEN 'Country ' || (p_size % 5) END AS country FROM part"""
+
+
+@query(_FUZZY.replace("{parts}", _FUZZY_PARTS).replace("{least}", "85"))
 def fuzzy_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Parts of one brand whose texts agree in nearly all tokens."""
-    p = table(spark, d, "part").select(F.col("p_partkey").alias("pos"), F.col("p_partkey").cast("string").alias("source_record_id"), "p_name", F.col("p_brand").alias("city"), F.concat_ws("/", "p_type", F.col("p_size").cast("string")).alias("country"))
-    return D.fuzzy_pairs(p.withColumnRenamed("p_name", "name"), 92.0)
+    """Parts whose texts have nearly the same words, where their places agree as far as they are known."""
+    k = F.col("p_partkey")
+    p = table(spark, d, "part").select(
+        k.alias("pos"), k.cast("string").alias("source_record_id"), F.col("p_name").alias("name"), F.concat_ws(" hall ", "p_brand", F.col("p_size").cast("string")).alias("venue_name"),
+        F.when(k % 3 > 0, F.col("p_type")).alias("city"), F.when(k % 3 < 2, F.concat(F.lit("Country "), F.col("p_size") % 5)).alias("country"),
+    )
+    return fuzzy.fuzzy_pairs(p, 85.0)
 
 
 # ---- ranking and context

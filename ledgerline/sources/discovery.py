@@ -62,18 +62,21 @@ def classify_link(url: Column, world_host: str) -> Column:
     return F.when(urls.host(url).endswith(world_host), F.when(path.rlike("^/meetings?(/|$)"), "listing").otherwise("noise")).when(site.isin(*NOISE_HOSTS) | path.endswith(".pdf"), "noise").otherwise("external")
 
 
-def crawl(links: DataFrame, roots: DataFrame, max_depth: int = 2) -> DataFrame:
+def crawl(links: DataFrame, roots: DataFrame, max_depth: int | None = 2) -> DataFrame:
     """Pages reached from the roots over captured links (src, dst): (root, page, depth), each page at its least depth.
 
-    A frontier loop of max_depth joins; each step drops what was reached before (an anti-join), and every second frontier
-    is checkpointed, so that plans don't double with depth."""
+    A frontier loop, of max_depth joins or, with None, until nothing new is reached; each step drops what was reached before (an anti-join).
+    Every second frontier is checkpointed (with None every one, to see if it is empty), so that plans don't double with depth."""
     seen = roots.select(F.col("page").alias("root"), "page", F.lit(0).alias("depth"))
-    frontier = seen
-    for depth in range(1, max_depth + 1):
+    frontier, depth = seen, 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         step = frontier.join(links, frontier["page"] == links["src"]).select("root", F.col("dst").alias("page")).distinct()
         frontier = step.join(seen.select("root", "page"), ["root", "page"], "left_anti").withColumn("depth", F.lit(depth))
-        if depth % 2 == 0 and depth < max_depth:
+        if max_depth is None or depth % 2 == 0 and depth < max_depth:
             frontier = cut_lineage(frontier)
+            if frontier.isEmpty():
+                break
         seen = seen.unionByName(frontier)
     return seen
 

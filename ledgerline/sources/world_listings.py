@@ -113,8 +113,8 @@ def ca_candidates(links: DataFrame, base: Column, each_page: bool = False) -> Da
     return first_wins(out, ["fellowship", "normalized_url", *(["page_id"] if each_page else [])], ["page_id", "pos"])
 
 
-def ca_crawl(pages: DataFrame, links: DataFrame, start: str = CA_WORLD, rounds: int = 6) -> DataFrame:
-    """All sources reached from the start page over listings, level by level; each captured page (url, final_url) is read once.
+def ca_crawl(pages: DataFrame, links: DataFrame, start: str = CA_WORLD) -> DataFrame:
+    """All sources reached from the start page over listings, level by level until no new page is reached; each captured page (url, final_url) is read once.
     A listing that answered from another site is a source itself and isn't read.
 
     Every page is parsed once; only the ids of pages go through the levels."""
@@ -127,9 +127,9 @@ def ca_crawl(pages: DataFrame, links: DataFrame, start: str = CA_WORLD, rounds:
         F.lit("unknown").alias("adapter_type"), F.to_json(F.struct(F.col("at").alias("world_source"))).alias("metadata"), urls.normalize_url(F.col("final_url")).alias("normalized_url"),
     )
     listings = found.filter("source_type = 'world_service_listing'").select(F.col("page_id").alias("src"), F.col("normalized_url").alias("at"))
-    steps = listings.join(known.select("at", F.col("page_id").alias("dst")), "at").select("src", "dst").distinct()
+    steps = cut_lineage(listings.join(known.select("at", F.col("page_id").alias("dst")), "at").select("src", "dst").distinct())
     root = known.filter(F.col("at") == urls.normalize_url(F.lit(start))).select(F.col("page_id").alias("page"))
-    read = crawl(steps, root, rounds).groupBy(F.col("page").alias("page_id")).agg(F.min("depth").alias("depth"))
+    read = crawl(steps, root, None).groupBy(F.col("page").alias("page_id")).agg(F.min("depth").alias("depth"))
     return first_wins(found.unionByName(moved).join(read, "page_id"), ["fellowship", "normalized_url"], ["depth", "page_id", "pos"])
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions import schedule, text, urls
-from ledgerline.operators import consolidate, location, merge
+from ledgerline.operators import consolidate, fuzzy, location, merge
 from ledgerline.plans import pipeline
 from ledgerline.plans.store import Store
 from ledgerline.streaming import runs
@@ -40,7 +40,7 @@ def test_text_keys(spark):
 
 
 def test_token_set_ratio():
-    r = consolidate.token_set_ratio
+    r = fuzzy.token_set_ratio
     assert r("a b c", "c b a d") == 100 and r("", "a") == 0 and r("abc", "abd") == pytest.approx(200 * 2 / 6)
 
 
