@@ -302,3 +302,43 @@ def dispatched_answers(spark: SparkSession, d: str) -> DataFrame:
     out, refused = dispatch.candidates(answers, sources)
     rows = out.select("source_id", "name", F.get("occurrences", F.lit(0))["day_of_week"].alias("day"), F.lit(None).cast("string").alias("error"))
     return rows.unionByName(refused.select("source_id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("day"), "error"))
+
+
+@query("""WITH RECURSIVE p AS (SELECT count(*) AS n FROM pages), b AS (SELECT page_id AS u, CASE WHEN page_id % 10 = 9 THEN page_id - 1 ELSE page_id END AS f, length(html) % 3 AS r FROM pages),
+g AS MATERIALIZED (SELECT *, r > 0 AND u % 7 = 0 AS good, r = 0 AND u % 41 = 0 AS none, r > 0 AND u % 2 = 0 AS again FROM b),
+l AS MATERIALIZED (SELECT s, a, list(u ORDER BY o) AS us FROM (SELECT c_nationkey AS s, o_custkey % n AS a, o_orderkey % n AS u, min(o_orderkey) AS o FROM orders JOIN customer ON o_custkey = c_custkey, p GROUP BY 1, 2, 3) GROUP BY 1, 2),
+e AS (SELECT c_nationkey AS s, c_custkey AS o, c_custkey % n AS u, -1 AS d FROM customer, p WHERE c_custkey % 17 = 0 UNION ALL SELECT n_nationkey, 1000000000, n_nationkey % n, 0 FROM nation, p),
+step AS (SELECT s, list({'u': u, 'd': d} ORDER BY o) AS q, []::BIGINT[] AS seen, []::BIGINT[] AS ends, 0 AS number, NULL::BIGINT AS u, NULL::INTEGER AS d, false AS stop, false AS took FROM e GROUP BY s
+UNION ALL SELECT s, CASE WHEN take AND NOT halt AND leads AND d < 3 THEN list_concat(rest, list_transform(coalesce(us, []), lambda x: {'u': x, 'd': d + 1})) ELSE rest END, CASE WHEN take THEN list_append(seen, u) ELSE seen END, CASE WHEN take THEN list_append(ends, f) ELSE ends END,
+number + take::INTEGER, u, d, take AND halt, take FROM (SELECT *, CASE WHEN d < 0 AND again AND NOT waiting THEN true WHEN NOT leads THEN false WHEN d >= 0 AND none THEN true WHEN d >= 3 THEN good ELSE good AND NOT waiting END AS halt
+FROM (SELECT step.s, q[2:] AS rest, seen, ends, number, q[1].u AS u, q[1].d AS d, g.f, g.good, g.none, g.again, l.us, q[1].d >= 0 OR r > 0 AS leads, len(list_filter(q[2:], lambda x: x.d < 0)) > 0 AS waiting,
+g.u IS NOT NULL AND NOT list_contains(seen, q[1].u) AND NOT list_contains(ends, q[1].u) AND NOT list_contains(ends, g.f) AS take FROM step LEFT JOIN g ON g.u = q[1].u LEFT JOIN l ON l.s = step.s AND l.a = q[1].u WHERE len(q) > 0 AND number < 15 AND NOT stop)))
+SELECT s AS source_id, number, u AS url, d AS depth, stop FROM step WHERE took""")
+def crawl_budgets(spark: SparkSession, d: str) -> DataFrame:
+    """Nations crawl the pages over links that their customers' orders make: 15 pages each, depth 3, stop rules; some customers are pages
+    remembered from an earlier run."""
+    from ..operators.crawl_loop import crawl_sources
+
+    n = F.lit(table(spark, d, "pages").count())
+    k, r = F.col("page_id"), F.length("html") % 3
+    pages = table(spark, d, "pages").select(
+        k.alias("url"), F.when(k % 10 == 9, k - 1).otherwise(k).alias("final_url"), r.alias("rows"), ((r > 0) & (k % 7 == 0)).alias("good"), ((r == 0) & (k % 41 == 0)).alias("empty"), ((r > 0) & (k % 2 == 0)).alias("as_before"), F.lit(False).alias("not_found"),
+    )
+    c = table(spark, d, "customer").select(F.col("c_nationkey").cast("long").alias("source_id"), "c_custkey")
+    nations = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("source_id"))
+    links = table(spark, d, "orders").join(c, F.col("o_custkey") == F.col("c_custkey")).select("source_id", (F.col("o_custkey") % n).alias("page"), F.col("o_orderkey").alias("pos"), (F.col("o_orderkey") % n).alias("url"))
+    old = c.filter("c_custkey % 17 = 0").select("source_id", F.col("c_custkey").alias("pos"), (F.col("c_custkey") % n).alias("url"), F.lit(-1).alias("depth"))
+    entries = old.unionByName(nations.select("source_id", F.lit(1_000_000_000).cast("long").alias("pos"), (F.col("source_id") % n).alias("url"), F.lit(0).alias("depth")))
+    nothing = links.select("source_id", "pos", "url").limit(0)
+    return crawl_sources(nations.withColumn("world", F.lit(False)), entries, pages, links, nothing, nothing, max_pages=15, max_depth=3)
+
+
+@query("""SELECT 'https://ca.org/meetings/land-' || i || '/' AS url, i::INTEGER AS depth FROM (SELECT unnest(range(1, (SELECT count(*) FROM nation) + 1)) AS i)""")
+def ca_chain(spark: SparkSession, d: str) -> DataFrame:
+    """Listing pages in a chain, one nation after another: all are read, at whatever depth."""
+    n = table(spark, d, "nation").select((F.col("n_nationkey") + 1).cast("long").alias("n"))
+    url = lambda i: F.concat(F.lit("https://ca.org/meetings/land-"), i, F.lit("/"))
+    start = spark.range(1).select(F.lit(0).cast("long").alias("page_id"), F.lit(W.CA_WORLD).alias("url"), F.lit(W.CA_WORLD).alias("final_url"))
+    pages = n.select(F.col("n").alias("page_id"), url(F.col("n")).alias("url"), url(F.col("n")).alias("final_url")).unionByName(start)
+    links = n.select((F.col("n") - 1).alias("page_id"), F.lit(0).alias("pos"), url(F.col("n")).alias("href"), F.concat(F.lit("Land "), "n").alias("text"))
+    return W.ca_crawl(pages, links).select("url", (F.col("depth") + 1).cast("int").alias("depth"))
