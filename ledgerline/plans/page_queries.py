@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import schedule, urls
-from ..operators import crawl as C
+from ..operators import crawl as C, forms
 from ..operators.ranking import first_wins
 from ..sources import discovery, extract
 from .model import pick, table
@@ -445,3 +445,41 @@ def page_scores(spark: SparkSession, d: str) -> DataFrame:
     parts = extract.page_parts(table(spark, d, "customer").select(_k().alias("page_id"), html.alias("html"), F.lit("https://x.org/p").alias("url")), "url")
     score = scoring.page_score(F.col("url"), F.concat_ws(" ", "title", "headings"), F.col("text"), F.col("has_form"), F.col("has_table"))
     return parts.select(F.col("page_id").alias("c_custkey"), score.alias("score"))
+
+
+# ---- forms
+
+
+_FORM_IDS = ("meeting-finder", "x", "group-list", "contact", "q")
+_FIELDS = ("q", "city", "s", "zip", "foo", "keyword", "email")
+_SENDS = ("Search", "Go", "Find it")
+_SELECTS = ("day", "z", "types")
+
+
+def _with_forms(spark: SparkSession, d: str) -> DataFrame:
+    """The driver's pages, each with two forms and a folded section below its own text."""
+    k = F.col("page_id")
+    folded = F.when(k % 3 == 0, '<div role="button" aria-expanded="false" id="d1"><div>More</div></div>').otherwise("")
+    kind = F.when(k % 2 == 0, "search").otherwise("text")
+    first = _t('<form id="', pick(_FORM_IDS, k), '"><p><input id=i1 name="', pick(_FIELDS, k), '" type="', kind, '"><button id=b1', F.when(k % 4 == 1, " type=submit").otherwise(""), "><b>", pick(_SENDS, F.floor(k / 5)), "</b></button></form>")
+    second = _t("<form class='", F.when(F.floor(k / 2) % 2 == 0, "groups").otherwise("y"), "'><select name=", pick(_SELECTS, F.floor(k / 3)), "></select><button id=b2>Fil<i>ter</i></button></form>")
+    return table(spark, d, "pages").select("page_id", _t(F.coalesce("html", F.lit("")), folded, first, second).alias("html"), F.when(k % 3 > 0, "Cork").alias("seed"))
+
+
+_FORMS = f"""SELECT page_id, page_id % 2 = 0 AS search, page_id % 3 > 0 AS seeded, {_sql_pick(_FORM_IDS, 'page_id')} AS form_id, {_sql_pick(_FIELDS, 'page_id')} AS field, {_sql_pick(_SENDS, 'page_id // 5')} AS send, page_id % 4 = 1 AS submits, page_id // 2 % 2 = 0 AS groups, {_sql_pick(_SELECTS, 'page_id // 3')} AS list FROM pages"""
+
+
+@query(f"""SELECT page_id, CASE WHEN fill IS NOT NULL THEN 'fill' ELSE 'submit' END AS action, coalesce(fill, submit) AS rule, CASE WHEN fill IS NOT NULL THEN 'i1' WHEN submit IN (1, 3, 8) THEN 'b1' ELSE 'b2' END AS control_id FROM (
+SELECT page_id, CASE WHEN seeded THEN CASE field WHEN 'city' THEN 0 WHEN 'zip' THEN 3 WHEN 's' THEN 6 WHEN 'keyword' THEN 7 ELSE CASE WHEN search AND form_id LIKE '%meeting%' THEN 14 WHEN search AND form_id LIKE '%group%' THEN 16 END END END AS fill,
+CASE WHEN form_id LIKE '%meeting%' AND sends THEN 1 WHEN form_id LIKE '%group%' AND sends THEN 3 WHEN groups THEN 4 WHEN field = 'city' AND sends THEN 8 WHEN list = 'day' THEN 9 WHEN list = 'types' THEN 10 END AS submit FROM (SELECT *, submits OR send <> 'Go' AS sends FROM ({_FORMS})))
+WHERE fill IS NOT NULL OR submit IS NOT NULL""")
+def form_choices(spark: SparkSession, d: str) -> DataFrame:
+    """Which field is filled or which form is sent on each page."""
+    return forms.form_choices(_with_forms(spark, d)).select("page_id", "action", "rule", "control_id")
+
+
+@query(f"""SELECT page_id, rank, rule, control_id FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY rule)::INTEGER AS rank FROM (SELECT page_id, 1 AS rule, 'd1' AS control_id FROM ({_FORMS}) WHERE NOT seeded
+UNION ALL SELECT page_id, 21, 'b1' FROM ({_FORMS}) WHERE send = 'Search' UNION ALL SELECT page_id, 23, 'b2' FROM ({_FORMS}))) WHERE rank <= 2""")
+def button_clicks(spark: SparkSession, d: str) -> DataFrame:
+    """Buttons that are tried on each page, at most two."""
+    return forms.button_clicks(_with_forms(spark, d), 2).select("page_id", "rank", "rule", "control_id")
