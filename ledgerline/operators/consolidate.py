@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.numbers import rounded
 from ..functions.text import address_key, join_present, key_text, nonblank, odd_capitals, once, place_field
 
 #: Columns of a candidate that a merged row takes from its primary row.
@@ -27,7 +28,7 @@ def with_place_keys(df: DataFrame) -> DataFrame:
     physical = F.coalesce(by_address, F.when(
         F.coalesce(c("venue_name"), F.lit("")) != "", join_present(place_field(c("venue_name")), city, region, country)
     ).otherwise(join_present(city, region, country)))
-    lat, lon = F.bround(_col(df, "latitude", "double"), 3), F.bround(_col(df, "longitude", "double"), 3)
+    lat, lon = rounded(_col(df, "latitude", "double"), 3), rounded(_col(df, "longitude", "double"), 3)
     exact = lat.isNotNull() & lon.isNotNull() & ~F.coalesce(_col(df, "is_approximate_location", "boolean"), F.lit(False))
     geo = F.when(exact, F.concat(F.lit("geo:"), lat.cast("string"), F.lit(":"), lon.cast("string")))
     link = key_text(join_present(c("online_url"), c("phone_join_info")))

@@ -117,6 +117,21 @@ def place_keys(spark: SparkSession, d: str) -> DataFrame:
     return D.with_place_keys(c).select("c_custkey", "place_key")
 
 
+#: The double as a whole number of 2^-70, and its thousandths by integer division, half to even
+_GRID = "((l_orderkey * 7 + l_linenumber) % 5760001 - 2880000) / 32000.0::DOUBLE"
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, CASE WHEN x < 0 THEN '-' ELSE '' END || (n // 1000)::VARCHAR || '.' || CASE WHEN n % 1000 = 0 THEN '0' ELSE rtrim(lpad((n % 1000)::VARCHAR, 3, '0'), '0') END AS coordinate FROM (
+SELECT *, CASE WHEN rest > half OR (rest = half AND floor_ % 2 = 1) THEN floor_ + 1 ELSE floor_ END AS n FROM (SELECT *, whole // (2 * half) AS floor_, whole % (2 * half) AS rest FROM (
+SELECT l_orderkey, l_linenumber, x, (abs(x) * 1180591620717411303424.0::DOUBLE)::HUGEINT * 1000 AS whole, 590295810358705651712::HUGEINT AS half FROM (SELECT *, {_GRID} AS x FROM lineitem))))""")
+def rounded_coordinates(spark: SparkSession, d: str) -> DataFrame:
+    """Coordinates on a grid of 1/32 thousandths, rounded to thousandths by their binary value."""
+    from ..functions.numbers import rounded
+
+    x = (F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.lit(5760001)) - 2880000) / F.lit(32000.0)
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", rounded(x, 3).cast("string").alias("coordinate"))
+
+
 # ---- runs
 
 
