@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 
 def first_wins(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key. A partial minimum runs before the exchange (a limit inside the window), so a hot key
@@ -28,6 +30,34 @@ def batch(df: DataFrame, order: Sequence[Column | str], offset: int, limit: int
     return out if limit is None else out.limit(limit)
 
 
+def numbered(df: DataFrame, order: Sequence[str | Column], out: str = "pos") -> DataFrame:
+    """All rows numbered from 1 without a gap in the given order, nulls of columns given by name last; rows and files come in that order too.
+
+    The rows are dealt by range and sorted within, and a range's first number is the sum of the counts before it: one exchange of the rows, and one count a range on
+    the driver. Rows that are equal in the order are told apart by their place in the input, so they are spread like others (and their numbers may
+    differ from run to run: give a total order). The sorted rows are checkpointed, so that all ranges stay as they were counted. An empty table stays empty."""
+    tie, at = _unused(df, "tie"), _unused(df, "at")
+    keys = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    rows = df.withColumn(tie, F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*keys, F.col(tie)).sortWithinPartitions(*keys, F.col(tie)).drop(tie)
+    # the id holds the range above its 33 low bits and the row's place below
+    rows = cut_lineage(rows.withColumn(at, F.monotonically_increasing_id()))
+    part, place = F.shiftright(at, 33), F.col(at).bitwiseAND((1 << 33) - 1)
+    counts = rows.groupBy(part.alias("part")).count().collect()
+    first, offsets = 0, []
+    for r in sorted(counts):
+        offsets.append((r["part"], first))
+        first += r["count"]
+    firsts = df.sparkSession.createDataFrame(offsets, "__part long, __first long")
+    return rows.join(F.broadcast(firsts), part == F.col("__part")).withColumn(out, F.col("__first") + place + 1).drop(at, "__part", "__first")
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def most_common(df: DataFrame, key: str, pos: str, k: int) -> DataFrame:
     """The k commonest values; ties go to the one seen first."""
     counts = df.groupBy(key).agg(F.count("*").alias("n"), F.min(pos).alias("first_pos"))

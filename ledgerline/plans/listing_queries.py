@@ -211,6 +211,24 @@ def snapshot_document(spark: SparkSession, d: str) -> DataFrame:
     return rows.agg(F.count("*").alias("meetings"), F.sum("m.n_members").alias("members"))
 
 
+@query("""SELECT row_number() OVER (ORDER BY o, coalesce(country, '~~'), coalesce(city, '~~'), l_orderkey, l_linenumber)::BIGINT AS pos, l_orderkey, l_linenumber FROM (
+SELECT l_orderkey, l_linenumber, l_returnflag AS o, CASE WHEN l_orderkey % 3 > 0 THEN l_linestatus END AS country, CASE WHEN l_linenumber % 4 > 0 THEN 'c' || l_suppkey END AS city FROM lineitem)""")
+def snapshot_order(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as listings, numbered in the order of a snapshot; a third has no country, a quarter no city."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("fellowship"), F.when(F.col("l_orderkey") % 3 > 0, F.col("l_linestatus")).alias("country"), F.when(F.col("l_linenumber") % 4 > 0, F.concat(F.lit("c"), F.col("l_suppkey"))).alias("city"))
+    return ranking.numbered(rows, ["fellowship", "country", "city", "l_orderkey", "l_linenumber"]).select("pos", "l_orderkey", "l_linenumber")
+
+
+@query("""SELECT row_number() OVER (ORDER BY name)::BIGINT AS pos, name, n AS members, row_number() OVER (ORDER BY name) = count(*) OVER () AS is_last FROM (SELECT 'Group ' || (c_custkey // 2) AS name, count(*)::BIGINT AS n FROM customer GROUP BY 1)""")
+def snapshot_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of a snapshot's document, each listing read back from its line; all but the last end in a comma."""
+    import datetime
+
+    _, body, _ = pipeline.document_lines(D.consolidate(_listings(spark, d)).drop("pos"), datetime.datetime(2024, 1, 1))
+    listing = F.rtrim(F.trim("value"), F.lit(","))
+    return body.select("pos", F.get_json_object(listing, "$.name").alias("name"), F.get_json_object(listing, "$.n_members").cast("long").alias("members"), (~F.endswith("value", F.lit(","))).alias("is_last"))
+
+
 # ---- artifacts and audits
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import scoring
 from ..operators import consolidate as D, location, merge, relational, review, source_rules
-from ..operators.ranking import first_wins, issue_counters, top_k
+from ..operators.ranking import first_wins, issue_counters, numbered, top_k
+from .files import write_ordered
 from .store import Store
 
 GOLD_DROPS = ("raw_location_text", "first_seen_at", "last_seen_at", "status", "missing_run_count", "pos")
@@ -81,6 +82,8 @@ def snapshot(candidates: DataFrame, sources: DataFrame, flags: DataFrame) -> Dat
     return out.select(*(c for c in out.columns if c not in GOLD_DROPS))
 
 
+#: The order of a snapshot: nulls last, ids break ties.
+SNAPSHOT_ORDER = ("fellowship", "country", "city", "name", "source_id", "source_record_id")
 SNAPSHOT_SCHEMA = "generated_at string, meeting_count long, status string"
 
 
@@ -91,14 +94,27 @@ def residual(gold: DataFrame) -> DataFrame:
 
 
 def document(gold: DataFrame, as_of: datetime) -> DataFrame:
-    """One row: the snapshot as one JSON text with sorted keys. A snapshot is some hundred thousand listings at most: it is one
-    document by definition, and its text is written by one task."""
+    """One row: the snapshot as one JSON text with sorted keys, made by one task. For a snapshot small enough to be one value; publish() writes
+    the same text from document_lines() at any size."""
     cols = sorted(gold.columns)
-    rows = gold.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("m"), F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("￿")) for c in ("fellowship", "country", "city", "name", "source_id", "source_record_id") if c in cols)).alias("o"))
+    rows = gold.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("m"), F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("￿")) for c in SNAPSHOT_ORDER if c in cols)).alias("o"))
     body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o", "m"))), lambda x: F.concat(F.lit("    "), x["m"])), ",\n")
     return rows.agg(F.concat(F.lit(f'{{\n  "generated_at": "{as_of.isoformat()}",\n  "meeting_count": '), F.count("*").cast("string"), F.lit(',\n  "meetings": [\n'), body, F.lit("\n  ]\n}")).alias("value"))
 
 
+def document_lines(gold: DataFrame, as_of: datetime) -> tuple[list[str], DataFrame, list[str]]:
+    """The lines of document(): those before the listings, a row (pos, value) for each listing in order, and those after. No task has more than its
+    range of the listings."""
+    cols = sorted(gold.columns)
+    order = [c for c in SNAPSHOT_ORDER if c in cols]
+    rows = gold.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("m"), *(F.col(c).cast("string").alias(c) for c in order))
+    rows = numbered(rows, order)
+    n = rows.count()
+    body = rows.select("pos", F.concat(F.lit("    "), "m", F.when(F.col("pos") < n, ",").otherwise("")).alias("value"))
+    # no listing leaves an empty line
+    return ["{", f'  "generated_at": "{as_of.isoformat()}",', f'  "meeting_count": {n},', '  "meetings": [', *([] if n else [""])], body, ["  ]", "}"]
+
+
 def publish(spark: SparkSession, gold: DataFrame, path: str, as_of: datetime, minimum: int = 1, max_residual: float = 0.005, dry_run: bool = False) -> dict:
     """Write a gated snapshot: one JSON document under a stamped name and under latest. The share of listings that another
     consolidation would remove is measured here; nothing is written if the gate fails."""
@@ -106,9 +122,9 @@ def publish(spark: SparkSession, gold: DataFrame, path: str, as_of: datetime, mi
     report = gate.asDict() | {"generated_at": as_of.isoformat()}
     if not gate.passed or dry_run:
         return report | {"written": False}
-    one = document(gold, as_of)
+    head, body, tail = document_lines(gold, as_of)
     for name in (f"snapshot-{as_of:%Y%m%dT%H%M%S}", "latest"):
-        one.coalesce(1).write.mode("overwrite").text(f"{path}/{name}")
+        write_ordered(body, head, tail, f"{path}/{name}/part-00000.json")
     return report | {"written": True}
 
 
