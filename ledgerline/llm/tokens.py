@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import arrays as A
+from .common import in_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LONG = 128

@@ -36,3 +36,16 @@ def test_counts_match_brute_force(odd_docs):
     got = Counter(tuple(r) for r in tokens.count_tokens(odd_docs).collect())
     assert got == Counter((r.doc_id, *brute(r.text, v, longest)) for r in odd_docs.collect())
     assert tokens.count_tokens(odd_docs.limit(0)).count() == 0
+
+
+def test_registered_counts_match_their_sql(spark, tmp_path, odd_docs):
+    import duckdb
+    from ledgerline.llm import queries
+
+    odd_docs.select("doc_id", "text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = db.execute(queries.oracle_sql()["base_token_counts"]).fetchall()
+    got = queries.queries()["base_token_counts"](spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_bytes", "n_words"]
+    assert Counter(map(tuple, got.collect())) == Counter(want)
