@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import urls, zones
@@ -14,6 +13,7 @@ from ..operators.relational import longest_name
 from ..operators.source_rules import WORLD_HOSTS, valid_ca_url
 from ..session import cut_lineage
 from .discovery import crawl, location_index, locator_rows
+from .extract import each_page
 from .html import parse
 
 # The listings' addresses, hosts that are no source, the queries to ask where a page names none.
@@ -26,31 +26,23 @@ CANADA_NAMES = ("Alberta", "British Columbia", "Manitoba", "New Brunswick", "New
 def filter_queries(pages: DataFrame) -> DataFrame:
     """(page_id, pos, key, value) of the state and country options of a page, each once, without "All"."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for page_id, html in b.itertuples(index=False):
-                root = parse(html)
-                options = [(k, (o.attrs.get("value") or "").strip()) for k in ("state", "cc") for s in root.select(f"select[name='{k}']") for o in s.select("option")]
-                rows += [(page_id, i, *kv) for i, kv in enumerate(dict.fromkeys(kv for kv in options if kv[1] not in ("", "All")))]
-            yield pd.DataFrame(rows, columns=["page_id", "pos", "key", "value"])
+    def one(page_id: int, html: str | None) -> Iterator[tuple]:
+        root = parse(html)
+        options = [(k, (o.attrs.get("value") or "").strip()) for k in ("state", "cc") for s in root.select(f"select[name='{k}']") for o in s.select("option")]
+        return ((page_id, i, *kv) for i, kv in enumerate(dict.fromkeys(kv for kv in options if kv[1] not in ("", "All"))))
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, pos int, key string, value string")
+    return each_page(pages.select("page_id", "html"), one, "page_id long, pos int, key string, value string")
 
 
 def area_items(pages: DataFrame) -> DataFrame:
     """(page_id, url, pos, label, address, country, region, text, hrefs) of a listing's items that have a heading."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for page_id, url, html in b.itertuples(index=False):
-                for pos, n in enumerate(parse(html).select(".view-locations-listing .area-loc-item")):
-                    of = lambda css: f.text() if (f := n.first(css)) else ""  # noqa: B023, E731
-                    rows.append((page_id, url, pos, of("h3"), of("address"), of(".country"), of(".administrative-area"), n.text(), [a.attrs["href"] for a in n.select("a") if a.attrs.get("href")]))
-            yield pd.DataFrame(rows, columns=["page_id", "url", "pos", "label", "address", "country", "region", "text", "hrefs"])
+    def one(page_id: int, url: str, html: str | None) -> Iterator[tuple]:
+        for pos, n in enumerate(parse(html).select(".view-locations-listing .area-loc-item")):
+            of = lambda css: f.text() if (f := n.first(css)) else ""  # noqa: B023, E731
+            yield page_id, url, pos, of("h3"), of("address"), of(".country"), of(".administrative-area"), n.text(), [a.attrs["href"] for a in n.select("a") if a.attrs.get("href")]
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, pos int, label string, address string, country string, region string, text string, hrefs array<string>")
+    return each_page(pages.select("page_id", "url", "html"), one, "page_id long, url string, pos int, label string, address string, country string, region string, text string, hrefs array<string>")
 
 
 def aa_candidates(pages: DataFrame) -> DataFrame:
