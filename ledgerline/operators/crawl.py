@@ -97,32 +97,44 @@ def fall_backs(links: DataFrame, by: str = "source_url") -> DataFrame:
     return links.filter(urls.admissible(F.col(by), u) & (scoring.link_score(u, t) <= 0) & ~scoring.negative_link(u, t))
 
 
-def guesses(sources: DataFrame) -> DataFrame:
-    """(source_url, pos, url, text) of the common paths on each source's site, each once, other than the source itself."""
-    root = F.concat(urls.part(F.col("source_url"), 1), F.lit("://"), urls.part(F.col("source_url"), 2))
-    paths = F.array(*map(F.lit, COMMON_PATHS))
-    rows = sources.select("source_url", root.alias("__root"), F.posexplode(paths).alias("pos", "__path"))
-    out = rows.select("source_url", "pos", F.concat("__root", "__path").alias("url"), F.translate(F.regexp_replace("__path", "^/+|/+$", ""), "-", " ").alias("text"))
-    return out.filter((path_key(F.col("url")) != path_key(F.col("source_url"))) & urls.admissible(F.col("source_url"), F.col("url")))
+def guesses(sources: DataFrame, *keep: str) -> DataFrame:
+    """(source_url, pos, url, text, columns to keep) of the common paths on each source's site, each once, other than the source itself.
 
+    A guess has its source's scheme and authority and none of the paths is one that a crawl skips, so it may be followed if the scheme is
+    http or https: a source's address is taken apart once, not once a path."""
+    source = F.col("source_url")
+    root = F.concat(urls.part(source, 1), F.lit("://"), urls.part(source, 2))
+    paths = F.array(*(F.struct(F.lit(i).alias("pos"), F.lit(p).alias("path"), F.lit(p.rstrip("/").lower() or "/").alias("key"), F.lit(p.strip("/").replace("-", " ")).alias("text")) for i, p in enumerate(COMMON_PATHS)))
+    own = sources.select("source_url", *keep, root.alias("__root"), path_key(source).alias("__own")).filter(F.lower(urls.part(source, 1)).isin("http", "https"))
+    rows = own.select("source_url", *keep, "__root", "__own", F.explode(paths).alias("__p")).filter(F.col("__p.key") != F.col("__own"))
+    return rows.select("source_url", "__p.pos", F.concat("__root", "__p.path").alias("url"), "__p.text", *keep)
 
-def remembered(sources: DataFrame, most: int = 5) -> DataFrame:
-    """(source_url, pos, url) of the pages that gave rows before, from the config's three lists in turn, each once, few."""
+
+def _remembered(most: int) -> Column:
+    """The pages of a source's row that gave rows before, from the config's three lists in turn, each once, few."""
     scrape = lambda p, kind: F.coalesce(F.from_json(F.get_json_object("config", f"$.scrape.{p}"), kind), F.array().cast(kind))
     pages = F.transform(scrape("successful_pages", "array<struct<url:string>>"), lambda x: x["url"])
     last = F.array(F.get_json_object("config", "$.scrape.last_successful_page_url"))
     every = F.concat(pages, scrape("successful_page_urls", "array<string>"), last)
     u = F.filter(F.transform(every, lambda x: urls.defragment(nonblank(x))), lambda x: x.isNotNull())
-    kept = F.slice(F.filter(F.array_distinct(u), lambda x: same_branch(F.col("source_url"), x)), 1, most)
-    return sources.select("source_url", F.posexplode(kept).alias("pos", "url"))
+    return F.slice(F.filter(F.array_distinct(u), lambda x: same_branch(F.col("source_url"), x)), 1, most)
+
+
+def remembered(sources: DataFrame, *keep: str, most: int = 5) -> DataFrame:
+    """(source_url, pos, url, columns to keep) of the pages that gave rows before, few for each source."""
+    return sources.select("source_url", F.posexplode(_remembered(most)).alias("pos", "url"), *keep)
 
 
-def first_frontier(sources: DataFrame) -> DataFrame:
-    """(source_url, pos, url, depth): remembered pages that may be followed at depth -1, then the source at depth 0."""
-    old = remembered(sources).filter(urls.admissible(F.col("source_url"), F.col("url"))).withColumn("depth", F.lit(-1))
-    own = sources.select("source_url", urls.defragment("source_url").alias("url"))
-    own = own.join(old.select("source_url", "url"), ["source_url", "url"], "left_anti").select("source_url", F.lit(1 << 20).alias("pos"), "url", F.lit(0).alias("depth"))
-    return old.unionByName(own)
+def first_frontier(sources: DataFrame, *keep: str) -> DataFrame:
+    """(source_url, pos, url, depth, columns to keep): remembered pages that may be followed at depth -1, then the source at depth 0. All of it
+    follows from a source's own row, so nothing is joined."""
+    source = F.col("source_url")
+    entry = lambda pos, url, depth: F.struct(pos.cast("int").alias("pos"), url.alias("url"), F.lit(depth).alias("depth"))
+    old = sources.withColumn("__old", F.filter(F.transform(_remembered(5), lambda u, i: entry(i, u, -1)), lambda e: urls.admissible(source, e["url"])))
+    own = F.array(entry(F.lit(1 << 20), urls.defragment(source), 0))
+    again = F.coalesce(F.exists("__old", lambda e: e["url"] == urls.defragment(source)), F.lit(False))
+    rows = old.select("source_url", *keep, F.explode(F.concat("__old", F.filter(own, lambda e: ~again))).alias("__e"))
+    return rows.select("source_url", "__e.pos", "__e.url", "__e.depth", *keep)
 
 
 def without_common_paths(frontier: DataFrame) -> DataFrame:
