@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import schedule, urls
 from ..operators import crawl as C, forms
 from ..operators.ranking import first_wins
+from ..session import spread
 from ..sources import discovery, extract
 from .model import pick, table
 from .registry import query
@@ -158,7 +159,7 @@ def _links(spark: SparkSession, d: str) -> DataFrame:
     """orders as links from the sites of customers."""
     k = F.col("o_orderkey")
     host = F.concat(F.lit("https://www.site"), "o_custkey", F.lit(".org/"))
-    return table(spark, d, "orders").select(F.concat(host, F.lit("area/")).alias("source_url"), (k % 1_000_000).cast("int").alias("pos"), F.concat(host, pick(_PATHS, k), F.when(k % 3 == 0, F.concat(F.lit("?p="), k)).otherwise("")).alias("url"), F.lit("link").alias("text"), "o_orderkey")
+    return table(spark, d, "orders").select(F.concat(host, F.lit("area/")).alias("source_url"), k.alias("pos"), F.concat(host, pick(_PATHS, k), F.when(k % 3 == 0, F.concat(F.lit("?p="), k)).otherwise("")).alias("url"), F.lit("link").alias("text"), "o_orderkey")
 
 
 @query(r"""WITH t AS (SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN 'area' WHEN 1 THEN 'area' WHEN 5 THEN 'area' ELSE '' END AS area, o_orderkey % 8 AS p FROM orders)
@@ -188,8 +189,9 @@ _GUESSED = sorted({p.rstrip("/").lower() or "/" for p in C.COMMON_PATHS})
 def common_path_guesses(spark: SparkSession, d: str) -> DataFrame:
     """Pages to try on each site; a site that begins at one of the paths isn't tried there again."""
     s = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("https://h"), _k(), F.lit(".org"), F.when(_k() % 2 == 0, "/meeting").otherwise("/home")).alias("source_url"))
-    g = C.guesses(s.select("source_url")).groupBy("source_url").agg(F.count("*").cast("int").alias("n"), F.min_by("url", "pos").alias("first_url"), F.max(F.when(F.col("pos") == 2, F.col("text"))).alias("third"))
-    return s.join(g, "source_url").select("c_custkey", "n", "first_url", "third")
+    # sources are dealt over all cores by the key that their guesses are grouped by
+    g = C.guesses(spread(s, "c_custkey"), "c_custkey")
+    return g.groupBy("c_custkey").agg(F.count("*").cast("int").alias("n"), F.min_by("url", "pos").alias("first_url"), F.max(F.when(F.col("pos") == 2, F.col("text"))).alias("third"))
 
 
 _CONFIG = ('{"scrape":{"successful_pages":[{"url":"https://w.org/a#x","records_extracted":8},{"url":"https://w.org/b","records_extracted":0}],"successful_page_urls":["https://w.org/a","https://w.org/c"],"last_successful_page_url":"https://w.org/d","last_successful_page_records":3}}', "{}", '{"scrape":{"successful_page_urls":["https://w.org/1","https://w.org/2","https://w.org/3","https://w.org/4","https://w.org/5","https://w.org/6"]}}')
@@ -203,14 +205,14 @@ def _remembering(spark: SparkSession, d: str) -> DataFrame:
 def remembered_pages(spark: SparkSession, d: str) -> DataFrame:
     """Pages that gave rows before: three lists in turn, each page once, five at most."""
     s = _remembering(spark, d)
-    return C.remembered(s).join(s.select("c_custkey", "source_url"), "source_url").select("c_custkey", F.regexp_extract("url", "([^/]+)$", 1).alias("url"))
+    return C.remembered(spread(s, "c_custkey"), "c_custkey").select("c_custkey", F.regexp_extract("url", "([^/]+)$", 1).alias("url"))
 
 
 @query("""SELECT c_custkey, depth, n FROM (SELECT c_custkey, -1 AS depth, CASE c_custkey % 3 WHEN 0 THEN 4 WHEN 2 THEN 5 ELSE 0 END::BIGINT AS n FROM customer UNION ALL SELECT c_custkey, 0, 1 FROM customer) WHERE n > 0""")
 def crawl_frontier(spark: SparkSession, d: str) -> DataFrame:
     """Where a crawl begins: remembered pages, then the source."""
     s = _remembering(spark, d)
-    return C.first_frontier(s).join(s.select("c_custkey", "source_url"), "source_url").groupBy("c_custkey", "depth").agg(F.count("*").alias("n"))
+    return C.first_frontier(spread(s, "c_custkey"), "c_custkey").groupBy("c_custkey", "depth").agg(F.count("*").alias("n"))
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN CASE c_custkey % 4 WHEN 0 THEN 8 WHEN 2 THEN 3 END END AS expected FROM customer")
