@@ -43,11 +43,15 @@ def matrix(vecs: pa.Array, scale: int, limit: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-#: Tasks' partial sums are first added within so many groups, then over them.
+#: So many tasks' partial sums of a key are added in one step; those of more tasks first within so many groups, then over them.
 SUM_GROUPS = 64
+ONE_STEP = 256
 
 
 def summed(partials: DataFrame, *keys: str) -> DataFrame:
-    """Totals of column `v` of tasks' partial sums by `keys`, in two steps, so that no task meets the rows of all tasks."""
+    """Totals of column `v` of tasks' partial sums by `keys`, in two steps where there are many tasks, so that no task meets the rows of all of them.
+    `partials` is read from files, so its number of tasks is known without a job."""
+    if partials.rdd.getNumPartitions() <= ONE_STEP:
+        return partials.groupBy(*keys).agg(F.sum("v").alias("v"))
     part = partials.withColumn("lot", F.pmod(F.spark_partition_id(), F.lit(SUM_GROUPS)))
     return part.groupBy("lot", *keys).agg(F.sum("v").alias("v")).groupBy(*keys).agg(F.sum("v").alias("v"))

@@ -109,16 +109,17 @@ def fit(df: DataFrame, vec_col: str = "embedding", want: int = WANT, over: int =
     n, S = total[size], [total[i] for i in range(size)]
     mean = np.array([s / n for s in S])
 
-    def times(q: np.ndarray) -> np.ndarray:
-        """V q, by one pass."""
+    def times(q: np.ndarray) -> tuple[np.ndarray, float]:
+        """V q and the trace of V, by one pass."""
         shipped = df.sparkSession.sparkContext.broadcast((mean, q))
 
         def part(x: np.ndarray) -> np.ndarray:
             m, v = shipped.value
             x = x - m
-            return x.T @ (x @ v)
+            return np.column_stack((x.T @ (x @ v), (x * x).sum(0)))
 
-        return _sum_matrix(rows, q.shape, part) / n
+        total = _sum_matrix(rows, (size, q.shape[1] + 1), part) / n
+        return total[:, :-1], float(total[:, -1].sum())
 
     def ritz(q: np.ndarray, vq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Values (falling), components and residuals in the range of q."""
@@ -129,18 +130,17 @@ def fit(df: DataFrame, vec_col: str = "embedding", want: int = WANT, over: int =
 
     k = min(want, size)
     width = min(size, want + over)
-    variances = _sum_matrix(rows, (1, size), lambda x: ((x - mean) ** 2).sum(0)[None])
-    trace = float(variances.sum() / n)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))[0]
     for _ in range(powers if width < size else 0):
-        q = np.linalg.qr(times(q))[0]
-    values, components, residual = ritz(q, times(q))
+        q = np.linalg.qr(times(q)[0])[0]
+    vq, trace = times(q)
+    values, components, residual = ritz(q, vq)
     if width < size:
         gap = np.abs(np.diff(values))[:k]
         gap[1:] = np.minimum(gap[1:], np.abs(np.diff(values))[: k - 1])
         if (residual[:k] > ANGLE * gap).any():  # not converged: the whole space
             q = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, size)))[0]
-            values, components, _ = ritz(q, times(q))
+            values, components, _ = ritz(q, times(q)[0])
             width = size
     if told is not None:
         told["width"] = width
@@ -148,16 +148,18 @@ def fit(df: DataFrame, vec_col: str = "embedding", want: int = WANT, over: int =
 
 
 def identity_error(model: Model, rows: DataFrame) -> float:
-    """Largest absolute entry of the fit list's whitened covariance, centred before multiplying, minus the identity."""
+    """Largest absolute entry of the fit list's whitened covariance, minus the identity: the rows are centred before they are
+    multiplied, and what is left of their mean by rounding is taken off."""
     shipped = rows.sparkSession.sparkContext.broadcast(model)
     k = model.components.shape[1]
-    centre = _sum_matrix(rows, (1, k), lambda x: shipped.value.whiten(x).sum(0)[None])[0] / model.n
 
     def part(x: np.ndarray) -> np.ndarray:
-        w = shipped.value.whiten(x) - centre
-        return w.T @ w
+        w = shipped.value.whiten(x)  # of centred rows
+        return np.vstack((w.T @ w, w.sum(0)))
 
-    return float(np.abs(_sum_matrix(rows, (k, k), part) / model.n - np.eye(k)).max())
+    total = _sum_matrix(rows, (k + 1, k), part) / model.n
+    centre = total[-1]
+    return float(np.abs(total[:-1] - np.outer(centre, centre) - np.eye(k)).max())
 
 
 def transform(df: DataFrame, model: Model, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:

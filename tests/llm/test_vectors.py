@@ -234,3 +234,11 @@ def test_large_components_are_multiplied_exactly():
     own = np.arange(3)[t.order]
     got = {(int(own[q]), int(i)): int(s) for q, s, i in zip(best.q, best.score, best.id)}
     assert got == {(a, b): sum(int(u) * int(v) for u, v in zip(x[a], x[b])) for a in range(3) for b in range(3) if a != b}
+
+
+def test_partial_sums_of_few_tasks_are_added_in_one_step(spark, tmp_path):
+    spark.range(40, numPartitions=4).selectExpr("id % 5 as at", "id as v").write.parquet(f"{tmp_path}/p")
+    p = spark.read.parquet(f"{tmp_path}/p")
+    out = W.V.summed(p, "at")
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r["at"]: r.v for r in out.collect()} == {i: sum(range(i, 40, 5)) for i in range(5)}
