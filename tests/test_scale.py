@@ -76,3 +76,10 @@ def test_guesses_of_odd_sources(spark):
     url = F.concat(crawl.urls.part(F.col("source_url"), 1), F.lit("://"), crawl.urls.part(F.col("source_url"), 2), "path")
     want = rows.withColumn("url", url).filter((crawl.path_key(F.col("url")) != crawl.path_key(F.col("source_url"))) & crawl.urls.admissible(F.col("source_url"), F.col("url"))).select("i", "pos", "url")
     assert sorted(map(tuple, crawl.guesses(s, "i").select("i", "pos", "url").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_few_pages_at_a_time_become_python_values(spark):
+    pages = spark.range(3 * extract.PAGES_AT_ONCE).coalesce(1).select(F.col("id").alias("page_id"), F.lit("<p>x</p>").alias("html"))
+    parts = extract.page_parts(pages)
+    assert parts.select("page_id").distinct().count() == 3 * extract.PAGES_AT_ONCE
+    assert "MapInArrow" in parts._jdf.queryExecution().toString()
