@@ -81,21 +81,19 @@ def spread_join(many: DataFrame, one: DataFrame, key: str, by: Column, rows: int
 
     `by` spreads the rows of such a key, `rows` is the size of `many` and `counts` (key, n) its rows a key if known.
     Hot keys have more than rows / partitions rows each, so there are fewer of them than shuffle partitions and their
-    list may be broadcast. Rows of `one` are copied once for each part of a hot key."""
+    list may stand in the plan. Rows of `one` are copied once for each part of a hot key. The plan is one whether there are hot keys or not."""
     spark = many.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     share = max(HOT_ROWS, rows // parts)
-    if rows <= share:
-        return many.join(one, key)
-    if counts is None:
-        counts = many.groupBy(key).agg(F.count("*").alias("n"))
-    hot = [(r[0], -(-r[1] // share)) for r in counts.filter(F.col("n") > share).select(key, "n").collect()]
-    if not hot:
-        return many.join(one, key)
-    salts, salt = unused(many, "salts"), unused(one, "salt")
-    hot = F.broadcast(spark.createDataFrame(hot, f"{key} long, {salts} int"))
-    left = many.join(hot, key, "left").withColumn(salt, F.pmod(by, F.coalesce(salts, F.lit(1))).cast("int")).drop(salts)
-    right = one.join(hot, key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1))).drop(salts)
+    hot = []
+    if rows > share:
+        if counts is None:
+            counts = many.groupBy(key).agg(F.count("*").alias("n"))
+        hot = counts.filter(F.col("n") > share).select(key, "n").collect()
+    salt = unused(many, unused(one, "salt"))
+    dealt = F.when(F.col(key).isin([r[0] for r in hot]), max((-(-r[1] // share) for r in hot), default=1)).otherwise(1)
+    left = many.withColumn(salt, F.pmod(by, dealt).cast("int"))
+    right = one.withColumn(salt, F.explode(F.sequence(F.lit(0), dealt - 1)))
     return left.join(right, [key, salt]).drop(salt)
 
 

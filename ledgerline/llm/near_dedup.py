@@ -15,16 +15,14 @@ distance over words is at most ``(1 - SIMILARITY)`` of the longer one.
 3. Buckets that now lie in one component are done. In others of at most ``SMALL`` nodes, all pairs in different
    components are compared.
 4. The nodes of larger buckets that still hold several components (many texts with one passage in common, for one)
-   are sketched again, finely: the ``FINE`` least labelled k-mers of each. A k-mer makes a bucket, in which a component
-   is known by its least node, treated as in 2 and 3. A k-mer of the common passage makes a large bucket again, and
-   those of the rest of the texts make small ones. Components with fewer than ``OWN`` k-mers outside of large buckets are
-   sketched again without the k-mers of these buckets, until all have so many or have no k-mers left. So what a crowded bucket
-   hides is looked for in what its texts don't share with all others, however many they are. (The list of crowded k-mers is a
-   broadcast of at most ``BROADCAST_ROWS``; if it is longer, the next sketch takes four times as many k-mers instead.)
+   meet by an exact join (``crowded``): near copies share all but a fifth of their words, each counted as often as both have it, so
+   of each text's rarest fifth and one more (rare in the crowd) they share one. The first that two texts of different components
+   share makes the pair, if lengths and places leave enough words after it. Keys of many nodes are dealt out in blocks.
 5. Components of all links, by large and small stars, are the near-duplicate groups. The least doc_id stays.
 
-All steps are linear in the nodes and their k-mers; no bucket is gathered, cut or compared with itself whole. So two near copies are
-missed only if no band agrees, or if of ``OWN`` k-mers that they don't share with many others they share none. A test runs the
+So two near copies are missed only if no band agrees: no bucket is cut, whatever its size, and a test holds a crowded bucket against all of its
+pairs. Steps 1 to 3 are linear in the nodes and their bands. Step 4 makes only pairs that share one of their rarest words; texts that are
+alike in nearly four fifths of their words and yet no near copies are compared one by one, which no exact way avoids. Another test runs the
 operator on pairs at several edit rates, also on texts that all share a passage, and asks for a recall of 0.9 or more.
 
 Edge cases: texts with fewer than K words are near copies only of texts with the same words; texts without a word
@@ -50,8 +48,8 @@ from .common import BROADCAST_ROWS, bounded, in_batches, own_columns, row_uid, s
 from .components import components
 
 K, L, BANDS, ROWS, SIMILARITY = 3, 2, 32, 1, 0.8
-#: Nodes of a bucket that are compared pair by pair, k-mers of the first fine sketch, and how many of these must lie in small buckets.
-SMALL, FINE, OWN = 6, 64, 32
+#: Nodes of a bucket that are compared pair by pair; nodes of a key in the crowd that meet in one block.
+SMALL, BLOCK = 6, 1000
 #: Bins of a text's word counts, which bound its edit distance from below.
 BINS = 256
 _FOLD = np.array([b if b >= 128 or chr(b).isalnum() else 32 for b in A.LOWER.tolist()], np.uint8)
@@ -74,18 +72,18 @@ def content(wh: np.ndarray, row0: np.ndarray) -> np.ndarray:
     return A.mix((s[row0[1:]] - s[row0[:-1]]) + np.diff(row0).astype(np.uint64) * _C)
 
 
-def labelled(wh: np.ndarray, row0: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def labelled(wh: np.ndarray, row0: np.ndarray, k_mer: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k-mers of all rows, each hashed with the number of its earlier occurrences in its row; the rows that have
     any, and where each of these begins (and the end)."""
-    n = np.diff(row0) - K + 1
+    n = np.diff(row0) - k_mer + 1
     rows = np.flatnonzero(n > 0)
     size = n[rows]
     first = np.append(0, np.cumsum(size))
     if not len(rows):
         return np.zeros(0, np.uint64), rows, first
-    m = len(wh) - K + 1
+    m = len(wh) - k_mer + 1
     code = wh[:m].copy()
-    for k in range(1, K):
+    for k in range(1, k_mer):
         code = code * _C + wh[k : k + m]
     at = np.repeat(row0[rows] - first[:-1], size) + np.arange(first[-1])
     code = A.mix(code[at])
@@ -251,8 +249,8 @@ def links(docs: DataFrame, rows: DataFrame, similarity: float = SIMILARITY) -> D
 
     few = lengths is not sizes
 
-    def test(pairs: DataFrame) -> DataFrame:
-        """Pairs that lengths don't rule out, aligned."""
+    def test(pairs: DataFrame, more: DataFrame | None = None) -> DataFrame:
+        """Pairs that lengths don't rule out and `more`, aligned."""
         other = lengths.select(F.col("node").alias("pivot"), F.col("n").alias("m"))
         if few:
             both = pairs.join(lengths, "node").join(other, "pivot")
@@ -261,30 +259,17 @@ def links(docs: DataFrame, rows: DataFrame, similarity: float = SIMILARITY) -> D
             n = pairs.count()
             both = spread_join(spread_join(pairs, lengths, "node", F.xxhash64("pivot"), n), other, "pivot", F.xxhash64("node"), n)
         near = both.filter(F.abs(F.col("n") - F.col("m")) <= F.floor((1 - similarity) * F.greatest("n", "m") + 1e-9))
-        return stored(verified(stored(near.select("node", "pivot")), words, similarity))
+        near = near.select("node", "pivot")
+        return stored(verified(stored(near if more is None else near.unionByName(more)), words, similarity))
 
     tested = test(buckets.filter("node <> pivot").select("node", "pivot").distinct())
     roots = stored(components(_linked(tested)))
     more, crowd = _apart(buckets, roots)
-    crowd, size, known = stored(crowd), FINE, np.zeros(0, np.uint64)
-    while not crowd.isEmpty():
-        keys = in_batches(crowd.join(words, "node"), _fine(docs.sparkSession.sparkContext.broadcast(known), size), "node long, root long, keys array<long>").select("root", "node", F.explode("keys").alias("key"))
-        # a component is known by its least node in each bucket
-        fine = _buckets(stored(keys.groupBy("key", "root").agg(F.min("node").alias("node"))))
-        more = more.unionByName(fine.filter("node <> pivot").select("node", "pivot")).unionByName(_pairs(fine))
-        large = fine.filter(f"n > {SMALL}")
-        busy = stored(large.groupBy("root").count().filter(F.col("count") > size - OWN).select("root"))
-        crowd = stored(crowd.join(bounded(busy), "root").join(sizes.filter(F.col("n") - K + 1 > FINE), "node", "left_semi").select("node", "root"))
-        crowded = stored(large.select("key").distinct())
-        if len(known) + crowded.count() <= BROADCAST_ROWS:
-            known = np.sort(np.append(known, crowded.toArrow().column("key").to_numpy().view(np.uint64)))
-        else:
-            size *= 4
-            crowd = stored(crowd.join(sizes.filter(F.col("n") - K + 1 > size // 4), "node", "left_semi"))
     # the greater node of a pair comes first, so that a pair is tested once
     pairs = more.select(F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")).distinct()
     done = buckets.filter("node <> pivot").select(F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")).distinct()
-    late = _linked(test(pairs.join(done, ["node", "pivot"], "left_anti")))
+    apart = crowded(stored(crowd), words, similarity).join(done.unionByName(pairs), ["node", "pivot"], "left_anti")
+    late = _linked(test(pairs.join(done, ["node", "pivot"], "left_anti"), apart))
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late)
 
 
@@ -293,12 +278,10 @@ def _linked(tested: DataFrame) -> DataFrame:
 
 
 def _buckets(entries: DataFrame) -> DataFrame:
-    """The entries (node, key, ...) of the keys that n > 1 nodes have, with n and the pivot, the least node."""
-    size = stored(entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
+    """The entries (node, key) of the keys that n > 1 nodes have, with n and the pivot, the least node."""
+    size = stored(entries.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).filter("n > 1"))
     rows = size.agg(F.sum("n")).first()[0] or 0
-    shared = stored(spread_join(entries, size, "key", F.xxhash64("node"), rows, size))
-    pivots = shared.groupBy("key").agg(F.min("node").alias("pivot"))
-    return stored(spread_join(shared, pivots, "key", F.xxhash64("node"), rows, size))
+    return stored(spread_join(entries, size, "key", F.xxhash64("node"), rows, size))
 
 
 def _pairs(buckets: DataFrame) -> DataFrame:
@@ -318,25 +301,71 @@ def _apart(buckets: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _pairs(buckets), crowd
 
 
-def _fine(known, size: int):
-    """The `size` least labelled k-mers of each node's words that aren't in the broadcast `known` (sorted)."""
-    return lambda batches: _least_kmers(batches, known.value, size)
-
-
-def _least_kmers(batches: Iterator[pa.RecordBatch], known: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+def crowded(crowd: DataFrame, words: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, pivot), node > pivot: the pairs of nodes in different components (node, root) that may be near copies; none that is gets lost."""
+    held = stored(crowd.join(words, "node"))
+    counts = in_batches(held.select("words"), _word_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    counts = stored(counts)
+    # any order will do; if there are too many words to send, those that few nodes have count as rare
+    least, more = 1, counts.count()
+    while more > BROADCAST_ROWS:
+        least *= 2
+        more = counts.filter(F.col("n") > least).count()
+    busy = counts.filter(F.col("n") > least).toArrow()
+    order = np.argsort(busy.column("key").to_numpy().view(np.uint64))
+    known = tuple(busy.column(c).to_numpy()[order].view(np.uint64) for c in ("key", "n"))
+    shipped = crowd.sparkSession.sparkContext.broadcast(known)
+    entries = in_batches(held, lambda batches: _rarest(batches, *shipped.value, similarity), "node long, root long, m int, keys array<long>").select("node", "root", "m", F.posexplode("keys").alias("place", "key"))
+    entries = stored(entries)
+    shared = stored(entries.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key", "n"))
+    rows = shared.agg(F.sum("n")).first()[0] or 0
+    entries = stored(spread_join(entries, shared, "key", F.xxhash64("node"), rows, shared))
+    # a node's keys that others have, in the order that all share
+    each = entries.groupBy("node", "root", "m").agg(F.sort_array(F.collect_list(F.struct("place", "key", "n"))).alias("e"))
+    each = each.select("node", "root", "m", F.transform("e", lambda x: x["key"]).alias("keys"), F.explode("e").alias("x")).select("node", "root", "m", "keys", "x.*").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    each = stored(each)
+    left = each.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    right = each.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", "block", *(F.col(c).alias(f"r_{c}") for c in ("node", "root", "m", "place", "keys")))
+    limit = lambda n: F.floor((1 - similarity) * n + 1e-9)
+    longer = F.greatest("m", "r_m")
+    apart = (F.col("node") > F.col("r_node")) & (F.col("root") != F.col("r_root")) & (F.abs(F.col("m") - F.col("r_m")) <= limit(longer))
+    enough = F.least(F.col("m") - F.col("place"), F.col("r_m") - F.col("r_place")) >= longer - limit(longer)
+    first = F.get(F.array_intersect("keys", "r_keys"), F.lit(0)) == left["key"]
+    on = (left["key"] == right["key"]) & (left["block"] == right["block"]) & apart & enough & first
+    return left.join(right, on).select("node", F.col("r_node").alias("pivot"))
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many nodes have each labelled word, by batch."""
+    for words, _ in _in_parts(batches, 0):
+        label, _, _ = labelled(*words, 1)
+        key, n = np.unique(label, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+
+def _rarest(batches: Iterator[pa.RecordBatch], key: np.ndarray, n: np.ndarray, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Each node's rarest labelled words in order, one more than the edits it may have; words that aren't in `key` (sorted, with counts n) come first."""
+    for words, part in _in_parts(batches, 2):
+        label, rows, first = labelled(*words, 1)
+        often = np.zeros(len(label), np.uint64)
+        if len(key):
+            at = np.minimum(np.searchsorted(key, label), len(key) - 1)
+            often = np.where(key[at] == label, n[at], 0).astype(np.uint64)
+        size = np.diff(first)
+        order = np.lexsort((label, often, np.repeat(np.arange(len(rows)), size)))
+        most = np.minimum(((1 - similarity) * size + 1e-9).astype(np.int64) + 1, size)
+        keep = np.arange(len(label)) - np.repeat(first[:-1], size) < np.repeat(most, size)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(most)).astype(np.int32)), pa.array(label[order][keep].view(np.int64)))
+        yield pa.RecordBatch.from_arrays([*(part.column(i).take(pa.array(rows)) for i in (0, 1)), pa.array(size.astype(np.int32)), lists], names=["node", "root", "m", "keys"])
+
+
+def _in_parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[tuple[np.ndarray, np.ndarray], pa.RecordBatch]]:
+    """The words of 500 rows at a time with where each row's begin, and the rows."""
     for b in batches:
         for at in range(0, b.num_rows, 500):
             part = b.slice(at, 500)
-            words = [np.frombuffer(x.as_buffer(), np.uint32) for x in part.column(2)]
-            row0 = np.append(0, np.cumsum([len(w) for w in words]))
-            label, rows, first = labelled(np.concatenate(words).astype(np.uint64), row0)
-            own = np.ones(len(label), bool)
-            if len(known):
-                own = known[np.minimum(np.searchsorted(known, label), len(known) - 1)] != label
-            split = [k[o] for k, o in zip(np.split(label, first[1:-1]), np.split(own, first[1:-1]))]
-            keys = [np.sort(np.partition(k, size - 1)[:size]) if len(k) > size else k for k in split]
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(k) for k in keys])).astype(np.int32)), pa.array(np.concatenate(keys).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*(part.column(i).take(pa.array(rows)) for i in (0, 1)), lists], names=["node", "root", "keys"])
+            words = [np.frombuffer(x.as_buffer(), np.uint32) for x in part.column(column)]
+            yield (np.concatenate(words).astype(np.uint64), np.append(0, np.cumsum([len(w) for w in words]))), part
 
 
 def groups(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:

@@ -270,3 +270,44 @@ def similar(a, b):
     x, y = (wh[row0[i] : row0[i + 1]].astype(np.uint32) for i in (0, 1))
     limit = int((1 - N.SIMILARITY) * max(len(x), len(y)) + 1e-9)
     return N.distances([x], [y], np.array([limit]))[0] <= limit
+
+
+def test_a_crowded_bucket_is_searched_whole(spark):
+    """One bucket of texts that share most of their words: every near pair is linked, as all pairs of the bucket say."""
+    rng = random.Random(31)
+    words = [f"w{i}" for i in range(900)]
+    passage = rng.sample(words, 84)
+    texts = []
+    for _ in range(60):  # what a text has of its own is common too, but for a few words
+        own = rng.sample(words, 36)
+        texts.append(passage + own)
+        near = passage + own
+        for i in rng.sample(range(84, 120), 24):
+            near[i] = rng.choice(words)
+        texts.append(near)
+    (c,) = A.chunks(pa.array([" ".join(t) for t in texts]))
+    wh, row0 = N.word_hashes(c)
+    node = N.content(wh, row0).view(np.int64).tolist()
+    seqs = [wh[row0[i] : row0[i + 1]].astype(np.uint32) for i in range(len(texts))]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    limit = np.full(len(pairs), 24)
+    near = alignment.distances([seqs[i] for i, _ in pairs], [seqs[j] for _, j in pairs], limit) <= limit
+    want = {frozenset((node[i], node[j])) for (i, j), ok in zip(pairs, near, strict=True) if ok}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    crowd = spark.createDataFrame([(n, n) for n in node], "node long, root long")
+    held = N.sequences(docs, N.stored(crowd.select("node")))
+    got = [frozenset((r.node, r.pivot)) for r in N.crowded(crowd, held).collect()]
+    assert len(want) >= 60 and want <= set(got) and len(got) == len(set(got))
+    rows = spark.createDataFrame([(n, [1]) for n in node], "node long, bands array<long>")
+    roots = {r.node: r.root for r in components.components(N.links(docs, rows)).collect()}
+    assert all(len({roots[n] for n in pair}) == 1 for pair in want)
+
+
+def test_joins_of_buckets_keep_one_plan(spark):
+    """With and without a hot key the join makes one row of each row, by the same keys."""
+    one = spark.createDataFrame([(k, k) for k in range(40)], "key long, m long")
+    for rows in ([(k % 40, k) for k in range(400)], [(0, k) for k in range(4000)] + [(k % 40, k) for k in range(400)]):
+        got = N.spread_join(spark.createDataFrame(rows, "key long, v long"), one, "key", N.F.xxhash64("v"), len(rows))
+        assert got.count() == len(rows)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == 1 and "LeftOuter" not in plan and "salt" in plan
