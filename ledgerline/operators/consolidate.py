@@ -71,9 +71,11 @@ def merged_formats(c: Column) -> Column:
 
 
 def merged_occurrences(c: Column) -> Column:
-    """Different occurrences by day, start, end (none last) and time zone."""
+    """Different occurrences by day, start, end (none last) and time zone. Equal ones are neighbours once sorted: of structs,
+    array_distinct would compare each with all found so far."""
     key = lambda o: F.struct(o["day_of_week"].alias("d"), o["start_minute"].alias("s"), F.coalesce(o["end_minute"], F.lit(24 * 60)).alias("e"), o["timezone"].alias("z"), o.alias("o"))
-    return F.transform(F.array_sort(F.transform(F.array_distinct(F.flatten(c)), key)), lambda s: s["o"])
+    found = once(F.sort_array(F.transform(F.flatten(c), key)), lambda a: F.filter(a, lambda x, i: (i == 0) | ~x["o"].eqNullSafe(F.get(a, i - 1)["o"])))
+    return F.transform(found, lambda s: s["o"])
 
 
 def name_order(name: Column, count: Column, first_pos: Column) -> Column:
