@@ -16,12 +16,13 @@ distance over words is at most ``(1 - SIMILARITY)`` of the longer one.
    components are compared.
 4. The nodes of larger buckets that still hold several components (many texts with one passage in common, for one)
    meet by an exact join (``crowded``): near copies share all but a fifth of their words, each counted as often as both have it, so
-   of each text's rarest fifth and one more (rare in the crowd) they share one. The first that two texts of different components
-   share makes the pair, if lengths and places leave enough words after it. Keys of many nodes are dealt out in blocks.
+   of each text's rarest fifth and ``COMMON`` more (rare in the crowd) they share ``COMMON`` (fewer, where a text has no more). Texts of different
+   components that do make a pair, if lengths and places leave enough words; only their ids and a count go through the exchange. Keys of many
+   nodes are dealt out in blocks. As a node may be in many such pairs, its words go once to each cell of pairs, not along with each pair.
 5. Components of all links, by large and small stars, are the near-duplicate groups. The least doc_id stays.
 
 So two near copies are missed only if no band agrees: no bucket is cut, whatever its size, and a test holds a crowded bucket against all of its
-pairs. Steps 1 to 3 are linear in the nodes and their bands. Step 4 makes only pairs that share one of their rarest words; texts that are
+pairs. Steps 1 to 3 are linear in the nodes and their bands. Step 4 makes only pairs that share some of their rarest words; texts that are
 alike in nearly four fifths of their words and yet no near copies are compared one by one, which no exact way avoids. Another test runs the
 operator on pairs at several edit rates, also on texts that all share a passage, and asks for a recall of 0.9 or more.
 
@@ -34,6 +35,7 @@ returns them.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -50,6 +52,10 @@ from .components import components
 K, L, BANDS, ROWS, SIMILARITY = 3, 2, 32, 1, 0.8
 #: Nodes of a bucket that are compared pair by pair; nodes of a key in the crowd that meet in one block.
 SMALL, BLOCK = 6, 1000
+#: Words that two texts of the crowd must share of their rarest, beyond those that edits may take.
+COMMON = 5
+#: Groups of nodes, at least, of which two make a cell of pairs; bytes of the words of one.
+GROUPS, GROUP_BYTES = 8, 32 << 20
 #: Bins of a text's word counts, which bound its edit distance from below.
 BINS = 256
 _FOLD = np.array([b if b >= 128 or chr(b).isalnum() else 32 for b in A.LOWER.tolist()], np.uint8)
@@ -212,25 +218,32 @@ def _rising(v: list[int]) -> np.ndarray:
     return np.array(out[::-1], int)
 
 
-def verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """pairs (node, pivot) with `linked`: is their edit similarity at least `similarity`?"""
+def _alike(a: list[np.ndarray], p: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which of the pairs of word sequences are near copies?"""
+    limit = np.array([int((1 - similarity) * max(len(x), len(y)) + 1e-9) for x, y in zip(a, p, strict=True)], np.int64)
+    # an edit changes the word counts by two at most, and spoils K k-mers at most
+    ok = np.array([np.abs(np.bincount(x % BINS, minlength=BINS) - np.bincount(y % BINS, minlength=BINS)).sum() for x, y in zip(a, p, strict=True)]) <= 2 * limit
+    sure = np.zeros(len(ok), bool)
+    for i in np.flatnonzero(ok):
+        common, most = _common_kmers(a[i], p[i])
+        ok[i] = common >= max(len(a[i]), len(p[i])) - K + 1 - K * limit[i]
+        sure[i] = most <= limit[i]
+    # what neither bound settles is aligned
+    open_ = np.flatnonzero(ok & ~sure)
+    ok[open_] = distances([a[i] for i in open_], [p[i] for i in open_], limit[open_]) <= limit[open_]
+    return ok
+
+
+def verified(pairs: DataFrame, words: DataFrame, similarity: float, cells: bool = False) -> DataFrame:
+    """pairs (node, pivot) with `linked`: is their edit similarity at least `similarity`? `cells` if nodes are in many pairs each."""
+    if cells:
+        return _verified_in_cells(pairs, words, similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
-                a, p = ([np.frombuffer(x.as_buffer(), np.uint32) for x in part.column(i)] for i in (2, 3))
-                limit = np.array([int((1 - similarity) * max(len(x), len(y)) + 1e-9) for x, y in zip(a, p, strict=True)], np.int64)
-                # an edit changes the word counts by two at most, and spoils K k-mers at most
-                ok = np.array([np.abs(np.bincount(x % BINS, minlength=BINS) - np.bincount(y % BINS, minlength=BINS)).sum() for x, y in zip(a, p, strict=True)]) <= 2 * limit
-                sure = np.zeros(len(ok), bool)
-                for i in np.flatnonzero(ok):
-                    common, most = _common_kmers(a[i], p[i])
-                    ok[i] = common >= max(len(a[i]), len(p[i])) - K + 1 - K * limit[i]
-                    sure[i] = most <= limit[i]
-                # what neither bound settles is aligned
-                open_ = np.flatnonzero(ok & ~sure)
-                ok[open_] = distances([a[i] for i in open_], [p[i] for i in open_], limit[open_]) <= limit[open_]
+                ok = _alike(*([np.frombuffer(x.as_buffer(), np.uint32) for x in part.column(i)] for i in (2, 3)), similarity)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ok)], names=["node", "pivot", "linked"])
 
     rows = pairs.count()
@@ -239,6 +252,29 @@ def verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame
     return in_batches(both.select("node", "pivot", "words", "pivot_words"), run, "node long, pivot long, linked boolean")
 
 
+def _verified_in_cells(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Nodes fall into groups of bounded size by hash, and two groups make a cell, which gets
+    its pairs and, once, the words of each node in them."""
+
+    def run(mine: pa.Table, held: pa.Table) -> pa.Table:
+        place = {node: i for i, node in enumerate(held.column("node").to_pylist())}
+        seq = [np.frombuffer(x.as_buffer(), np.uint32) for x in held.column("words")]
+        node, pivot = (mine.column(c).to_pylist() for c in ("node", "pivot"))
+        both = [i for i in range(len(node)) if node[i] in place and pivot[i] in place]
+        linked = [_alike(*([seq[place[x[i]]] for i in both[at : at + 500]] for x in (node, pivot)), similarity) for at in range(0, len(both), 500)]
+        rows = mine.select(["node", "pivot"]).take(pa.array(both, pa.int64()))
+        return rows.append_column("linked", pa.array(np.concatenate([np.zeros(0, bool), *linked])))
+
+    nodes = stored(pairs.select(F.explode(F.array("node", "pivot")).alias("node")).distinct())
+    size = words.join(bounded(nodes), "node", "left_semi").agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    n = max(GROUPS, -(-size // GROUP_BYTES))
+    a, b = (F.pmod(F.xxhash64(c), F.lit(n)) for c in ("node", "pivot"))
+    dealt = pairs.select("node", "pivot", (F.least(a, b) * n + F.greatest(a, b)).alias("cell"))
+    cells = stored(dealt.select(F.explode(F.array("node", "pivot")).alias("node"), "cell").groupBy("node").agg(F.collect_set("cell").alias("cells")))
+    held = words.join(bounded(cells), "node").select("node", "words", F.explode("cells").alias("cell"))
+    return dealt.groupBy("cell").cogroup(held.groupBy("cell")).applyInArrow(run, "node long, pivot long, linked boolean")
+
+
 def links(docs: DataFrame, rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b): pairs of nodes of one group, enough of them to connect every group."""
     nodes = rows.groupBy("node").agg(F.first("bands").alias("bands"))
@@ -260,7 +296,7 @@ def links(docs: DataFrame, rows: DataFrame, similarity: float = SIMILARITY) -> D
             both = spread_join(spread_join(pairs, lengths, "node", F.xxhash64("pivot"), n), other, "pivot", F.xxhash64("node"), n)
         near = both.filter(F.abs(F.col("n") - F.col("m")) <= F.floor((1 - similarity) * F.greatest("n", "m") + 1e-9))
         near = near.select("node", "pivot")
-        return stored(verified(stored(near if more is None else near.unionByName(more)), words, similarity))
+        return stored(verified(stored(near if more is None else near.unionByName(more)), words, similarity, more is not None))
 
     tested = test(buckets.filter("node <> pivot").select("node", "pivot").distinct())
     roots = stored(components(_linked(tested)))
@@ -303,7 +339,7 @@ def _apart(buckets: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def crowded(crowd: DataFrame, words: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, pivot), node > pivot: the pairs of nodes in different components (node, root) that may be near copies; none that is gets lost."""
-    held = stored(crowd.join(words, "node"))
+    held = stored(words.join(bounded(crowd), "node").select("node", "root", "words"))
     counts = in_batches(held.select("words"), _word_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
     counts = stored(counts)
     # any order will do; if there are too many words to send, those that few nodes have count as rare
@@ -315,24 +351,27 @@ def crowded(crowd: DataFrame, words: DataFrame, similarity: float = SIMILARITY)
     order = np.argsort(busy.column("key").to_numpy().view(np.uint64))
     known = tuple(busy.column(c).to_numpy()[order].view(np.uint64) for c in ("key", "n"))
     shipped = crowd.sparkSession.sparkContext.broadcast(known)
-    entries = in_batches(held, lambda batches: _rarest(batches, *shipped.value, similarity), "node long, root long, m int, keys array<long>").select("node", "root", "m", F.posexplode("keys").alias("place", "key"))
+    # where all words of two nodes or more are known, the others make no pair
+    entries = in_batches(held, lambda batches: _rarest(batches, *shipped.value, similarity, least == 1), "node long, root long, m int, need int, keys array<long>, places array<int>")
+    entries = entries.select("node", "root", "m", "need", F.explode(F.arrays_zip("keys", "places")).alias("e")).select("node", "root", "m", "need", F.col("e.places").alias("place"), F.col("e.keys").alias("key"))
     entries = stored(entries)
     shared = stored(entries.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key", "n"))
     rows = shared.agg(F.sum("n")).first()[0] or 0
-    entries = stored(spread_join(entries, shared, "key", F.xxhash64("node"), rows, shared))
-    # a node's keys that others have, in the order that all share
-    each = entries.groupBy("node", "root", "m").agg(F.sort_array(F.collect_list(F.struct("place", "key", "n"))).alias("e"))
-    each = each.select("node", "root", "m", F.transform("e", lambda x: x["key"]).alias("keys"), F.explode("e").alias("x")).select("node", "root", "m", "keys", "x.*").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    each = spread_join(entries, shared, "key", F.xxhash64("node"), rows, shared).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).drop("n")
     each = stored(each)
     left = each.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    right = each.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", "block", *(F.col(c).alias(f"r_{c}") for c in ("node", "root", "m", "place", "keys")))
-    limit = lambda n: F.floor((1 - similarity) * n + 1e-9)
+    right = each.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", "block", *(F.col(c).alias(f"r_{c}") for c in ("node", "root", "m", "need", "place")))
     longer = F.greatest("m", "r_m")
-    apart = (F.col("node") > F.col("r_node")) & (F.col("root") != F.col("r_root")) & (F.abs(F.col("m") - F.col("r_m")) <= limit(longer))
-    enough = F.least(F.col("m") - F.col("place"), F.col("r_m") - F.col("r_place")) >= longer - limit(longer)
-    first = F.get(F.array_intersect("keys", "r_keys"), F.lit(0)) == left["key"]
-    on = (left["key"] == right["key"]) & (left["block"] == right["block"]) & apart & enough & first
-    return left.join(right, on).select("node", F.col("r_node").alias("pivot"))
+    least_common = longer - F.floor((1 - similarity) * longer + 1e-9)
+    apart = (F.col("node") > F.col("r_node")) & (F.col("root") != F.col("r_root")) & (F.least("m", "r_m") >= least_common)
+    # the words that both may have from this one on, and before it
+    after = F.least(F.col("m") - F.col("place"), F.col("r_m") - F.col("r_place"))
+    enough = after + F.least("place", "r_place") >= least_common
+    on = (left["key"] == right["key"]) & (left["block"] == right["block"]) & apart & enough
+    # shares of what a pair must have in common, in whole numbers; before the first common word there is none
+    whole = math.lcm(*range(1, COMMON + 1))
+    found = left.join(right, on).select("node", F.col("r_node").alias("pivot"), (whole / F.least("need", "r_need")).cast("int").alias("part"), (after >= least_common).alias("first"))
+    return found.groupBy("node", "pivot").agg(F.sum("part").alias("part"), F.max("first").alias("first")).filter((F.col("part") >= whole) & F.col("first")).select("node", "pivot")
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,8 +382,9 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
 
 
-def _rarest(batches: Iterator[pa.RecordBatch], key: np.ndarray, n: np.ndarray, similarity: float) -> Iterator[pa.RecordBatch]:
-    """Each node's rarest labelled words in order, one more than the edits it may have; words that aren't in `key` (sorted, with counts n) come first."""
+def _rarest(batches: Iterator[pa.RecordBatch], key: np.ndarray, n: np.ndarray, similarity: float, known: bool = False) -> Iterator[pa.RecordBatch]:
+    """Each node's rarest labelled words in order, `need` (up to COMMON) more than the edits it may have, and their places; words that aren't in
+    `key` (sorted, with counts n) come first, and are left out if `known`."""
     for words, part in _in_parts(batches, 2):
         label, rows, first = labelled(*words, 1)
         often = np.zeros(len(label), np.uint64)
@@ -353,10 +393,15 @@ def _rarest(batches: Iterator[pa.RecordBatch], key: np.ndarray, n: np.ndarray, s
             often = np.where(key[at] == label, n[at], 0).astype(np.uint64)
         size = np.diff(first)
         order = np.lexsort((label, often, np.repeat(np.arange(len(rows)), size)))
-        most = np.minimum(((1 - similarity) * size + 1e-9).astype(np.int64) + 1, size)
-        keep = np.arange(len(label)) - np.repeat(first[:-1], size) < np.repeat(most, size)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(most)).astype(np.int32)), pa.array(label[order][keep].view(np.int64)))
-        yield pa.RecordBatch.from_arrays([*(part.column(i).take(pa.array(rows)) for i in (0, 1)), pa.array(size.astype(np.int32)), lists], names=["node", "root", "m", "keys"])
+        edits = ((1 - similarity) * size + 1e-9).astype(np.int64)
+        need = np.clip(size - edits, 1, COMMON)
+        place = np.arange(len(label)) - np.repeat(first[:-1], size)
+        keep = place < np.repeat(edits + need, size)
+        if known:
+            keep &= often[order] > 0
+        offsets = pa.array(np.append(0, np.cumsum(keep))[first].astype(np.int32))
+        lists = (pa.ListArray.from_arrays(offsets, pa.array(x[keep])) for x in (label[order].view(np.int64), place.astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([*(part.column(i).take(pa.array(rows)) for i in (0, 1)), pa.array(size.astype(np.int32)), pa.array(need.astype(np.int32)), *lists], names=["node", "root", "m", "need", "keys", "places"])
 
 
 def _in_parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[tuple[np.ndarray, np.ndarray], pa.RecordBatch]]:

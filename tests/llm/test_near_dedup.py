@@ -303,6 +303,37 @@ def test_a_crowded_bucket_is_searched_whole(spark):
     assert all(len({roots[n] for n in pair}) == 1 for pair in want)
 
 
+def test_texts_that_share_one_rare_word_are_not_aligned(spark):
+    """Each two of 20 texts share a passage and one rare word; only the copy with a few edits makes a pair."""
+    k = 20
+    texts = [[f"p{i}" for i in range(70)] + [f"w{min(a, b)}x{max(a, b)}" for b in range(k) if b != a] + [f"own{a}x{i}" for i in range(11)] for a in range(k)]
+    texts.append(texts[0][:95])
+    (c,) = A.chunks(pa.array([" ".join(t) for t in texts]))
+    node = N.content(*N.word_hashes(c)).view(np.int64).tolist()
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    crowd = spark.createDataFrame([(n, n) for n in node], "node long, root long")
+    got = N.crowded(crowd, N.sequences(docs, N.stored(crowd.select("node")))).collect()
+    assert [{r.node, r.pivot} for r in got] == [{node[0], node[k]}]
+
+
+def test_cells_of_pairs_say_what_pairs_say(spark, monkeypatch):
+    """Pairs dealt over cells of bounded size are linked as each pair with its words is, and the words of a node come once to a cell."""
+    rng = random.Random(5)
+    texts = [prose(rng, 60) for _ in range(12)]
+    texts += [" ".join(w if rng.random() > 0.1 else "x" for w in t.split()) for t in texts]
+    (c,) = A.chunks(pa.array(texts))
+    node = N.content(*N.word_hashes(c)).view(np.int64).tolist()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = N.sequences(docs, N.stored(spark.createDataFrame([(n,) for n in node], "node long")))
+    pairs = N.stored(spark.createDataFrame([(a, b) for a in node for b in node if a > b], "node long, pivot long"))
+    want = sorted(map(tuple, N.verified(pairs, words, N.SIMILARITY).collect()))
+    for size in (N.GROUP_BYTES, 300):
+        monkeypatch.setattr(N, "GROUP_BYTES", size)
+        got = N.verified(pairs, words, N.SIMILARITY, True)
+        assert sorted(map(tuple, got.collect())) == want and 12 <= sum(x[2] for x in want) < len(want)
+    assert N.verified(pairs.limit(0), words, N.SIMILARITY, True).count() == 0
+
+
 def test_joins_of_buckets_keep_one_plan(spark):
     """With and without a hot key the join makes one row of each row, by the same keys."""
     one = spark.createDataFrame([(k, k) for k in range(40)], "key long, m long")
