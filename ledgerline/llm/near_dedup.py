@@ -18,7 +18,7 @@ distance over words is at most ``(1 - SIMILARITY)`` of the longer one.
    meet by an exact join (``crowded``): near copies share all but a fifth of their words, each counted as often as both have it, so
    of each text's rarest fifth and ``COMMON`` more (rare in the crowd) they share ``COMMON`` (fewer, where a text has no more). Texts of different
    components that do make a pair, if lengths and places leave enough words; only their ids and a count go through the exchange. Keys of many
-   nodes are dealt out in blocks. As a node may be in many such pairs, its words go once to each cell of pairs, not along with each pair.
+   nodes are dealt out in squares of blocks. As a node may be in many such pairs, its words go once to each cell of pairs, not along with each pair.
 5. Components of all links, by large and small stars, are the near-duplicate groups. The least doc_id stays.
 
 So two near copies are missed only if no band agrees: no bucket is cut, whatever its size, and a test holds a crowded bucket against all of its
@@ -50,7 +50,7 @@ from .common import BROADCAST_ROWS, bounded, in_batches, own_columns, row_uid, s
 from .components import components
 
 K, L, BANDS, ROWS, SIMILARITY = 3, 2, 32, 1, 0.8
-#: Nodes of a bucket that are compared pair by pair; nodes of a key in the crowd that meet in one block.
+#: Nodes of a bucket that are compared pair by pair; nodes of a key in the crowd that meet in one block, where it has no more.
 SMALL, BLOCK = 6, 1000
 #: Words that two texts of the crowd must share of their rarest, beyond those that edits may take.
 COMMON = 5
@@ -357,10 +357,10 @@ def crowded(crowd: DataFrame, words: DataFrame, similarity: float = SIMILARITY)
     entries = stored(entries)
     shared = stored(entries.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key", "n"))
     rows = shared.agg(F.sum("n")).first()[0] or 0
-    each = spread_join(entries, shared, "key", F.xxhash64("node"), rows, shared).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).drop("n")
+    each = spread_join(entries, shared, "key", F.xxhash64("node"), rows, shared).withColumn("side", F.ceil(F.sqrt(F.col("n") / BLOCK)).cast("int")).drop("n")
     each = stored(each)
-    left = each.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    right = each.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", "block", *(F.col(c).alias(f"r_{c}") for c in ("node", "root", "m", "need", "place")))
+    left, right = _in_square(each)
+    right = right.select("key", "block", *(F.col(c).alias(f"r_{c}") for c in ("node", "root", "m", "need", "place")))
     longer = F.greatest("m", "r_m")
     least_common = longer - F.floor((1 - similarity) * longer + 1e-9)
     apart = (F.col("node") > F.col("r_node")) & (F.col("root") != F.col("r_root")) & (F.least("m", "r_m") >= least_common)
@@ -374,6 +374,15 @@ def crowded(crowd: DataFrame, words: DataFrame, similarity: float = SIMILARITY)
     return found.groupBy("node", "pivot").agg(F.sum("part").alias("part"), F.max("first").alias("first")).filter((F.col("part") >= whole) & F.col("first")).select("node", "pivot")
 
 
+def _in_square(each: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The entries as the rows and as the columns of each key's square of `side` x `side` blocks: every two meet in one block. A block holds as
+    many pairs as a run of BLOCK entries has with all n, and an entry is copied some sqrt(n / BLOCK) times on each side; most keys have one block."""
+    side, at = F.col("side"), F.pmod(F.xxhash64("node"), F.col("side"))
+    one, more = each.filter("side = 1").withColumn("block", F.lit(0).cast("long")), each.filter("side > 1")
+    dealt = lambda block: one.unionByName(more.withColumn("other", F.explode(F.sequence(F.lit(0), side - 1))).withColumn("block", block.cast("long")).drop("other"))
+    return dealt(at * side + F.col("other")), dealt(F.col("other") * side + at)
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many nodes have each labelled word, by batch."""
     for words, _ in _in_parts(batches, 0):

@@ -316,6 +316,16 @@ def test_texts_that_share_one_rare_word_are_not_aligned(spark):
     assert [{r.node, r.pivot} for r in got] == [{node[0], node[k]}]
 
 
+def test_entries_of_a_crowded_key_meet_once(spark):
+    """Each two entries of a key meet in one block, and copies grow as n to the power of 1.5, not as the square."""
+    ns = {1: 5, 2: 40, 3: 160}
+    each = spark.createDataFrame([(k, i, side) for (k, n), side in zip(ns.items(), (1, 2, 4)) for i in range(n)], "key long, node long, side int")
+    left, right = N._in_square(each)
+    assert left.count() == right.count() == 5 + 40 * 2 + 160 * 4
+    met = left.join(right.select("key", "block", N.F.col("node").alias("r")), ["key", "block"]).groupBy("key", "node", "r").count()
+    assert {(r["key"], r["pairs"], r["most"]) for r in met.groupBy("key").agg(N.F.count("*").alias("pairs"), N.F.max("count").alias("most")).collect()} == {(k, n * n, 1) for k, n in ns.items()}
+
+
 def test_cells_of_pairs_say_what_pairs_say(spark, monkeypatch):
     """Pairs dealt over cells of bounded size are linked as each pair with its words is, and the words of a node come once to a cell."""
     rng = random.Random(5)
