@@ -44,6 +44,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import spread
 from . import arrays as A
 from .alignment import distances
 from .common import BROADCAST_ROWS, bounded, in_batches, own_columns, row_uid, spread_join, stored, unused
@@ -351,8 +352,9 @@ def crowded(crowd: DataFrame, words: DataFrame, similarity: float = SIMILARITY)
     order = np.argsort(busy.column("key").to_numpy().view(np.uint64))
     known = tuple(busy.column(c).to_numpy()[order].view(np.uint64) for c in ("key", "n"))
     shipped = crowd.sparkSession.sparkContext.broadcast(known)
+    # a text gives as many entries as it may have edits, and COMMON more; dealt over all cores, each task makes its share of them.
     # where all words of two nodes or more are known, the others make no pair
-    entries = in_batches(held, lambda batches: _rarest(batches, *shipped.value, similarity, least == 1), "node long, root long, m int, need int, keys array<long>, places array<int>")
+    entries = in_batches(spread(held, "node"), lambda batches: _rarest(batches, *shipped.value, similarity, least == 1), "node long, root long, m int, need int, keys array<long>, places array<int>")
     entries = entries.select("node", "root", "m", "need", F.explode(F.arrays_zip("keys", "places")).alias("e")).select("node", "root", "m", "need", F.col("e.places").alias("place"), F.col("e.keys").alias("key"))
     entries = stored(entries)
     shared = stored(entries.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key", "n"))

@@ -352,3 +352,30 @@ def test_joins_of_buckets_keep_one_plan(spark):
         assert got.count() == len(rows)
         plan = got._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Join ") == 1 and "LeftOuter" not in plan and "salt" in plan
+
+
+def test_entries_of_the_crowd_are_dealt_over_all_cores(spark, monkeypatch):
+    """However few files hold the crowd, no task makes far more entries than the others, and a text makes its edits and COMMON more at most."""
+    rng = random.Random(6)
+    texts = [prose(rng, 100) for _ in range(150)] * 2
+    texts = [f"{t} copy{i}" for i, t in enumerate(texts)]
+    (c,) = A.chunks(pa.array(texts))
+    wh, row0 = N.word_hashes(c)
+    node = N.content(wh, row0).view(np.int64).tolist()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    crowd = spark.createDataFrame([(n, n) for n in node], "node long, root long").coalesce(1)
+    words = N.stored(N.sequences(docs, N.stored(crowd.select("node"))).coalesce(1))
+    made = []
+    whole = N.stored
+
+    def stored(df):
+        if "place" in df.columns and "side" not in df.columns:
+            made.append([r["count"] for r in df.groupBy(N.F.spark_partition_id()).count().collect()])
+        return whole(df)
+
+    monkeypatch.setattr(N, "stored", stored)
+    N.crowded(crowd, words)
+    (tasks,) = made
+    size = np.diff(row0)
+    assert len(tasks) > 4 and max(tasks) <= 3 * sum(tasks) / len(tasks)
+    assert 0 < sum(tasks) <= ((1 - N.SIMILARITY) * size + N.COMMON).sum()
